@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barmill.functions.times import in_hours, is_weekday, national_holidays
-from barmill.schemas import HOLIDAYS
+from barmill.schemas import HOLIDAYS, PARTITION
 
 
 def holiday_table(spark: SparkSession, years: Iterable[int] = range(1970, 2101)) -> DataFrame:
@@ -32,8 +32,12 @@ def trading_hours(df: DataFrame, first: int = 12, last: int = 21, column: str =
 
 
 def market_days(df: DataFrame) -> DataFrame:
-    """Distinct days on which any instrument has a bar, as column ``Dia``."""
-    return df.select(F.to_date("Date").alias("Dia")).filter(F.col("Dia").isNotNull()).distinct()
+    """Distinct days on which any instrument has a bar, as column ``Dia``.
+
+    A stored table answers from its partition column and reads no data column.
+    """
+    day = F.col(PARTITION) if PARTITION in df.columns else F.to_date("Date")
+    return df.select(day.alias("Dia")).filter(F.col("Dia").isNotNull()).distinct()
 
 
 def day_map(days: DataFrame) -> DataFrame:
