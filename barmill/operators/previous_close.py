@@ -30,7 +30,7 @@ def with_previous_close(bars: DataFrame, days: DataFrame | None = None) -> DataF
     """
     calendar = F.broadcast(day_map(market_days(bars if days is None else days)))
     placed = bars.withColumn("Dia", F.to_date("Date")).join(calendar, "Dia", "left")
-    own = F.floor(F.col("Pos") / BLOCK)
+    own = F.expr(f"Pos div {BLOCK}")
     ends_block = F.col("Pos") % BLOCK == BLOCK - 1
     spread = placed.withColumn("_own", own).withColumn(
         "_block",
@@ -42,7 +42,7 @@ def with_previous_close(bars: DataFrame, days: DataFrame | None = None) -> DataF
     frame = (
         Window.partitionBy("Ticker", "_block", "_nobody").orderBy("Pos").rangeBetween(-1, -1)
     )
-    last_close = F.max(F.struct("Date", "Adj_Close")).over(frame)["Adj_Close"]
+    last_close = F.max_by("Adj_Close", "Date").over(frame)
     found = spread.withColumn("_nobody", nobody).withColumn(
         "Adj_Close_ant", F.when(F.col("Ticker").isNotNull(), last_close)
     )
@@ -52,7 +52,11 @@ def with_previous_close(bars: DataFrame, days: DataFrame | None = None) -> DataF
 
 
 def with_daily_close(
-    bars: DataFrame, closes: DataFrame, lookback: str = "history"
+    bars: DataFrame,
+    closes: DataFrame,
+    lookback: str = "history",
+    days: DataFrame | None = None,
+    close_days: DataFrame | None = None,
 ) -> DataFrame:
     """Hourly bars with ``Dia2`` and ``Adj_Close_ant`` from the daily table.
 
@@ -63,13 +67,14 @@ def with_daily_close(
     execution can split an instrument-day that dominates the bars.
 
     ``lookback="slice"`` takes the day list from the closes alone: a bar day
-    without closes of its own then has no previous day.
+    without closes of its own then has no previous day. ``days`` and
+    ``close_days`` may pass the days of either side from a cheaper source.
     """
-    close_days = market_days(closes)
+    closed = market_days(closes if close_days is None else close_days)
     if lookback == "slice":
-        calendar = day_map(close_days).select("Dia", "Dia2")
+        calendar = day_map(closed).select("Dia", "Dia2")
     else:
-        calendar = asof_day_map(market_days(bars), close_days)
+        calendar = asof_day_map(market_days(bars if days is None else days), closed)
     placed = (
         bars.withColumn("Dia", F.to_date("Date"))
         .join(F.broadcast(calendar), "Dia", "left")

@@ -71,6 +71,10 @@ def business_closes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def business_event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return calendar.business_days(event_days(spark, sf_dir), calendar.holiday_table(spark))
+
+
 # --- bronze ----------------------------------------------------------------
 
 
@@ -184,9 +188,10 @@ def day_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def day_map_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = event_days(spark, sf_dir)
-    open_days = calendar.business_days(days, calendar.holiday_table(spark))
-    return calendar.asof_day_map(calendar.market_days(days), calendar.market_days(open_days))
+    return calendar.asof_day_map(
+        calendar.market_days(event_days(spark, sf_dir)),
+        calendar.market_days(business_event_days(spark, sf_dir)),
+    )
 
 
 # --- previous close --------------------------------------------------------
@@ -198,7 +203,12 @@ def prev_close_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prev_close_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_daily_close(wide_bars(spark, sf_dir, HOUR), business_closes(spark, sf_dir))
+    return with_daily_close(
+        wide_bars(spark, sf_dir, HOUR),
+        business_closes(spark, sf_dir),
+        days=event_days(spark, sf_dir),
+        close_days=business_event_days(spark, sf_dir),
+    )
 
 
 def prev_close_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,7 +221,8 @@ def prev_close_slice_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily closes are cut at the hourly mark too."""
     bars = incremental.since(wide_bars(spark, sf_dir, HOUR), LOADED_HOUR)
     closes = incremental.since(business_closes(spark, sf_dir), LOADED_HOUR)
-    return with_daily_close(bars, closes, lookback="slice")
+    days = incremental.since(business_event_days(spark, sf_dir), LOADED_HOUR)
+    return with_daily_close(bars, closes, lookback="slice", close_days=days)
 
 
 # --- gold and serving ------------------------------------------------------
@@ -223,8 +234,9 @@ def gold_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bars = silver_bars(spark, sf_dir, HOUR)
-    return derive(with_daily_close(bars, wide_bars(spark, sf_dir, DAY)), HOUR)
+    bars, closes = silver_bars(spark, sf_dir, HOUR), wide_bars(spark, sf_dir, DAY)
+    days = event_days(spark, sf_dir)
+    return derive(with_daily_close(bars, closes, days=days, close_days=days), HOUR)
 
 
 def gold_daily_compat(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from barmill.operators.previous_close import with_daily_close, with_previous_clo
 from barmill.operators.reshape import complete_bars, melt_bars, melt_landing, pivot_labels
 from barmill.schemas import INGESTED, PARTITION
 from barmill.sources.landing import bars_for_symbols, new_bars
-from barmill.sources.tables import by_day, data_columns
+from barmill.sources.tables import by_day, data_columns, sort_days, spread_days
 
 
 def new_rows(table: DataFrame, cfg: RunConfig, last: datetime | None) -> DataFrame:
@@ -37,13 +37,21 @@ def bronze(
     loaded_at: datetime,
     symbols: DataFrame | None = None,
 ) -> DataFrame:
-    """New landing bars in long form, stamped with the time of the load."""
+    """New landing bars in long form, stamped with the time of the load.
+
+    Rows are shuffled to their days while still wide: melting first would
+    repeat time and instrument for every label on the wire.
+    """
     fresh = new_bars(landing, last, cfg.granularity.step)
-    long = melt_bars(fresh) if "Ticker" in landing.columns else melt_landing(fresh)
-    if symbols is not None:
+    tidy = "Ticker" in landing.columns
+    if tidy and symbols is not None:
+        fresh = bars_for_symbols(fresh, symbols)
+    spread = data_columns(spread_days(fresh))
+    long = melt_bars(spread) if tidy else melt_landing(spread)
+    if not tidy and symbols is not None:
         long = bars_for_symbols(long, symbols)
     stamped = long.withColumn(INGESTED, F.lit(loaded_at).cast("timestamp_ntz"))
-    return by_day(stamped, sort=("Date", "Ticker"))
+    return sort_days(stamped, "Date", "Ticker")
 
 
 def silver(bronze_rows: DataFrame, cfg: RunConfig) -> DataFrame:
@@ -59,7 +67,10 @@ def silver(bronze_rows: DataFrame, cfg: RunConfig) -> DataFrame:
 
 
 def previous_day(table: DataFrame, first: date) -> DataFrame:
-    """One row: the last day of a table before ``first``, null if none."""
+    """One row: the last day of a table before ``first``, null if none.
+
+    Touches the partition column only, so no data column is read.
+    """
     return table.filter(F.col(PARTITION) < F.lit(first)).agg(F.max(PARTITION).alias("day"))
 
 
@@ -95,7 +106,9 @@ def gold(
             if cfg.lookback == "history"
             else since(silver_closes, last)
         )
-        closed = with_daily_close(clear(bars), clear(closes), cfg.lookback)
+        closed = with_daily_close(
+            clear(bars), clear(closes), cfg.lookback, days=bars, close_days=closes
+        )
     return by_day(derive(closed, cfg.granularity, null_is_fall=cfg.compat))
 
 

@@ -6,23 +6,25 @@ appends its log; row counts are observed during the write.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime, timedelta
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barmill import schemas
-from barmill.config import DAY, RunConfig
+from barmill.config import DAY, Granularity, RunConfig
 from barmill.functions.times import is_business_moment
 from barmill.operators.incremental import watermark
 from barmill.plans import layers
 from barmill.plans.runlog import RunLog
-from barmill.sources.tables import data_columns, read_table, write_days
+from barmill.sources.tables import data_columns, find_table, read_table, write_days
 
 LAYERS = ("bronze", "silver", "gold")
 
-# How far back the first, cheap look for the previous market day goes.
+# How far back the first, cheap look into a table goes.
 RECENT = timedelta(days=31)
 
 
@@ -40,7 +42,7 @@ def may_run(cfg: RunConfig, moment: datetime) -> bool:
     return is_business_moment(moment, cfg.holidays, hours)
 
 
-def stored_schema(layer: str, cfg: RunConfig):
+def stored_schema(layer: str, cfg: RunConfig) -> T.StructType:
     return {
         "bronze": schemas.BRONZE_STORED,
         "silver": schemas.SILVER,
@@ -48,7 +50,9 @@ def stored_schema(layer: str, cfg: RunConfig):
     }[layer]
 
 
-def open_layer(spark: SparkSession, cfg: RunConfig, layer: str, granularity=None) -> DataFrame:
+def open_layer(
+    spark: SparkSession, cfg: RunConfig, layer: str, granularity: Granularity | None = None
+) -> DataFrame:
     path = cfg.table(layer, granularity)
     return read_table(spark, path, stored_schema(layer, cfg), cfg.fmt)
 
@@ -58,28 +62,43 @@ def read_layer(spark: SparkSession, cfg: RunConfig, layer: str) -> DataFrame:
     return data_columns(open_layer(spark, cfg, layer))
 
 
-def last_loaded(table: DataFrame) -> datetime | None:
-    return watermark(table).first()["last_date"]
+def recent_first(
+    table: DataFrame, near: date, ask: Callable[[DataFrame], DataFrame]
+) -> datetime | date | None:
+    """The one value ``ask`` finds, from recent partitions if they hold any.
+
+    Both questions asked here are for the greatest value, so an answer from
+    the newest partitions is the answer for the table; the rest of the table
+    is opened only when those are empty.
+    """
+    recent = table.filter(F.col(schemas.PARTITION) >= F.lit(near - RECENT))
+    for part in (recent, table):
+        found = ask(part).first()[0]
+        if found is not None:
+            return found
+    return None
 
 
-def before_since(cfg: RunConfig) -> datetime | None:
-    """The mark of a first run: one step before ``since``, or none at all."""
-    return cfg.since - cfg.granularity.step if cfg.since else None
+def last_loaded(
+    spark: SparkSession, cfg: RunConfig, layer: str, moment: datetime
+) -> datetime | None:
+    """The last bar of a layer; before its first run, one step before ``since``."""
+    table = find_table(spark, cfg.table(layer), stored_schema(layer, cfg), cfg.fmt)
+    found = None if table is None else recent_first(table, moment.date(), watermark)
+    if found is None and cfg.since is not None:
+        return cfg.since - cfg.granularity.step
+    return found
 
 
 def first_close_day(closes: DataFrame, last: datetime | None) -> date | None:
     """The market day before the first one a gold run computes.
 
-    Looks at recent partitions first, and at older ones only if those are
-    empty; ``None`` means that closes are read from the beginning.
+    ``None`` means that closes are read from the beginning.
     """
     if last is None:
         return None
     first = last.date()
-    recent = closes.filter(F.col(schemas.PARTITION) >= F.lit(first - RECENT))
-    found = layers.previous_day(recent, first).first()["day"]
-    found = found or layers.previous_day(closes, first).first()["day"]
-    return found or first
+    return recent_first(closes, first, lambda t: layers.previous_day(t, first)) or first
 
 
 def transform(
@@ -121,7 +140,7 @@ def run_stage(
         log.save(spark)
         return False
     try:
-        last = last_loaded(open_layer(spark, cfg, layer)) or before_since(cfg)
+        last = last_loaded(spark, cfg, layer, moment)
         log.add("watermark", clock(cfg), f"most recent bar: {last}")
         rows = transform(spark, cfg, layer, last, moment, landing)
         log.add("transform", clock(cfg), f"{layer} transformation planned")
@@ -140,7 +159,7 @@ def run_stage(
     return True
 
 
-def row_counts(layer: str) -> list:
+def row_counts(layer: str) -> list[Column]:
     counts = [F.count(F.lit(1)).alias("rows_out")]
     if layer == "bronze":
         counts.append(F.count_if(F.col("Price").isNull()).alias("without_label"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -15,44 +15,62 @@ from barmill.operators.serving import stack
 from barmill.schemas import PARTITION
 
 
-def read_table(
+def _stored(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(PARTITION, T.DateType())])
+
+
+def find_table(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"
-) -> DataFrame:
-    """Scan a table written by ``write_days``, keeping its partition column.
+) -> DataFrame | None:
+    """Scan a table written by ``write_days``; ``None`` when there is none yet.
 
-    A table that does not exist yet reads as an empty one. Filter on
-    ``p_date`` to prune days; ``data_columns`` drops it again.
+    The partition column stays: filter on ``p_date`` to prune days, and drop it
+    with ``data_columns``.
     """
-    stored = T.StructType([*schema.fields, T.StructField(PARTITION, T.DateType())])
     try:
-        return spark.read.schema(stored).format(fmt).load(path)
+        return spark.read.schema(_stored(schema)).format(fmt).load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], stored)
+        return None
+
+
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"
+) -> DataFrame:
+    """``find_table``, where a missing table reads as an empty one."""
+    found = find_table(spark, path, schema, fmt)
+    return spark.createDataFrame([], _stored(schema)) if found is None else found
 
 
 def data_columns(df: DataFrame) -> DataFrame:
     return df.drop(PARTITION)
 
 
-def by_day(df: DataFrame, sort: Sequence[str] = ("Date",)) -> DataFrame:
-    """Lay rows out for a day-partitioned write.
+def spread_days(df: DataFrame) -> DataFrame:
+    """Shuffle rows by day for a day-partitioned write.
 
     The rebalance hint lets adaptive execution split a day that is too big for
     one task and merge days that are tiny, so files come out near the advisory
-    size whatever the distribution. Sorting inside a task groups its days and
-    narrows the min/max statistics the next scan filters on.
+    size whatever the distribution.
     """
-    return (
-        df.withColumn(PARTITION, F.to_date("Date"))
-        .hint("rebalance", PARTITION)
-        .sortWithinPartitions(PARTITION, *sort)
+    return df.withColumn(PARTITION, F.to_date("Date")).hint("rebalance", PARTITION)
+
+
+def sort_days(df: DataFrame, *order: str) -> DataFrame:
+    """Sort inside each task: one open file at a time, narrow ``Date`` ranges."""
+    return df.withColumn(PARTITION, F.to_date("Date")).sortWithinPartitions(
+        PARTITION, *(order or ("Date",))
     )
 
 
+def by_day(df: DataFrame) -> DataFrame:
+    """Lay rows out for ``write_days``."""
+    return sort_days(spread_days(df))
+
+
 def write_days(df: DataFrame, path: str, mode: str, fmt: str = "parquet") -> None:
-    """Write a frame from ``by_day``.
+    """Write a frame laid out by ``by_day`` or ``sort_days``.
 
     ``append`` adds files. ``overwrite`` replaces exactly the days present in
     the frame, which must therefore hold those days whole.
