@@ -5,10 +5,15 @@ Two token forms are offered. ``fernet`` is the public format
 in URL-safe base64, so tables written by any library of that format can be
 read and the other way round. ``gcm`` is AES-256-GCM in base64: shorter, but
 random 96-bit IVs should not exceed 2**32 tokens per key.
+
+Key literals stand in query plans. Set ``spark.sql.redaction.string.regex`` to
+``KEY_REDACTION`` to keep them out of explain output and the UI.
 """
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,6 +24,10 @@ HEADER_BYTES = 9  # version and time stamp
 MAC_BYTES = 32
 SHORTEST_TOKEN = HEADER_BYTES + 16 + 16 + MAC_BYTES
 HMAC_BLOCK = 64
+FERNET_IV, GCM_IV = 16, 12
+
+# Binary literals of a key's length or more, as plans print them.
+KEY_REDACTION = "0x[0-9A-Fa-f]{32,}"
 
 
 def binary(value: bytes) -> Column:
@@ -29,6 +38,25 @@ def _pad(key: bytes, fill: int) -> Column:
     return binary(bytes(b ^ fill for b in key.ljust(HMAC_BLOCK, b"\0")))
 
 
+def _eight_bytes(number: Column) -> Column:
+    return F.unhex(F.lpad(F.hex(number), 16, "0"))
+
+
+def fresh_iv(size: int) -> Column:
+    """An unpredictable IV per row: a hash of a secret, the run and the row id.
+
+    Spark treats an ``aes_encrypt`` that draws its own IV as deterministic and
+    may fold or repeat it. The row id marks this expression as what it is, so
+    it is evaluated once per row, and a retried task makes the same tokens.
+    """
+    parts = (
+        binary(os.urandom(32)),
+        _eight_bytes(F.unix_micros(F.current_timestamp())),
+        _eight_bytes(F.monotonically_increasing_id()),
+    )
+    return F.substring(F.unhex(F.sha2(F.concat(*parts), 256)), 1, size)
+
+
 def hmac_sha256(key: bytes, message: Column) -> Column:
     """HMAC-SHA256 of a binary column, as binary."""
     inner = F.unhex(F.sha2(F.concat(_pad(key, 0x36), message), 256))
@@ -46,19 +74,17 @@ def from_token(token: Column) -> Column:
 
 
 def fernet_body(
-    plain: Column, key: MaskKey, seconds: Column | None = None, iv: bytes | None = None
+    plain: Column, key: MaskKey, seconds: Column | None = None, iv: Column | None = None
 ) -> Column:
     """Everything of a token that its HMAC covers.
 
-    With no ``iv`` Spark draws a random one per row. Bind the result to a
-    column before signing it: a second evaluation would draw another IV.
+    Bind the result to a column before signing it, so that both parts of the
+    token come from one evaluation.
     """
     when = F.unix_seconds(F.current_timestamp()) if seconds is None else seconds
-    args = [plain, binary(key.encryption), F.lit("CBC"), F.lit("PKCS")]
-    if iv is not None:
-        args.append(binary(iv))
-    stamp = F.unhex(F.lpad(F.hex(when), 16, "0"))
-    return F.concat(binary(VERSION), stamp, F.aes_encrypt(*args))
+    start = fresh_iv(FERNET_IV) if iv is None else iv
+    cipher = F.aes_encrypt(plain, binary(key.encryption), F.lit("CBC"), F.lit("PKCS"), start)
+    return F.concat(binary(VERSION), _eight_bytes(when), cipher)
 
 
 def fernet_sign(body: Column, key: MaskKey) -> Column:
@@ -87,7 +113,10 @@ def fernet_open(body: Column, key: MaskKey) -> Column:
 
 
 def gcm_seal(plain: Column, key: MaskKey) -> Column:
-    return to_token(F.aes_encrypt(plain, binary(key.raw)))
+    sealed = F.aes_encrypt(
+        plain, binary(key.raw), F.lit("GCM"), F.lit("DEFAULT"), fresh_iv(GCM_IV)
+    )
+    return to_token(sealed)
 
 
 def gcm_open(token: Column, key: MaskKey) -> Column:

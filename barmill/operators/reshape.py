@@ -37,23 +37,40 @@ def melt_landing(wide: DataFrame, date: str = "Date") -> DataFrame:
     return _long(long.select("Date", parts[0].alias("Price"), parts[1].alias("Ticker"), "value"))
 
 
-def _latest(order: str | None, value: Column) -> Column:
-    # Ties of the order column fall to the larger value, so that a task run
-    # twice cannot choose differently.
+def _latest(
+    order: str | None, value: Column, here: Column | None = None, unique_order: bool = False
+) -> Column:
+    """Aggregate for the value with the greatest order among the rows ``here``.
+
+    Ties fall to the larger value, so that a task run twice cannot choose
+    differently. That needs a struct in the aggregation buffer, hence a sort
+    in each task; an order without ties allows the cheaper hash aggregate.
+    """
+
+    def kept(column: Column) -> Column:
+        return column if here is None else F.when(here, column)
+
     if order is None:
-        return F.max(value)
-    return F.max(F.struct(F.col(order), value.alias("value")))["value"]
+        return F.max(kept(value))
+    if unique_order:
+        return F.max_by(kept(value), kept(F.col(order)))
+    return F.max(kept(F.struct(F.col(order), value.alias("value"))))["value"]
 
 
 def dedupe_latest(
-    df: DataFrame, keys: Sequence[str], order: str, value: str = "value"
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    value: str = "value",
+    unique_order: bool = False,
 ) -> DataFrame:
     """One row per key: the value with the greatest order.
 
     An aggregate rather than a ranking window: copies of a key are combined
     before the shuffle, so a key with very many copies costs no single task.
     """
-    return df.groupBy(*keys).agg(_latest(order, F.col(value)).alias(value))
+    chosen = _latest(order, F.col(value), unique_order=unique_order)
+    return df.groupBy(*keys).agg(chosen.alias(value))
 
 
 def pivot_labels(
@@ -65,7 +82,8 @@ def pivot_labels(
     """One row per (Date, Ticker), one column per label.
 
     With ``duplicates="latest"`` copies of (Date, Ticker, Price) collapse to
-    the one with the greatest ``order``; with ``"sum"`` they are added up.
+    the one with the greatest ``order`` (by default the time of the load, if
+    the rows carry one); with ``"sum"`` they are added up.
 
     Labels are given, so none has to be discovered by an extra job, a label
     outside the list or a null one makes no column, and an empty input still
@@ -80,10 +98,8 @@ def pivot_labels(
         here = F.col("Price") == label
         if duplicates == "sum":
             cells[label] = F.sum(F.when(here, F.col("value")))
-        elif order is None:
-            cells[label] = F.max(F.when(here, F.col("value")))
         else:
-            cells[label] = F.max(F.when(here, F.struct(F.col(order), F.col("value"))))["value"]
+            cells[label] = _latest(order, F.col("value"), here)
     return long.groupBy("Date", "Ticker").agg(
         *[cell.alias(WIDE_NAMES.get(label, label)) for label, cell in cells.items()]
     )

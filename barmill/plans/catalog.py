@@ -151,7 +151,10 @@ def silver_pivot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedupe_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reshape.dedupe_latest(
-        event_prices(spark, sf_dir, DAY), ["Date", "Price", "Ticker"], "event_id"
+        event_prices(spark, sf_dir, DAY),
+        ["Date", "Price", "Ticker"],
+        order="event_id",
+        unique_order=True,
     )
 
 
