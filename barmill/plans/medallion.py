@@ -10,7 +10,7 @@ from collections.abc import Callable
 from datetime import date, datetime, timedelta
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,7 +108,13 @@ def transform(
     last: datetime | None,
     loaded_at: datetime,
     landing: DataFrame | None = None,
+    unlabelled: Observation | None = None,
 ) -> DataFrame:
+    """The planned rows of one layer.
+
+    ``unlabelled`` counts, while silver is written, bronze rows that no price
+    column can hold because their label is missing.
+    """
     if layer == "bronze":
         bars = landing
         if bars is None:
@@ -118,7 +124,11 @@ def transform(
             symbols = spark.read.format(cfg.fmt).load(cfg.symbols)
         return layers.bronze(bars, cfg, last, loaded_at, symbols)
     if layer == "silver":
-        return layers.silver(layers.new_rows(open_layer(spark, cfg, "bronze"), cfg, last), cfg)
+        rows = layers.new_rows(open_layer(spark, cfg, "bronze"), cfg, last)
+        if unlabelled is not None:
+            lost = F.count_if(F.col("Price").isNull())
+            rows = rows.observe(unlabelled, lost.alias("rows"))
+        return layers.silver(rows, cfg)
     bars = open_layer(spark, cfg, "silver")
     if cfg.granularity is DAY:
         return layers.gold(bars, cfg, last, first_close_day(bars, last))
@@ -142,15 +152,20 @@ def run_stage(
     try:
         last = last_loaded(spark, cfg, layer, moment)
         log.add("watermark", clock(cfg), f"most recent bar: {last}")
-        rows = transform(spark, cfg, layer, last, moment, landing)
+        unlabelled = Observation("unlabelled") if layer == "silver" else None
+        rows = transform(spark, cfg, layer, last, moment, landing, unlabelled)
         log.add("transform", clock(cfg), f"{layer} transformation planned")
-        counts = Observation(f"{layer}_rows")
-        counted = rows.observe(counts, *row_counts(layer))
+        written = Observation("written")
+        counted = rows.observe(written, F.count(F.lit(1)).alias("rows"))
         # Bronze is a record of loads and only ever grows.
         mode = "append" if layer == "bronze" else cfg.write
         write_days(counted, cfg.table(layer), mode, cfg.fmt)
-        written = counts.get["rows_out"]
-        log.add("write", clock(cfg), saved_message(counts.get), rows_out=written)
+        rows_out = written.get["rows"]
+        message = "table saved"
+        # An empty load is optimised away together with the count inside it.
+        if rows_out and unlabelled is not None and unlabelled.get["rows"]:
+            message += f", {unlabelled.get['rows']} rows without a label"
+        log.add("write", clock(cfg), message, rows_out=rows_out)
     except Exception as error:
         log.add("failed", clock(cfg), f"{type(error).__name__}: {error}", status="failed")
         raise
@@ -159,18 +174,6 @@ def run_stage(
     return True
 
 
-def row_counts(layer: str) -> list[Column]:
-    counts = [F.count(F.lit(1)).alias("rows_out")]
-    if layer == "bronze":
-        counts.append(F.count_if(F.col("Price").isNull()).alias("without_label"))
-    return counts
-
-
-def saved_message(counts: dict) -> str:
-    lost = counts.get("without_label", 0)
-    return "table saved" + (f", {lost} rows without a label" if lost else "")
-
-
 def run_chain(spark: SparkSession, cfg: RunConfig, landing: DataFrame | None = None) -> None:
     """Bronze, silver and gold in order; an error ends the chain."""
     for layer in LAYERS:
