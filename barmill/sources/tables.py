@@ -15,6 +15,13 @@ from barmill.operators.serving import stack
 from barmill.schemas import PARTITION
 
 
+# Error conditions that mean "there is no table here yet".
+MISSING = ("PATH_NOT_FOUND", "DELTA_PATH_DOES_NOT_EXIST", "DELTA_MISSING_DELTA_TABLE")
+
+# Formats that keep the schema themselves and refuse another one.
+SELF_DESCRIBING = ("delta",)
+
+
 def _stored(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(PARTITION, T.DateType())])
 
@@ -27,10 +34,13 @@ def find_table(
     The partition column stays: filter on ``p_date`` to prune days, and drop it
     with ``data_columns``.
     """
+    reader = spark.read.format(fmt)
+    if fmt not in SELF_DESCRIBING:
+        reader = reader.schema(_stored(schema))
     try:
-        return spark.read.schema(_stored(schema)).format(fmt).load(path)
+        return reader.load(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in MISSING:
             raise
         return None
 
@@ -100,10 +110,13 @@ def from_pandas(spark: SparkSession, pdf: Any, schema: T.StructType) -> DataFram
     return df.withColumns({c: nan_to_null(F.col(f"`{c}`")) for c in floats}) if floats else df
 
 
-def serving_table(spark: SparkSession, *roots: str, suffix: str = ".parquet") -> DataFrame:
+def serving_table(spark: SparkSession, *roots: str, fmt: str = "parquet") -> DataFrame:
     """All partitions of one or more tables stacked into one frame.
 
     Only data files count: log folders and other files are left out.
     """
-    parts = [spark.read.option("pathGlobFilter", f"*{suffix}").parquet(root) for root in roots]
+    reader = spark.read.format(fmt)
+    if fmt not in SELF_DESCRIBING:
+        reader = reader.option("pathGlobFilter", f"*.{fmt}")
+    parts = [reader.load(root) for root in roots]
     return data_columns(stack(*parts))

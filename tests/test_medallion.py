@@ -146,6 +146,15 @@ def test_header_wide_landing(spark, tmp_path):
     ]
 
 
+def test_orc_tables(spark, tmp_path):
+    cfg = config(tmp_path, fmt="orc")
+    for last in ("2024-01-04", "2024-01-05"):
+        gold = load(spark, cfg, [r for r in EXAMPLE_BARS if r[0] <= last])
+    assert as_set(gold, *COMPARED) == expected()
+    stacked = tables.serving_table(spark, cfg.table("gold"), fmt="orc")
+    assert as_set(stacked, *COMPARED) == expected()
+
+
 def test_gcm_tokens(spark, tmp_path):
     gold = load(spark, config(tmp_path, token="gcm"), EXAMPLE_BARS)
     assert as_set(gold, *COMPARED) == expected()
