@@ -63,14 +63,21 @@ def hmac_sha256(key: bytes, message: Column) -> Column:
     return F.unhex(F.sha2(F.concat(_pad(key, 0x5C), inner), 256))
 
 
+def _replaced(text: Column, *pairs: tuple[str, str]) -> Column:
+    # Several times faster than one translate(), which looks up each character.
+    for old, new in pairs:
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
+
+
 def to_token(raw: Column) -> Column:
-    """URL-safe base64; Spark's own base64 may break lines, so drop them."""
-    return F.translate(F.base64(raw), "+/\r\n", "-_")
+    """URL-safe base64; Spark's own base64 may break lines, so drop the breaks."""
+    return _replaced(F.base64(raw), ("+", "-"), ("/", "_"), ("\r\n", ""))
 
 
 def from_token(token: Column) -> Column:
     """Bytes of a URL-safe base64 text, null where it is not one."""
-    return F.try_to_binary(F.translate(token, "-_", "+/"), F.lit("base64"))
+    return F.try_to_binary(_replaced(token, ("-", "+"), ("_", "/")), F.lit("base64"))
 
 
 def fernet_body(
