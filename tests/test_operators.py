@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 from barmill import schemas
 from barmill.config import DAY, HOUR
 from barmill.functions import crypto
-from barmill.functions.times import easter_sunday, is_business_moment, national_holidays
+from barmill.functions.times import (
+    easter_sunday,
+    hour_start,
+    is_business_moment,
+    national_holidays,
+)
 from barmill.operators import calendar, incremental, masking, reshape, serving
 from barmill.operators.gold import derive
 from barmill.operators.previous_close import with_daily_close, with_previous_close
@@ -424,3 +429,24 @@ def test_stack_fills_absent_columns(spark):
     a = spark.createDataFrame([(1, 2)], "x int, y int")
     b = spark.createDataFrame([(3,)], "x int")
     assert as_set(serving.stack(a, b), "x", "y") == [(1, 2), (3, None)]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "America/Sao_Paulo", "Asia/Tokyo"])
+def test_session_zone_moves_nothing(spark, zone):
+    """Clock changes of the session zone touch neither bars nor labels."""
+    times = ("2018-11-04T00:00", "2024-03-10T02:30", "2024-11-03T01:30")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        bars = wide_rows(spark, [(t, "A", 1.0, 1.0) for t in times])
+        hours = as_set(bars.select(hour_start(F.col("Date")).alias("h")), "h")
+        gold = derive(with_daily_close(bars, bars), HOUR)
+        rows = as_set(gold, "Date", "Dia2", "Date2", "Date_label", "key")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert sorted(hours) == [(at(t[:14] + "00"),) for t in times]
+    assert sorted(rows) == [
+        (at(times[0]), None, at("2018-11-04T02:00"), "04/11/2018", "04/11/2018A"),
+        (at(times[1]), "2018-11-04", at("2024-03-10T04:30"), "10/03/2024", "10/03/2024A"),
+        (at(times[2]), "2024-03-10", at("2024-11-03T03:30"), "03/11/2024", "03/11/2024A"),
+    ]
