@@ -5,10 +5,16 @@ from __future__ import annotations
 # Two-place rounding as Spark does it: half up on the decimal text of the double.
 _ROUND = "CAST(round(CAST(CAST({0} AS VARCHAR) AS DECIMAL(38,20)), 2) AS DOUBLE)"
 
-# Holidays and their weekday rule inside the fixture's period.
-_CLOSED = """("Date"::DATE) IN (DATE '2024-01-01', DATE '2024-03-29', DATE '2024-04-21',
-    DATE '2024-05-01', DATE '2024-09-07', DATE '2024-10-12', DATE '2024-11-02',
-    DATE '2024-11-15', DATE '2024-11-20', DATE '2024-12-25')"""
+# Public holidays by month and day, one of them from 2024 on, and
+# the Good Fridays of 2020 to 2030.
+_CLOSED = """(
+    strftime("Date", '%m-%d') IN
+      ('01-01', '04-21', '05-01', '09-07', '10-12', '11-02', '11-15', '12-25')
+    OR (strftime("Date", '%m-%d') = '11-20' AND year("Date") >= 2024)
+    OR CAST("Date" AS DATE) IN (
+      DATE '2020-04-10', DATE '2021-04-02', DATE '2022-04-15', DATE '2023-04-07',
+      DATE '2024-03-29', DATE '2025-04-18', DATE '2026-04-03', DATE '2027-03-26',
+      DATE '2028-04-14', DATE '2029-03-30', DATE '2030-04-19'))"""
 
 _EVENTS = """
 priced AS (
