@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barmill.llm import fingerprint, language, mixing, site_lines, token_counts, transducer
+from barmill.llm import (
+    fingerprint, language, licenses, mixing, pii, shingle_join, site_lines, token_counts, transducer, wand,
+)
 from barmill.llm.util import documents
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -18,10 +20,19 @@ def op1_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op2_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.similar_documents(documents(spark, sf_dir), k=3, percent=90)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), TOKENIZER)
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return licenses.by_document(docs, licenses.scan(docs, licenses.train(docs)))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     said = language.identify(docs.select("doc_id", "text"), language.taught(docs))
@@ -36,6 +47,17 @@ def op6_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.select("page_id", "host", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op7_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    asked = docs.where(F.col("doc_id") % 100 == 0).select(F.col("doc_id").alias("query_id"), "text")
+    return wand.search(wand.build_index(docs), asked)
+
+
+def op8_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return pii.find(docs, pii.learn(docs))
+
+
 def op9_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.with_edits(documents(spark, sf_dir))
 
@@ -47,8 +69,8 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
-        op1_entropy_mix, op3_token_counts, op5_language_id, op6_site_lines,
-        op9_multiset_fingerprints, op10_bpe_transducer,
+        op1_entropy_mix, op2_shingle_join, op3_token_counts, op4_license_scan, op5_language_id, op6_site_lines,
+        op7_block_max_search, op8_pii_spans, op9_multiset_fingerprints, op10_bpe_transducer,
     )
 }
 

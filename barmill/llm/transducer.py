@@ -15,9 +15,11 @@ from __future__ import annotations
 
 import codecs
 import hashlib
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -260,3 +262,37 @@ def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
     rows, kind = _rows(df, id_col, text_col)
     return arrow_map(rows, run, f"doc_id {kind}, {DIGESTS}")
+
+
+def tokenised(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+    """df with n_tokens, ids (array of int) and lossless, whether the ids decode to the text; a null text has none.
+
+    Columns of these names are replaced; rows with nulls in other columns and repeated rows pass through.
+    """
+    new = ("n_tokens", "ids", "lossless")
+    rows = df.select(*(c for c in df.columns if c not in new))
+    at = rows.columns.index(text_col)
+    none = F.lit(None)
+    kinds = (none.cast("long"), none.cast("array<int>"), none.cast("boolean"))
+    schema = rows.select("*", *(k.alias(c) for c, k in zip(new, kinds))).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = load(path)
+        encoder = Encoder(bpe)
+        for batch in slices(batches):
+            ids, lossless = [], []
+            for text in batch.column(at).to_pylist():
+                found, decoder, same, done = array("i"), Decoder(bpe), True, 0
+                for part in encoder.closed(text or ""):
+                    found.extend(part)
+                    said = decoder.feed(part)
+                    same = same and text.startswith(said, done)
+                    done += len(said)
+                ids.append(np.frombuffer(found, np.int32))
+                lossless.append(same and not decoder.feed((), final=True) and done == len(text or ""))
+            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
+            sizes = pa.array(np.diff(ends).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, sizes, lists, pa.array(lossless)], names=[*rows.columns, *new])
+
+    return arrow_map(rows, run, schema)
