@@ -271,7 +271,7 @@ def tokenised(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """
     new = ("n_tokens", "ids", "lossless")
     rows = df.select(*(c for c in df.columns if c not in new))
-    at = rows.columns.index(text_col)
+    names, at = [*rows.columns, *new], rows.columns.index(text_col)
     none = F.lit(None)
     kinds = (none.cast("long"), none.cast("array<int>"), none.cast("boolean"))
     schema = rows.select("*", *(k.alias(c) for c, k in zip(new, kinds))).schema
@@ -281,18 +281,18 @@ def tokenised(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
         encoder = Encoder(bpe)
         for batch in slices(batches):
             ids, lossless = [], []
-            for text in batch.column(at).to_pylist():
+            for text in (t or "" for t in batch.column(at).to_pylist()):
                 found, decoder, same, done = array("i"), Decoder(bpe), True, 0
-                for part in encoder.closed(text or ""):
+                for part in encoder.closed(text):
                     found.extend(part)
                     said = decoder.feed(part)
                     same = same and text.startswith(said, done)
                     done += len(said)
                 ids.append(np.frombuffer(found, np.int32))
-                lossless.append(same and not decoder.feed((), final=True) and done == len(text or ""))
+                lossless.append(same and not decoder.feed((), final=True) and done == len(text))
             ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
             sizes = pa.array(np.diff(ends).astype(np.int64))
-            yield pa.RecordBatch.from_arrays([*batch.columns, sizes, lists, pa.array(lossless)], names=[*rows.columns, *new])
+            yield pa.RecordBatch.from_arrays([*batch.columns, sizes, lists, pa.array(lossless)], names=names)
 
     return arrow_map(rows, run, schema)

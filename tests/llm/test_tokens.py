@@ -1,0 +1,113 @@
+"""Token counts and the transducer against the tokenizer library."""
+
+import hashlib
+import random
+from itertools import chain
+
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from barmill.llm import transducer
+from barmill.llm.bpe import ByteBpe, load
+from barmill.llm.token_counts import Counter, count_tokens
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+ALPHABETS = ["ab", "the in", "aA1 '\n", "é😀中 a", " \n\t", "0123456789", "<|endoftext|>x ", "etaoinshr", "=-*", " a 　b"]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def made_up(rnd):
+    alphabet = rnd.choice(ALPHABETS)
+    extra = ["<|endoftext|>", " ", "'re", "    ", "\n\n"]
+    size = rnd.choice([0, 1, 5, 50, 400, 3000])
+    return "".join(rnd.choice(extra) if rnd.random() < 0.05 else rnd.choice(alphabet) for _ in range(size))
+
+
+@pytest.mark.parametrize("long", [4, 64, 4096])
+def test_encoder(library, long, monkeypatch):
+    monkeypatch.setattr(transducer, "PIECE", 64)
+    rnd = random.Random(long)
+    encoder = transducer.Encoder(load(PATH), long)
+    for _ in range(150):
+        text = made_up(rnd)
+        assert list(chain.from_iterable(encoder.closed(text))) == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_run_in_bounded_memory(library):
+    text = "".join(random.Random(3).choice("abcdeiou") for _ in range(30_000))
+    bpe = load(PATH)
+    run = transducer.RunTransducer(bpe, {})
+    ids = []
+    for k in range(0, len(text), 500):
+        ids += run.feed(text[k : k + 500].encode())
+        assert len(run.last) < 4 * bpe.longest
+    assert ids + run.finish() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_decoder(library):
+    rnd = random.Random(4)
+    bpe = load(PATH)
+    for _ in range(100):
+        ids = [rnd.randrange(50257) for _ in range(40)]
+        decoder = transducer.Decoder(bpe)
+        pieces = [decoder.feed(ids[k : k + 3]) for k in range(0, 40, 3)]
+        assert "".join(pieces) + decoder.feed((), final=True) == library.decode(ids, skip_special_tokens=False)
+
+
+@pytest.mark.parametrize(("chunk", "overlap"), [(20, 1), (64, 4), (500, 16)])
+def test_chunks(library, chunk, overlap):
+    rnd = random.Random(chunk)
+    counter = Counter(load(PATH), chunk, overlap)
+    for _ in range(150):
+        text = made_up(rnd)
+        assert counter.count(text) == len(library.encode(text, add_special_tokens=False).ids), text
+
+
+def test_overlaps_widen(library):
+    counter = Counter(load(PATH), 100, 8)
+    text = "word " * 50 + "x" * 900 + " end " * 80
+    assert counter.count(text) == len(library.encode(text, add_special_tokens=False).ids)
+    assert counter.widened > 0
+
+
+def test_other_tokenizers_are_refused():
+    with pytest.raises(ValueError, match="byte-level"):
+        ByteBpe(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_corpus(spark, library):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    ids = {d: library.encode(t, add_special_tokens=False).ids for d, t in rows.items()}
+    for r in count_tokens(docs, PATH, chunk=300, overlap=30).collect():
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(rows[r.doc_id].encode()), len(ids[r.doc_id]), len(ids[r.doc_id]) > 1024)
+    for r in transducer.round_trip(docs, PATH).collect():
+        assert r.n_tokens == len(ids[r.doc_id])
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids[r.doc_id])).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(rows[r.doc_id].encode()).hexdigest()
+    encoded = transducer.encode(docs, PATH)
+    assert {r.doc_id: r.ids for r in encoded.collect()} == ids
+    assert {r.doc_id: r.text for r in transducer.decode(encoded, PATH).collect()} == rows
+    for r in transducer.tokenised(docs, PATH).collect():
+        assert r.lossless and r.ids == ids[r.doc_id] and r.n_tokens == len(r.ids) and r.text == rows[r.doc_id]
+
+
+def test_edges(spark):
+    rows = [(None, "a b"), (1, None), (2, ""), (3, "x"), (3, "x"), (4, "<|endoftext|>")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("ids", F.lit("mine")).withColumn("n_tokens", F.lit("mine"))
+    counts = sorted((tuple(r) for r in count_tokens(df, PATH).collect()), key=repr)
+    assert counts == sorted([(None, 3, 2, False), (1, 0, 0, False), (2, 0, 0, False), (3, 1, 1, False), (3, 1, 1, False), (4, 13, 1, False)], key=repr)
+    none = hashlib.sha256(b"").hexdigest()
+    tripped = transducer.round_trip(df, PATH).collect()
+    assert [(r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in tripped if r.doc_id in (1, 2)] == [(0, none, none)] * 2
+    assert sorted(r.n_tokens for r in transducer.tokenised(df, PATH).collect()) == [0, 0, 1, 1, 1, 2]
+    assert all(r.lossless for r in transducer.tokenised(df, PATH).collect())
+    empty = df.where("false")
+    for out in (count_tokens(empty, PATH), transducer.round_trip(empty, PATH), transducer.encode(empty, PATH), transducer.tokenised(empty, PATH)):
+        assert out.count() == 0
