@@ -20,11 +20,11 @@ class Granularity:
     name: str
     step: timedelta
     guard_hours: bool
-    gold_schema: T.StructType
+    gold_hourly: bool
 
 
-HOUR = Granularity("hourly", timedelta(hours=1), True, schemas.GOLD_HOURLY)
-DAY = Granularity("daily", timedelta(days=1), False, schemas.GOLD_DAILY)
+HOUR = Granularity("hourly", timedelta(hours=1), True, True)
+DAY = Granularity("daily", timedelta(days=1), False, False)
 
 
 @dataclass(frozen=True)
@@ -60,6 +60,16 @@ class MaskKey:
 class RunConfig:
     """Settings of one medallion, for one granularity.
 
+    ``labels`` are the price labels that silver and gold carry as columns; the
+    six usual ones come first. Rows of other labels stay in bronze and are
+    counted in the run log. ``symbols`` names a table of tickers (``Ticker``),
+    or a listing (``symbol``, ``country``) of which ``country``'s symbols up
+    to ``longest_symbol`` characters are loaded. ``sequence`` names a landing
+    column by which copies of a bar in one load are told apart, the last one
+    counting.
+
+    ``token="gcm"`` must not mask more than 2**32 rows with one key.
+
     ``lookback`` says where previous closes may come from: ``"history"`` (all
     loaded days) or ``"slice"`` (only the rows being loaded). ``write`` is
     ``"overwrite"`` (silver and gold replace whole days, so a rerun changes
@@ -83,6 +93,11 @@ class RunConfig:
     trading_hours: tuple[int, int] = (12, 21)
     holidays: Iterable[date] | None = None
     symbols: str | None = None
+    country: str = "brazil"
+    longest_symbol: int | None = 5
+    symbol_suffix: str = ".SA"
+    labels: tuple[str, ...] = schemas.LABELS
+    sequence: str | None = None
     since: datetime | None = None
     clock: Callable[[], datetime] | None = None
 
@@ -95,6 +110,8 @@ class RunConfig:
         ):
             if getattr(self, name) not in allowed:
                 raise ValueError(f"{name} must be one of {allowed}, got {getattr(self, name)!r}")
+        if tuple(self.labels[: len(schemas.LABELS)]) != schemas.LABELS:
+            raise ValueError(f"labels must start with {schemas.LABELS}, got {self.labels}")
         if self.compat:
             object.__setattr__(self, "lookback", "slice")
             object.__setattr__(self, "write", "append")
@@ -102,8 +119,16 @@ class RunConfig:
     def table(self, layer: str, granularity: Granularity | None = None) -> str:
         return f"{self.root}/{layer}/{(granularity or self.granularity).name}"
 
-    def text_log(self, layer: str) -> str:
-        return f"{self.root}/{layer}/_log_{self.granularity.name}"
+    def stored_schema(self, layer: str) -> T.StructType:
+        return {
+            "bronze": schemas.BRONZE_STORED,
+            "silver": schemas.silver(self.labels),
+            "gold": schemas.gold(self.labels, self.granularity.gold_hourly),
+        }[layer]
+
+    def text_log(self) -> str:
+        """Root of the text log, which has a folder for each layer."""
+        return f"{self.root}/_log_{self.granularity.name}"
 
     def run_log(self) -> str:
         return f"{self.root}/_run_log"

@@ -42,18 +42,17 @@ def _eight_bytes(number: Column) -> Column:
     return F.unhex(F.lpad(F.hex(number), 16, "0"))
 
 
-def fresh_iv(size: int) -> Column:
-    """An unpredictable IV per row: a hash of a secret, the run and the row id.
-
-    Spark treats an ``aes_encrypt`` that draws its own IV as deterministic and
-    may fold or repeat it. The row id marks this expression as what it is, so
-    it is evaluated once per row, and a retried task makes the same tokens.
+def fresh_iv(size: int, row: Column | None = None) -> Column:
+    """An unpredictable IV per row: a hash of a secret, the run and the row.
+
+    ``row`` is a text that no other row has. The IV then hangs on nothing
+    else, so a retried task makes the same tokens in whatever order its rows
+    arrive, and no two rows share an IV. Without it the row's number in its
+    partition is used: IVs differ, but a retry after a shuffle may give them
+    to other rows.
     """
-    parts = (
-        binary(os.urandom(32)),
-        _eight_bytes(F.unix_micros(F.current_timestamp())),
-        _eight_bytes(F.monotonically_increasing_id()),
-    )
+    own = _eight_bytes(F.monotonically_increasing_id()) if row is None else F.encode(row, "UTF-8")
+    parts = (binary(os.urandom(32)), _eight_bytes(F.unix_micros(F.current_timestamp())), own)
     return F.substring(F.unhex(F.sha2(F.concat(*parts), 256)), 1, size)
 
 
@@ -81,7 +80,11 @@ def from_token(token: Column) -> Column:
 
 
 def fernet_body(
-    plain: Column, key: MaskKey, seconds: Column | None = None, iv: Column | None = None
+    plain: Column,
+    key: MaskKey,
+    seconds: Column | None = None,
+    iv: Column | None = None,
+    row: Column | None = None,
 ) -> Column:
     """Everything of a token that its HMAC covers.
 
@@ -89,7 +92,7 @@ def fernet_body(
     token come from one evaluation.
     """
     when = F.unix_seconds(F.current_timestamp()) if seconds is None else seconds
-    start = fresh_iv(FERNET_IV) if iv is None else iv
+    start = fresh_iv(FERNET_IV, row) if iv is None else iv
     cipher = F.aes_encrypt(plain, binary(key.encryption), F.lit("CBC"), F.lit("PKCS"), start)
     return F.concat(binary(VERSION), _eight_bytes(when), cipher)
 
@@ -119,9 +122,9 @@ def fernet_open(body: Column, key: MaskKey) -> Column:
     return F.aes_decrypt(cipher, binary(key.encryption), F.lit("CBC"), F.lit("PKCS")).cast("string")
 
 
-def gcm_seal(plain: Column, key: MaskKey) -> Column:
+def gcm_seal(plain: Column, key: MaskKey, row: Column | None = None) -> Column:
     sealed = F.aes_encrypt(
-        plain, binary(key.raw), F.lit("GCM"), F.lit("DEFAULT"), fresh_iv(GCM_IV)
+        plain, binary(key.raw), F.lit("GCM"), F.lit("DEFAULT"), fresh_iv(GCM_IV, row)
     )
     return to_token(sealed)
 

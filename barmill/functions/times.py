@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -64,6 +65,29 @@ def easter_sunday(year: int) -> date:
     return date(year, 3, 22) + timedelta(days=full_moon + to_sunday - week_back)
 
 
+def easter_day(year: Column) -> Column:
+    """``easter_sunday`` as an expression, for any year."""
+    century = F.floor(year / 100)
+    skips = century - F.floor(century / 4)
+    moon = F.pmod(15 - F.floor((13 + 8 * century) / 25) + skips, F.lit(30))
+    full = F.pmod(19 * F.pmod(year, F.lit(19)) + moon, F.lit(30))
+    sunday = F.pmod(2 * F.pmod(year, F.lit(4)) + 4 * F.pmod(year, F.lit(7)) + 6 * full + 4 + skips, F.lit(7))
+    late = (full == 29) | ((full == 28) & (F.pmod(11 * moon + 11, F.lit(30)) < 19))
+    back = F.when(late & (sunday == 6), 7).otherwise(0)
+    return F.date_add(F.make_date(year.cast("int"), F.lit(3), F.lit(22)), (full + sunday - back).cast("int"))
+
+
+def is_holiday(ts: Column) -> Column:
+    """Whether a time falls on a public national holiday; an expression of its date, without a table of years."""
+    day = F.to_date(ts)
+    year = F.year(day)
+    fixed = [
+        (F.month(day) == m) & (F.dayofmonth(day) == d) & (year >= first) for m, d, first, _ in FIXED_HOLIDAYS
+    ]
+    movable = day == F.date_sub(easter_day(year), 2)
+    return reduce(lambda a, b: a | b, fixed, movable)
+
+
 def national_holidays(years: Iterable[int]) -> Iterator[tuple[date, str]]:
     for year in years:
         for month, day, first_year, name in FIXED_HOLIDAYS:

@@ -7,21 +7,23 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barmill.functions.times import in_hours, is_weekday, national_holidays
+from barmill.functions.times import in_hours, is_holiday, is_weekday, national_holidays
 from barmill.schemas import HOLIDAYS, PARTITION
 
 
-def holiday_table(spark: SparkSession, years: Iterable[int] = range(1970, 2101)) -> DataFrame:
-    """National holidays by rule; pass a frame of your own to override it."""
+def holiday_table(spark: SparkSession, years: Iterable[int]) -> DataFrame:
+    """National holidays of the given years, for display; filters use ``is_holiday``."""
     return spark.createDataFrame(list(national_holidays(years)), HOLIDAYS)
 
 
-def business_days(df: DataFrame, holidays: DataFrame, column: str = "Date") -> DataFrame:
-    """Rows on a weekday that is no holiday.
+def business_days(df: DataFrame, holidays: DataFrame | None = None, column: str = "Date") -> DataFrame:
+    """Rows on a weekday that is no holiday: a national one by rule, or one of ``holidays``.
 
     The broadcast side holds distinct dates, and dates are bounded by the
     calendar: all of them together stay far below the broadcast limit.
     """
+    if holidays is None:
+        return df.filter(is_weekday(F.col(column)) & ~is_holiday(F.col(column)))
     closed = F.broadcast(holidays.select(F.to_date("holiday").alias("_day")).distinct())
     open_days = df.filter(is_weekday(F.col(column)))
     return open_days.join(closed, F.to_date(F.col(column)) == F.col("_day"), "left_anti")

@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barmill.config import DAY, Granularity
 from barmill.functions import measures
 from barmill.functions.times import display_date
-from barmill.schemas import ROUNDED
+from barmill.operators.reshape import quoted
+from barmill.schemas import LABELS, ROUNDED, gold
 
 
-def derive(bars: DataFrame, granularity: Granularity, null_is_fall: bool = False) -> DataFrame:
+def derive(
+    bars: DataFrame,
+    granularity: Granularity,
+    null_is_fall: bool = False,
+    labels: Sequence[str] = LABELS,
+) -> DataFrame:
     """Measures, direction label, display dates and the serving key.
 
     Daily rows are rounded to two places after the label is taken from the
@@ -35,4 +43,4 @@ def derive(bars: DataFrame, granularity: Granularity, null_is_fall: bool = False
     derived = bars.withColumns(columns)
     if granularity is DAY:
         derived = derived.withColumns({c: F.round(c, 2) for c in ROUNDED})
-    return derived.select(*granularity.gold_schema.fieldNames())
+    return derived.select(*(quoted(c) for c in gold(labels, granularity.gold_hourly).fieldNames()))

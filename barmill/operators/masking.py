@@ -6,6 +6,8 @@ column can be neither joined nor grouped. Unmask first.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,11 +15,22 @@ from barmill.config import MaskKey
 from barmill.functions import crypto
 
 
-def mask(df: DataFrame, key: MaskKey, column: str = "Ticker", token: str = "fernet") -> DataFrame:
-    """Replace a string column by tokens; null stays null."""
+def mask(
+    df: DataFrame,
+    key: MaskKey,
+    column: str = "Ticker",
+    token: str = "fernet",
+    unique: Sequence[str] = (),
+) -> DataFrame:
+    """Replace a string column by tokens; null stays null.
+
+    ``unique`` names columns that tell rows apart; tokens then hang on them and
+    not on the order of rows.
+    """
+    row = F.to_json(F.struct(*unique)) if unique else None
     if token == "gcm":
-        return df.withColumn(column, crypto.gcm_seal(F.col(column), key))
-    body = df.withColumn("_body", crypto.fernet_body(F.col(column), key))
+        return df.withColumn(column, crypto.gcm_seal(F.col(column), key, row))
+    body = df.withColumn("_body", crypto.fernet_body(F.col(column), key, row=row))
     return body.withColumn(column, crypto.fernet_sign(F.col("_body"), key)).drop("_body")
 
 

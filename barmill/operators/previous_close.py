@@ -68,10 +68,11 @@ def with_daily_close(
 
     ``lookback="slice"`` takes the day list from the closes alone: a bar day
     without closes of its own then has no previous day. ``days`` and
-    ``close_days`` may pass the days of either side from a cheaper source.
+    ``close_days`` may pass the days of either side from a cheaper source; the
+    same frame for both is read once.
     """
     closed = market_days(closes if close_days is None else close_days)
-    if lookback == "slice":
+    if lookback == "slice" or (days is not None and days is close_days):
         calendar = day_map(closed).select("Dia", "Dia2")
     else:
         calendar = asof_day_map(market_days(bars if days is None else days), closed)

@@ -82,33 +82,46 @@ def pivot_labels(
     """One row per (Date, Ticker), one column per label.
 
     With ``duplicates="latest"`` copies of (Date, Ticker, Price) collapse to
-    the one with the greatest ``order`` (by default the time of the load, if
-    the rows carry one); with ``"sum"`` they are added up.
+    the one with the greatest ``order``; with ``"sum"`` they are added up, and
+    with ``"max"`` the greatest value stays. Stored rows carry the time of
+    their load, of which each key has one row; that order has no ties and
+    needs a hash aggregate only. Rows without an order are refused.
 
     Labels are given, so none has to be discovered by an extra job, a label
-    outside the list or a null one makes no column, and an empty input still
-    has the full schema. Each label is a conditional aggregate of one
+    outside the list or a null one makes no column (``left_out`` counts them),
+    and an empty input still has the full schema. Each label is a conditional aggregate of one
     ``groupBy``: one shuffle, where ``pivot`` plans an aggregation per key and
     label and then a second one.
     """
-    if order is None and INGESTED in long.columns:
-        order = INGESTED
+    unique = order is None and INGESTED in long.columns
+    order = INGESTED if unique else order
+    if duplicates == "latest" and order is None:
+        raise ValueError("the latest copy needs an order; say duplicates='max' or 'sum' for rows without one")
     cells = {}
     for label in labels:
         here = F.col("Price") == label
         if duplicates == "sum":
             cells[label] = F.sum(F.when(here, F.col("value")))
         else:
-            cells[label] = _latest(order, F.col("value"), here)
+            kept = None if duplicates == "max" else order
+            cells[label] = _latest(kept, F.col("value"), here, unique_order=unique)
     return long.groupBy("Date", "Ticker").agg(
         *[cell.alias(WIDE_NAMES.get(label, label)) for label, cell in cells.items()]
     )
 
 
-def discover_labels(long: DataFrame) -> list[str]:
-    """The labels present, sorted. Runs a job; at most a column's worth of names."""
-    found = long.filter(F.col("Price").isNotNull()).select("Price").distinct()
-    return sorted(row[0] for row in found.collect())
+def discover_labels(long: DataFrame, most: int = 1000) -> list[str]:
+    """The labels present, sorted. Runs a job; more than ``most`` cannot be columns and are an error."""
+    found = long.filter(F.col("Price").isNotNull()).select("Price").distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} labels; pass the ones to keep")
+    return sorted(row[0] for row in found)
+
+
+def left_out(long: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """``label`` and ``rows`` of the labels that a pivot to ``labels`` leaves out, null among them."""
+    other = F.col("Price").isNull() | ~F.col("Price").isin(list(labels))
+    return long.filter(other).groupBy(F.col("Price").alias("label")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def complete_bars(wide: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barmill.schemas import PARTITION
+
 
 def stack(*parts: DataFrame) -> DataFrame:
     """All rows of all parts, matched by name; absent columns become null."""
@@ -14,9 +16,19 @@ def stack(*parts: DataFrame) -> DataFrame:
 
 
 def relate(hourly: DataFrame, daily: DataFrame, suffix: str = "_daily") -> DataFrame:
-    """Hourly rows with the daily row of the same ``key`` beside them."""
+    """Hourly rows with the daily row of the same ``key`` beside them.
+
+    ``key`` is made of the day and the instrument, so rows meet by these two;
+    stored tables are then pruned by day, and rows without an instrument,
+    which match nothing, are spread over all tasks by the day.
+    """
+    day = F.col(PARTITION) if PARTITION in daily.columns else F.to_date("Date")
+    columns = [c for c in daily.columns if c not in ("key", PARTITION)]
     renamed = daily.select(
-        "key", *[F.col(c).alias(c + suffix) for c in daily.columns if c != "key"]
+        day.alias("_day"), F.col("Ticker").alias("_ticker"), *[F.col(c).alias(c + suffix) for c in columns]
     )
-    joined = hourly.join(renamed, "key", "left")
-    return joined.select(*hourly.columns, *[c for c in renamed.columns if c != "key"])
+    own = F.col(PARTITION) if PARTITION in hourly.columns else F.to_date("Date")
+    left = hourly.withColumn("_own", own)
+    same = (F.col("_own") == F.col("_day")) & (F.col("Ticker") == F.col("_ticker"))
+    names = [c for c in hourly.columns if c != PARTITION]
+    return left.join(renamed, same, "left").select(*names, *[c + suffix for c in columns])

@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barmill import schemas
 from barmill.config import DAY, HOUR, Granularity, MaskKey, RunConfig
 from barmill.operators import calendar, incremental, masking, reshape, serving
 from barmill.operators.gold import derive
 from barmill.operators.previous_close import with_daily_close, with_previous_close
-from barmill.plans import medallion
-from barmill.plans.runlog import read_run_log
+from barmill.plans import layers, medallion
+from barmill.plans.runlog import read_run_log, read_text_log
 from barmill.sources import landing, tables
 from barmill.sources.market_events import (
     event_bars,
@@ -32,20 +32,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 TEST_KEY = MaskKey.from_text("cw_0x689RpI-jtRR7oE8h_eQsKImvJapLeSbXpwF4e4=")
 LOADED_DAY = datetime(2024, 1, 15)
 LOADED_HOUR = datetime(2024, 1, 15, 12)
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+
+# Fixed clocks of the guarded runs: a holiday and the business day after it.
+HOLIDAY = datetime(2024, 1, 1, 15)
+WORKDAY = datetime(2024, 1, 2, 15)
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below the shared one the cluster names.
+    """A new folder for a lake inside the warehouse, which a cluster keeps on shared storage.
 
-    Only a local session without that setting may use a folder of this machine.
+    Whoever runs the queries removes the lakes.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="barmill-")
-    return f"{shared}/barmill-{uuid.uuid4().hex}"
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/barmill-{uuid.uuid4().hex}"
 
 
 # --- shared inputs ---------------------------------------------------------
@@ -57,7 +55,8 @@ def bronze_rows(spark: SparkSession, sf_dir: str, granularity: Granularity) -> D
 
 def silver_bars(spark: SparkSession, sf_dir: str, granularity: Granularity) -> DataFrame:
     """Bars through the long form and back, as the two first layers do it."""
-    return reshape.complete_bars(reshape.pivot_labels(bronze_rows(spark, sf_dir, granularity)))
+    long = bronze_rows(spark, sf_dir, granularity)
+    return reshape.complete_bars(reshape.pivot_labels(long, duplicates="max"))
 
 
 def wide_bars(spark: SparkSession, sf_dir: str, granularity: Granularity) -> DataFrame:
@@ -66,13 +65,11 @@ def wide_bars(spark: SparkSession, sf_dir: str, granularity: Granularity) -> Dat
 
 def business_closes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily closes of business days only, so that some bar days have none."""
-    return calendar.business_days(
-        wide_bars(spark, sf_dir, DAY), calendar.holiday_table(spark)
-    )
+    return calendar.business_days(wide_bars(spark, sf_dir, DAY))
 
 
 def business_event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return calendar.business_days(event_days(spark, sf_dir), calendar.holiday_table(spark))
+    return calendar.business_days(event_days(spark, sf_dir))
 
 
 # --- bronze ----------------------------------------------------------------
@@ -86,7 +83,7 @@ def bronze_melt_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A two-level header (label, event type) melted; empty hours stay null."""
     prices = event_prices(spark, sf_dir, HOUR)
     cells = {}
-    for kind in EVENT_TYPES:
+    for kind in reshape.discover_labels(prices):
         here = F.col("Price") == kind
         priced = F.when(here, F.col("value"))
         cells[f"Close|{kind}"] = F.max_by(priced, F.when(here, F.col("event_id")))
@@ -104,15 +101,20 @@ def symbol_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.symbol_universe(listed.distinct(), "PROMO", longest=7)
 
 
-def bars_for_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily bars of the instruments one nation lists."""
+def listed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A listing of instruments by nation."""
     nation = scan(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    listed = (
+    return (
         scan(spark, sf_dir, "customer")
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(ticker(F.col("c_custkey")).alias("symbol"), F.col("n_name").alias("country"))
     )
-    symbols = landing.symbol_universe(listed, "NATION_7", suffix="")
+
+
+def bars_for_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily bars of the instruments one nation lists."""
+    listed = listed_customers(spark, sf_dir)
+    symbols = landing.symbol_universe(listed, "NATION_7", longest=None, suffix="")
     return landing.bars_for_symbols(wide_bars(spark, sf_dir, DAY), symbols)
 
 
@@ -145,8 +147,24 @@ def silver_pivot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     prices = event_prices(spark, sf_dir, DAY).withColumn(
         "value", F.col("value").cast("decimal(18,2)")
     )
-    summed = reshape.pivot_labels(prices, EVENT_TYPES, duplicates="sum")
-    return summed.withColumns({c: F.col(c).cast("double") for c in EVENT_TYPES})
+    kinds = reshape.discover_labels(prices)
+    summed = reshape.pivot_labels(prices, kinds, duplicates="sum")
+    return summed.withColumns({c: F.col(c).cast("double") for c in kinds})
+
+
+def silver_pivot_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies in one load and in two: hourly bars as copies of a day's bar.
+
+    In a load the last hour counts, and the second load, of the morning hours,
+    counts before the first.
+    """
+    cfg = run_config(scratch(spark), DAY, sequence="hour")
+    hourly = event_bars(spark, sf_dir, HOUR).withColumn("hour", F.hour("Date"))
+    copies = hourly.withColumn("Date", F.to_date("Date").cast("timestamp_ntz"))
+    for number, part in enumerate((copies, copies.filter("hour < 12"))):
+        load = layers.bronze(part, cfg, incremental.Mark(), WORKDAY + timedelta(seconds=number))
+        tables.write_days(load, cfg.table("bronze"), "append")
+    return reshape.complete_bars(reshape.pivot_labels(medallion.read_layer(spark, cfg, "bronze")))
 
 
 def dedupe_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,13 +184,43 @@ def mask_round_trip(token: str) -> Query:
     return query
 
 
+def masked_bars(spark: SparkSession, sf_dir: str, token: str) -> DataFrame:
+    """Masked tickers with the clear one beside them."""
+    bars = wide_bars(spark, sf_dir, DAY).select("Date", "Volume", F.col("Ticker").alias("clear"), "Ticker")
+    return masking.mask(bars, TEST_KEY, token=token, unique=("Date", "clear"))
+
+
 def mask_hides_plaintext(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bars = wide_bars(spark, sf_dir, DAY).select(F.col("Ticker").alias("clear"), "Ticker")
-    seen = masking.mask(bars, TEST_KEY)
-    return seen.groupBy("clear").agg(
-        F.count_if(F.col("Ticker") == F.col("clear")).alias("equal_to_plain"),
-        F.count("Ticker").alias("tokens"),
-    )
+    """Per instrument and token form: every row has a token of its own, long, without the text, that opens."""
+
+    def seen(token: str) -> DataFrame:
+        both = masked_bars(spark, sf_dir, token).withColumn("token", F.col("Ticker"))
+        opened = masking.unmask(both, TEST_KEY, token=token)
+        return opened.groupBy("clear").agg(
+            F.count_if(F.col("token").isin(F.col("clear"), F.reverse("clear"))).alias("shown"),
+            F.count_if(F.length("token") < 40).alias("short"),
+            F.count_distinct("token").alias("tokens"),
+            F.count_if(F.col("Ticker") == F.col("clear")).alias("opened"),
+        ).withColumn("form", F.lit(token))
+
+    return seen("fernet").unionByName(seen("gcm"))
+
+
+def mask_damaged_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every token of a bar whose volume is a multiple of three has one character changed."""
+
+    def opened(token: str) -> DataFrame:
+        at = F.substring("Ticker", 30, 1)
+        changed = F.overlay("Ticker", F.when(at == "A", "B").otherwise("A"), F.lit(30))
+        damaged = masked_bars(spark, sf_dir, token).withColumn(
+            "Ticker", F.when(F.col("Volume") % 3 == 0, changed).otherwise(F.col("Ticker"))
+        )
+        return masking.unmask(damaged, TEST_KEY, token=token).groupBy("clear").agg(
+            F.count_if(F.col("Ticker").isNull()).alias("lost"),
+            F.count_if(F.col("Ticker") == F.col("clear")).alias("opened"),
+        ).withColumn("form", F.lit(token))
+
+    return opened("fernet").unionByName(opened("gcm"))
 
 
 # --- calendar --------------------------------------------------------------
@@ -242,6 +290,27 @@ def gold_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive(with_daily_close(bars, closes, days=days, close_days=days), HOUR)
 
 
+def coarse_bars(spark: SparkSession, sf_dir: str, granularity: Granularity) -> DataFrame:
+    """Bars in whole fifties, so that closes repeat and are zero; High is no number where the volume is even."""
+    bars = event_bars(spark, sf_dir, granularity)
+    prices = ("Adj Close", "Close", "High", "Low", "Open")
+    coarse = bars.withColumns({c: F.floor(F.col(c) / 50) * 50.0 for c in prices})
+    nan = F.when(F.col("Volume") % 2 == 0, float("nan")).otherwise(F.col("High"))
+    long = reshape.melt_bars(coarse.withColumn("High", nan))
+    return reshape.complete_bars(reshape.pivot_labels(long, duplicates="max"))
+
+
+def gold_daily_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bars = coarse_bars(spark, sf_dir, DAY)
+    return derive(with_previous_close(bars, days=event_days(spark, sf_dir)), DAY)
+
+
+def gold_hourly_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bars, closes = coarse_bars(spark, sf_dir, HOUR), coarse_bars(spark, sf_dir, DAY)
+    days = event_days(spark, sf_dir)
+    return derive(with_daily_close(bars, closes, days=days, close_days=days), HOUR)
+
+
 def gold_daily_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive(prev_close_slice(spark, sf_dir), DAY, null_is_fall=True)
 
@@ -261,14 +330,21 @@ def stack_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def serving_hourly_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.relate(gold_hourly(spark, sf_dir), gold_daily(spark, sf_dir))
+    """Both golds stored by day, and related from there."""
+    root = scratch(spark)
+    stored = []
+    for granularity, rows in ((HOUR, gold_hourly(spark, sf_dir)), (DAY, gold_daily(spark, sf_dir))):
+        path = f"{root}/{granularity.name}"
+        tables.write_days(tables.by_day(rows), path, "append")
+        stored.append(tables.read_table(spark, path, schemas.gold(hourly=granularity is HOUR)))
+    return serving.relate(*stored)
 
 
 # --- whole runs ------------------------------------------------------------
 
 
 def run_config(root: str, granularity: Granularity, **options) -> RunConfig:
-    return RunConfig(root=root, granularity=granularity, key=TEST_KEY, guard=False, **options)
+    return RunConfig(root=root, granularity=granularity, key=TEST_KEY, **{"guard": False, **options})
 
 
 def run_daily(spark: SparkSession, sf_dir: str, root: str, **options) -> RunConfig:
@@ -306,10 +382,127 @@ def medallion_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return medallion.read_layer(spark, hourly, "gold")
 
 
+def kind_landing(spark: SparkSession, sf_dir: str, path: str, *extra: str) -> None:
+    """A wide landing table on a path: an instrument for each event type, a column for each label of it."""
+    prices = event_prices(spark, sf_dir, DAY)
+    cells = {}
+    for kind in reshape.discover_labels(prices):
+        here = F.col("Price") == kind
+        priced, order = F.when(here, F.col("value")), F.when(here, F.col("event_id"))
+        cells[f"Adj Close|{kind}"] = cells[f"Close|{kind}"] = F.max_by(priced, order)
+        cells[f"High|{kind}"], cells[f"Low|{kind}"] = F.max(priced), F.min(priced)
+        cells[f"Open|{kind}"] = F.min_by(priced, order)
+        cells[f"Volume|{kind}"] = F.count(priced).cast("double")
+        cells |= {f"{label}|{kind}": F.count(priced) / 2 for label in extra}
+    prices.groupBy("Date").agg(*[c.alias(name) for name, c in cells.items()]).write.parquet(path)
+
+
+def medallion_landing_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A chain that reads the wide table from its path."""
+    root = scratch(spark)
+    kind_landing(spark, sf_dir, f"{root}/landing")
+    cfg = run_config(root, DAY, landing=f"{root}/landing")
+    medallion.run_chain(spark, cfg)
+    return medallion.read_layer(spark, cfg, "gold")
+
+
+def medallion_landing_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A chain that reads tidy bars and a listing of symbols from their paths."""
+    root = scratch(spark)
+    event_bars(spark, sf_dir, DAY).write.parquet(f"{root}/landing")
+    listed_customers(spark, sf_dir).write.parquet(f"{root}/symbols")
+    cfg = run_config(
+        root, DAY, landing=f"{root}/landing", symbols=f"{root}/symbols", country="NATION_7",
+        longest_symbol=None, symbol_suffix="",
+    )
+    medallion.run_chain(spark, cfg)
+    return medallion.read_layer(spark, cfg, "gold")
+
+
+def silver_pivot_extra_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A seventh label carried to gold."""
+    cfg = run_config(scratch(spark), DAY, labels=(*schemas.LABELS, "Dividends"))
+    bars = event_bars(spark, sf_dir, DAY).withColumn("Dividends", F.col("Volume") / 2)
+    medallion.run_chain(spark, cfg, bars)
+    return medallion.read_layer(spark, cfg, "gold")
+
+
+def labels_left_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What silver logs about a label that has no column."""
+    root = scratch(spark)
+    kind_landing(spark, sf_dir, f"{root}/landing", "Dividends")
+    cfg = run_config(root, DAY, landing=f"{root}/landing")
+    for layer in ("bronze", "silver"):
+        medallion.run_stage(spark, cfg, layer)
+    return read_run_log(spark, cfg).filter("step = 'write'").select("layer", "message")
+
+
+def medallion_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later load takes back the close of every bar of the last day, so that the day goes."""
+    cfg = run_config(scratch(spark), DAY)
+    bars = event_bars(spark, sf_dir, DAY)
+    day = F.lit(LOADED_DAY).cast("timestamp_ntz")
+    medallion.run_chain(spark, cfg, bars.filter(F.col("Date") <= day))
+    withdrawn = bars.filter(F.col("Date") == day).withColumn("Adj Close", F.lit(None).cast("double"))
+    later = layers.bronze(withdrawn, cfg, incremental.Mark(), medallion.load_time(cfg))
+    tables.write_days(later, cfg.table("bronze"), "append")
+    for layer in ("silver", "gold"):
+        medallion.run_stage(spark, cfg, layer)
+    return medallion.read_layer(spark, cfg, "gold")
+
+
+def medallion_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Literal mode: every bar comes twice and is added up."""
+    cfg = run_config(scratch(spark), DAY, compat=True)
+    bars = event_bars(spark, sf_dir, DAY)
+    medallion.run_chain(spark, cfg, bars.unionByName(bars))
+    return medallion.read_layer(spark, cfg, "gold")
+
+
+def medallion_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads that add strictly later rows."""
+    cfg = run_config(scratch(spark), DAY, write="append")
+    bars = event_bars(spark, sf_dir, DAY)
+    for part in (bars.filter(F.col("Date") <= F.lit(LOADED_DAY).cast("timestamp_ntz")), bars):
+        medallion.run_chain(spark, cfg, part)
+    return medallion.read_layer(spark, cfg, "gold")
+
+
+def guarded_run(spark: SparkSession, sf_dir: str) -> RunConfig:
+    """A run on a holiday, which the guard stops, and one on the next business day."""
+    root = scratch(spark)
+    for moment in (HOLIDAY, WORKDAY):
+        cfg = run_config(root, DAY, guard=True, clock=lambda m=moment: m)
+        medallion.run_chain(spark, cfg, event_bars(spark, sf_dir, DAY))
+    return cfg
+
+
+def medallion_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return medallion.read_layer(spark, guarded_run(spark, sf_dir), "gold")
+
+
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a daily run logs, without its clock readings."""
-    cfg = run_daily(spark, sf_dir, scratch(spark))
-    return read_run_log(spark, cfg).select("layer", "granularity", "step", "status", "rows_out")
+    """What the guarded runs log."""
+    log = read_run_log(spark, guarded_run(spark, sf_dir))
+    return log.select("layer", "granularity", "step", "ts", "status", "rows_out", "message")
+
+
+def text_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_text_log(spark, guarded_run(spark, sf_dir))
+
+
+def run_log_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A chain over a landing table of another kind: it ends in bronze, says so, and stores nothing."""
+    root = scratch(spark)
+    scan(spark, sf_dir, "nation").write.parquet(f"{root}/landing")
+    cfg = run_config(root, DAY, landing=f"{root}/landing", clock=lambda: WORKDAY)
+    try:
+        medallion.run_chain(spark, cfg)
+    except ValueError:
+        stored = medallion.read_layer(spark, cfg, "bronze").count()
+        log = read_run_log(spark, cfg).select("layer", "step", "status", F.substring_index("message", ",", 1).alias("message"))
+        return log.withColumn("stored", F.lit(stored))
+    raise AssertionError("the wrong table was accepted")
 
 
 QUERIES: dict[str, Query] = {
@@ -326,10 +519,14 @@ QUERIES: dict[str, Query] = {
     "silver_pivot_daily": silver_pivot(DAY),
     "silver_pivot_hourly": silver_pivot(HOUR),
     "silver_pivot_events": silver_pivot_events,
+    "silver_pivot_latest": silver_pivot_latest,
+    "silver_pivot_extra_labels": silver_pivot_extra_labels,
+    "labels_left_out": labels_left_out,
     "dedupe_latest": dedupe_latest,
     "mask_round_trip_gcm": mask_round_trip("gcm"),
     "mask_round_trip_fernet": mask_round_trip("fernet"),
     "mask_hides_plaintext": mask_hides_plaintext,
+    "mask_damaged_tokens": mask_damaged_tokens,
     "business_days": business_days,
     "trading_hours": trading_hours,
     "day_map": day_map,
@@ -340,6 +537,8 @@ QUERIES: dict[str, Query] = {
     "prev_close_slice_hourly": prev_close_slice_hourly,
     "gold_daily": gold_daily,
     "gold_hourly": gold_hourly,
+    "gold_daily_edges": gold_daily_edges,
+    "gold_hourly_edges": gold_hourly_edges,
     "gold_daily_compat": gold_daily_compat,
     "gold_hourly_compat": gold_hourly_compat,
     "stack_partitions": stack_partitions,
@@ -347,5 +546,13 @@ QUERIES: dict[str, Query] = {
     "medallion_daily": medallion_daily,
     "medallion_increments": medallion_increments,
     "medallion_hourly": medallion_hourly,
+    "medallion_landing_wide": medallion_landing_wide,
+    "medallion_landing_symbols": medallion_landing_symbols,
+    "medallion_correction": medallion_correction,
+    "medallion_compat": medallion_compat,
+    "medallion_append": medallion_append,
+    "medallion_guarded": medallion_guarded,
     "run_log": run_log,
+    "run_log_failure": run_log_failure,
+    "text_log": text_log,
 }

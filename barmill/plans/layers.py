@@ -7,47 +7,55 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barmill import schemas
 from barmill.config import DAY, RunConfig
 from barmill.operators.gold import derive
-from barmill.operators.incremental import from_day, since
+from barmill.operators.incremental import Mark, from_day, from_mark
 from barmill.operators.masking import mask, unmask_last
 from barmill.operators.previous_close import with_daily_close, with_previous_close
 from barmill.operators.reshape import complete_bars, melt_bars, melt_landing, pivot_labels
 from barmill.schemas import INGESTED, PARTITION
-from barmill.sources.landing import bars_for_symbols, new_bars
+from barmill.sources.landing import bars_for_symbols, is_tidy, new_bars, one_copy, typed
 from barmill.sources.tables import by_day, data_columns, sort_days, spread_days
 
 
-def new_rows(table: DataFrame, cfg: RunConfig, last: datetime | None) -> DataFrame:
+def new_rows(table: DataFrame, cfg: RunConfig, mark: Mark) -> DataFrame:
     """The rows a stage has to process.
 
     In append mode strictly later ones. In overwrite mode the whole last day
     and all later ones: an hourly load may resume in the middle of a day, and
     the day partition it replaces must keep its earlier bars.
     """
-    if cfg.write == "append":
-        return since(table, last)
-    return from_day(table, last.date() if last else None)
+    return from_mark(table, mark, whole_days=cfg.write == "overwrite")
 
 
 def bronze(
     landing: DataFrame,
     cfg: RunConfig,
-    last: datetime | None,
+    mark: Mark,
     loaded_at: datetime,
     symbols: DataFrame | None = None,
 ) -> DataFrame:
     """New landing bars in long form, stamped with the time of the load.
 
-    Rows are shuffled to their days while still wide: melting first would
-    repeat time and instrument for every label on the wire.
+    The landing table may be tidy or wide; any other is refused. Of copies of a
+    bar in one load one is kept whole, while still wide, but where copies are
+    to be added up. Rows are shuffled to their days while still wide too:
+    melting first would repeat time and instrument for every label on the wire.
     """
-    fresh = new_bars(landing, last, cfg.granularity.step)
-    tidy = "Ticker" in landing.columns
+    tidy = is_tidy(landing, schemas.LABELS)
+    names = set(landing.columns)
+    labels = [*schemas.LABELS, *(label for label in cfg.labels if label in names and label not in schemas.LABELS)]
+    fresh = new_bars(landing, mark.last, cfg.granularity.step, mark.start)
+    fresh = typed(fresh, labels, tidy, cfg.sequence)
     if tidy and symbols is not None:
         fresh = bars_for_symbols(fresh, symbols)
+    if cfg.compat:
+        fresh = fresh.drop(cfg.sequence) if cfg.sequence else fresh
+    else:
+        fresh = one_copy(fresh, ("Date", "Ticker") if tidy else ("Date",), cfg.sequence)
     spread = data_columns(spread_days(fresh))
-    long = melt_bars(spread) if tidy else melt_landing(spread)
+    long = melt_bars(spread, labels) if tidy else melt_landing(spread)
     if not tidy and symbols is not None:
         long = bars_for_symbols(long, symbols)
     stamped = long.withColumn(INGESTED, F.lit(loaded_at).cast("timestamp_ntz"))
@@ -62,8 +70,8 @@ def silver(bronze_rows: DataFrame, cfg: RunConfig) -> DataFrame:
     again for a retried exchange.
     """
     duplicates = "sum" if cfg.compat else "latest"
-    wide = complete_bars(pivot_labels(data_columns(bronze_rows), duplicates=duplicates))
-    return mask(by_day(wide), cfg.key, token=cfg.token)
+    wide = complete_bars(pivot_labels(data_columns(bronze_rows), cfg.labels, duplicates=duplicates))
+    return mask(by_day(wide), cfg.key, token=cfg.token, unique=("Date", "Ticker"))
 
 
 def previous_day(table: DataFrame, first: date) -> DataFrame:
@@ -77,7 +85,7 @@ def previous_day(table: DataFrame, first: date) -> DataFrame:
 def gold(
     silver_bars: DataFrame,
     cfg: RunConfig,
-    last: datetime | None,
+    mark: Mark,
     first_close_day: date | None,
     silver_closes: DataFrame | None = None,
 ) -> DataFrame:
@@ -87,7 +95,7 @@ def gold(
     read from there on, by partition pruning.
     """
     options = {"token": cfg.token, "bad_token": cfg.bad_token}
-    bars = new_rows(silver_bars, cfg, last)
+    bars = new_rows(silver_bars, cfg, mark)
 
     def clear(table: DataFrame) -> DataFrame:
         return unmask_last(data_columns(table), cfg.key, **options)
@@ -99,24 +107,22 @@ def gold(
         # Days come from the stored dates, so that branch decrypts nothing.
         closed = with_previous_close(clear(wanted), days=wanted)
         if cfg.lookback == "history":
-            closed = _only_new(closed, cfg, last)
+            closed = _only_new(closed, cfg, mark)
     else:
         closes = (
             from_day(silver_closes, first_close_day)
             if cfg.lookback == "history"
-            else since(silver_closes, last)
+            else from_mark(silver_closes, mark, whole_days=False)
         )
         closed = with_daily_close(
             clear(bars), clear(closes), cfg.lookback, days=bars, close_days=closes
         )
-    return by_day(derive(closed, cfg.granularity, null_is_fall=cfg.compat))
+    return by_day(derive(closed, cfg.granularity, cfg.compat, cfg.labels))
 
 
-def _only_new(rows: DataFrame, cfg: RunConfig, last: datetime | None) -> DataFrame:
-    if last is None:
-        return rows
+def _only_new(rows: DataFrame, cfg: RunConfig, mark: Mark) -> DataFrame:
+    if mark.last is None:
+        return from_mark(rows, mark, whole_days=False)
     if cfg.write == "append":
-        return rows.filter(F.col("Date") > F.lit(last).cast("timestamp_ntz"))
-    return rows.filter(F.to_date("Date") >= F.lit(last.date()))
-
-
+        return rows.filter(F.col("Date") > F.lit(mark.last).cast("timestamp_ntz"))
+    return rows.filter(F.to_date("Date") >= F.lit(mark.day))

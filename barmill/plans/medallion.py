@@ -7,32 +7,49 @@ appends its log; row counts are observed during the write.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from barmill import schemas
 from barmill.config import DAY, Granularity, RunConfig
 from barmill.functions.times import is_business_moment
-from barmill.operators.incremental import watermark
+from barmill.operators.incremental import Mark, watermark
+from barmill.operators.reshape import left_out
 from barmill.plans import layers
 from barmill.plans.runlog import RunLog
-from barmill.sources.tables import data_columns, find_table, read_table, write_days
+from barmill.sources.landing import open_landing, symbol_universe
+from barmill.sources.tables import (
+    SELF_DESCRIBING,
+    data_columns,
+    drop_days,
+    find_table,
+    read_table,
+    stored_days,
+    write_days,
+)
 
 LAYERS = ("bronze", "silver", "gold")
 
 # How far back the first, cheap look into a table goes.
 RECENT = timedelta(days=31)
 
+# Labels without a column that a log line names.
+LISTED = 20
+
 
 def clock(cfg: RunConfig) -> datetime:
     """Wall time in the market's zone, without the zone."""
     return cfg.clock() if cfg.clock else datetime.now(ZoneInfo(cfg.zone)).replace(tzinfo=None)
 
 
+def load_time(cfg: RunConfig) -> datetime:
+    """The order of loads: a time that no clock change sets back."""
+    return cfg.clock() if cfg.clock else datetime.now(timezone.utc).replace(tzinfo=None)
+
+
 def may_run(cfg: RunConfig, moment: datetime) -> bool:
     if not cfg.guard:
         return True
@@ -42,19 +59,11 @@ def may_run(cfg: RunConfig, moment: datetime) -> bool:
     return is_business_moment(moment, cfg.holidays, hours)
 
 
-def stored_schema(layer: str, cfg: RunConfig) -> T.StructType:
-    return {
-        "bronze": schemas.BRONZE_STORED,
-        "silver": schemas.SILVER,
-        "gold": cfg.granularity.gold_schema,
-    }[layer]
-
-
 def open_layer(
     spark: SparkSession, cfg: RunConfig, layer: str, granularity: Granularity | None = None
 ) -> DataFrame:
     path = cfg.table(layer, granularity)
-    return read_table(spark, path, stored_schema(layer, cfg), cfg.fmt)
+    return read_table(spark, path, cfg.stored_schema(layer), cfg.fmt)
 
 
 def read_layer(spark: SparkSession, cfg: RunConfig, layer: str) -> DataFrame:
@@ -79,103 +88,144 @@ def recent_first(
     return None
 
 
-def last_loaded(
-    spark: SparkSession, cfg: RunConfig, layer: str, moment: datetime
-) -> datetime | None:
-    """The last bar of a layer; before its first run, one step before ``since``."""
-    table = find_table(spark, cfg.table(layer), stored_schema(layer, cfg), cfg.fmt)
+def last_loaded(spark: SparkSession, cfg: RunConfig, layer: str, moment: datetime) -> Mark:
+    """Where a layer ends; before its first load it begins at ``since``."""
+    table = find_table(spark, cfg.table(layer), cfg.stored_schema(layer), cfg.fmt)
     found = None if table is None else recent_first(table, moment.date(), watermark)
-    if found is None and cfg.since is not None:
-        return cfg.since - cfg.granularity.step
-    return found
+    return Mark(found, cfg.since)
 
 
-def first_close_day(closes: DataFrame, last: datetime | None) -> date | None:
+def first_close_day(closes: DataFrame, mark: Mark) -> date | None:
     """The market day before the first one a gold run computes.
 
     ``None`` means that closes are read from the beginning.
     """
-    if last is None:
+    if mark.day is None:
+        return None
+    return recent_first(closes, mark.day, lambda t: layers.previous_day(t, mark.day)) or mark.day
+
+
+def symbols_to_load(spark: SparkSession, cfg: RunConfig) -> DataFrame | None:
+    """Tickers of the configured table: its own, or its listing of one country."""
+    if cfg.symbols is None:
         return None
-    first = last.date()
-    return recent_first(closes, first, lambda t: layers.previous_day(t, first)) or first
+    table = spark.read.format(cfg.fmt).load(cfg.symbols)
+    if "Ticker" in table.columns:
+        return table.select("Ticker")
+    return symbol_universe(table, cfg.country, cfg.longest_symbol, cfg.symbol_suffix)
 
 
 def transform(
     spark: SparkSession,
     cfg: RunConfig,
     layer: str,
-    last: datetime | None,
+    mark: Mark,
     loaded_at: datetime,
     landing: DataFrame | None = None,
-    unlabelled: Observation | None = None,
 ) -> DataFrame:
-    """The planned rows of one layer.
-
-    ``unlabelled`` counts, while silver is written, bronze rows that no price
-    column can hold because their label is missing.
-    """
+    """The planned rows of one layer."""
     if layer == "bronze":
-        bars = landing
-        if bars is None:
-            bars = spark.read.schema(schemas.LANDING).format(cfg.fmt).load(cfg.landing)
-        symbols = None
-        if cfg.symbols is not None:
-            symbols = spark.read.format(cfg.fmt).load(cfg.symbols)
-        return layers.bronze(bars, cfg, last, loaded_at, symbols)
+        bars = open_landing(spark, cfg.landing, cfg.fmt) if landing is None else landing
+        return layers.bronze(bars, cfg, mark, loaded_at, symbols_to_load(spark, cfg))
     if layer == "silver":
-        rows = layers.new_rows(open_layer(spark, cfg, "bronze"), cfg, last)
-        if unlabelled is not None:
-            lost = F.count_if(F.col("Price").isNull())
-            rows = rows.observe(unlabelled, lost.alias("rows"))
-        return layers.silver(rows, cfg)
+        return layers.silver(layers.new_rows(open_layer(spark, cfg, "bronze"), cfg, mark), cfg)
     bars = open_layer(spark, cfg, "silver")
     if cfg.granularity is DAY:
-        return layers.gold(bars, cfg, last, first_close_day(bars, last))
+        return layers.gold(bars, cfg, mark, first_close_day(bars, mark))
     closes = open_layer(spark, cfg, "silver", DAY)
-    return layers.gold(bars, cfg, last, first_close_day(closes, last), closes)
+    return layers.gold(bars, cfg, mark, first_close_day(closes, mark), closes)
+
+
+def losses(
+    spark: SparkSession, cfg: RunConfig, layer: str, mark: Mark, landing: DataFrame | None
+) -> list[tuple[str, int]]:
+    """What a load cannot keep, with counts: bars without a date, rows of labels that have no column.
+
+    An aggregate of its own over one column of the new rows, so that a task
+    that runs twice counts once. At most LISTED labels are named, the most
+    frequent ones; the rest is one number.
+    """
+    if layer == "bronze":
+        bars = open_landing(spark, cfg.landing, cfg.fmt) if landing is None else landing
+        undated = bars.filter(F.col("Date").isNull()).count()
+        return [("without a date", undated)] if undated else []
+    if layer != "silver":
+        return []
+    rows = layers.new_rows(open_layer(spark, cfg, "bronze"), cfg, mark)
+    found = left_out(rows, cfg.labels).orderBy(F.desc("rows"), "label")
+    listed = found.limit(LISTED + 1).collect()
+    out = [("without a label" if r["label"] is None else f"of label {r['label']}", r["rows"]) for r in listed]
+    if len(listed) > LISTED:
+        total = found.agg(F.sum("rows")).first()[0]
+        out = [*out[:LISTED], ("of other labels", total - sum(n for _, n in out[:LISTED]))]
+    return out
 
 
 def run_stage(
-    spark: SparkSession, cfg: RunConfig, layer: str, landing: DataFrame | None = None
+    spark: SparkSession,
+    cfg: RunConfig,
+    layer: str,
+    landing: DataFrame | None = None,
+    log: RunLog | None = None,
 ) -> bool:
     """Run one layer; false when the guard keeps it from running.
 
     A failure is written to the log and raised, so that nothing after it runs.
+    A log that is passed in is saved by its owner.
     """
-    log = RunLog(cfg, layer)
-    moment = clock(cfg)
-    if not may_run(cfg, moment):
-        log.add("guard", moment, "not a business moment, nothing done", status="skipped")
-        log.save(spark)
-        return False
+    own = RunLog(cfg) if log is None else log
+    error = None
     try:
-        last = last_loaded(spark, cfg, layer, moment)
-        log.add("watermark", clock(cfg), f"most recent bar: {last}")
-        unlabelled = Observation("unlabelled") if layer == "silver" else None
-        rows = transform(spark, cfg, layer, last, moment, landing, unlabelled)
-        log.add("transform", clock(cfg), f"{layer} transformation planned")
-        written = Observation("written")
-        counted = rows.observe(written, F.count(F.lit(1)).alias("rows"))
-        # Bronze is a record of loads and only ever grows.
-        mode = "append" if layer == "bronze" else cfg.write
-        write_days(counted, cfg.table(layer), mode, cfg.fmt)
-        rows_out = written.get["rows"]
-        message = "table saved"
-        # An empty load is optimised away together with the count inside it.
-        if rows_out and unlabelled is not None and unlabelled.get["rows"]:
-            message += f", {unlabelled.get['rows']} rows without a label"
-        log.add("write", clock(cfg), message, rows_out=rows_out)
-    except Exception as error:
-        log.add("failed", clock(cfg), f"{type(error).__name__}: {error}", status="failed")
+        return _stage(spark, cfg, layer, landing, own)
+    except Exception as raised:
+        error = raised
+        own.add(layer, "failed", clock(cfg), f"{type(raised).__name__}: {raised}", status="failed")
         raise
     finally:
-        log.save(spark)
+        if log is None:
+            own.save_after(spark, error)
+
+
+def _stage(
+    spark: SparkSession, cfg: RunConfig, layer: str, landing: DataFrame | None, log: RunLog
+) -> bool:
+    moment = clock(cfg)
+    if not may_run(cfg, moment):
+        log.add(layer, "guard", moment, "not a business moment, nothing done", status="skipped")
+        return False
+    mark = last_loaded(spark, cfg, layer, moment)
+    log.add(layer, "watermark", clock(cfg), f"most recent bar: {mark.last}")
+    rows = transform(spark, cfg, layer, mark, load_time(cfg), landing)
+    log.add(layer, "transform", clock(cfg), f"{layer} transformation planned")
+    lost = losses(spark, cfg, layer, mark, landing)
+    # Bronze is a record of loads and only ever grows.
+    mode = "append" if layer == "bronze" else cfg.write
+    path = cfg.table(layer)
+    before = set()
+    if mode == "overwrite" and cfg.fmt not in SELF_DESCRIBING:
+        before = stored_days(find_table(spark, path, cfg.stored_schema(layer), cfg.fmt), mark.day)
+    written = Observation("written")
+    counted = rows.observe(
+        written, F.count(F.lit(1)).alias("rows"), F.collect_set(schemas.PARTITION).alias("days")
+    )
+    write_days(counted, path, mode, cfg.fmt, mark.day)
+    seen = written.get
+    drop_days(spark, path, before - set(seen.get("days") or ()))
+    message = "".join(["table saved", *(f", {n} rows {what}" for what, n in lost)])
+    log.add(layer, "write", clock(cfg), message, rows_out=seen["rows"])
     return True
 
 
 def run_chain(spark: SparkSession, cfg: RunConfig, landing: DataFrame | None = None) -> None:
-    """Bronze, silver and gold in order; an error ends the chain."""
-    for layer in LAYERS:
-        if not run_stage(spark, cfg, layer, landing if layer == "bronze" else None):
-            return
+    """Bronze, silver and gold in order; an error ends the chain. The log is written once."""
+    log = RunLog(cfg)
+    error = None
+    try:
+        for layer in LAYERS:
+            if not run_stage(spark, cfg, layer, landing if layer == "bronze" else None, log):
+                return
+    except Exception as raised:
+        error = raised
+        raise
+    finally:
+        log.save_after(spark, error)

@@ -5,16 +5,25 @@ from __future__ import annotations
 # Two-place rounding as Spark does it: half up on the decimal text of the double.
 _ROUND = "CAST(round(CAST(CAST({0} AS VARCHAR) AS DECIMAL(38,20)), 2) AS DOUBLE)"
 
-# Public holidays by month and day, one of them from 2024 on, and
-# the Good Fridays of 2020 to 2030.
-_CLOSED = """(
-    strftime("Date", '%m-%d') IN
-      ('01-01', '04-21', '05-01', '09-07', '10-12', '11-02', '11-15', '12-25')
+# Good Friday by another rule than the engine's: the golden number, the epact
+# and the Sunday after the full moon.
+_GOLDEN = '(year("Date") % 19)'
+_CENTURY = '(year("Date") // 100)'
+_EPACT = (
+    f"((19 * {_GOLDEN} + {_CENTURY} - {_CENTURY} // 4 - (({_CENTURY} - ({_CENTURY} + 8) // 25 + 1) // 3) + 15) % 30)"
+)
+_TO_SUNDAY = f"""((32 + 2 * ({_CENTURY} % 4) + 2 * ((year("Date") % 100) // 4) - {_EPACT} - (year("Date") % 100) % 4) % 7)"""
+_LATE = f"(({_GOLDEN} + 11 * {_EPACT} + 22 * {_TO_SUNDAY}) // 451)"
+_GOOD_FRIDAY = (
+    f"""(make_date(year("Date"), 3, 22) + CAST({_EPACT} + {_TO_SUNDAY} - 7 * {_LATE} - 2 AS INTEGER))"""
+)
+
+# Public holidays by month and day, two of them from a year on.
+_CLOSED = f"""(
+    strftime("Date", '%m-%d') IN ('01-01', '04-21', '05-01', '09-07', '11-02', '11-15', '12-25')
+    OR (strftime("Date", '%m-%d') = '10-12' AND year("Date") >= 1980)
     OR (strftime("Date", '%m-%d') = '11-20' AND year("Date") >= 2024)
-    OR CAST("Date" AS DATE) IN (
-      DATE '2020-04-10', DATE '2021-04-02', DATE '2022-04-15', DATE '2023-04-07',
-      DATE '2024-03-29', DATE '2025-04-18', DATE '2026-04-03', DATE '2027-03-26',
-      DATE '2028-04-14', DATE '2029-03-30', DATE '2030-04-19'))"""
+    OR CAST("Date" AS DATE) = {_GOOD_FRIDAY})"""
 
 _EVENTS = """
 priced AS (
@@ -137,6 +146,45 @@ _GOLD_HOURLY = _gold("gold_hourly", "prev_hourly_all", hourly=True)
 _DAILY_RESULT = f"{_BASE}, {_PREV_DAILY}, {_GOLD_DAILY} SELECT * FROM gold_daily"
 _HOURLY_RESULT = f"{_BASE}, {_PREV_HOURLY_ALL}, {_GOLD_HOURLY} SELECT * FROM gold_hourly"
 
+# Daily bars with the event type as instrument, of listed instruments only, in
+# whole fifties, and with every value twice.
+_KIND_BARS = """
+kinds AS (
+  SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS "Date", event_type AS "Ticker",
+         arg_max(value, event_id) AS "Adj_Close", arg_max(value, event_id) AS "Close",
+         max(value) AS "High", min(value) AS "Low", arg_min(value, event_id) AS "Open",
+         CAST(count(*) AS DOUBLE) AS "Volume"
+  FROM priced GROUP BY 1, 2
+)"""
+_LISTED = """
+listed AS (
+  SELECT * FROM daily d WHERE EXISTS (
+    SELECT 1 FROM customer JOIN nation ON c_nationkey = n_nationkey
+    WHERE n_name = 'NATION_7' AND 'U' || c_custkey = d."Ticker")
+)"""
+
+
+def _coarse(name: str, table: str) -> str:
+    prices = ", ".join(f'floor("{c}" / 50) * 50 AS "{c}"' for c in ("Adj_Close", "Close", "Low", "Open"))
+    high = """CASE WHEN "Volume" % 2 <> 0 THEN floor("High" / 50) * 50 END AS "High" """
+    return f"""
+{name} AS (SELECT "Date", "Ticker", {prices}, {high}, "Volume" FROM {table})"""
+
+
+_TWICE = f"""
+twice AS (
+  SELECT "Date", "Ticker", {", ".join(f'2 * "{c}" AS "{c}"' for c in ("Adj_Close", "Close", "High", "Low", "Open", "Volume"))}
+  FROM daily
+)"""
+
+
+def _gold_of(bars: str, *ctes: str, null_label: str = "NULL") -> str:
+    """Daily gold of a table of bars."""
+    previous = _previous("previous", bars, bars, _lagged(bars))
+    gold = _gold("result", "previous", hourly=False, null_label=null_label)
+    return ",".join([_BASE, *ctes, previous, gold]) + " SELECT * FROM result"
+
+
 _KINDS = ("click", "error", "purchase", "signup", "view")
 
 _LANDING_CELLS = " UNION ALL ".join(
@@ -151,6 +199,21 @@ LEFT JOIN cells c ON c."Date" = h."Date" AND c.kind = k.kind"""
     )
 )
 
+# The log of a run on a holiday and one on the next business day.
+_LOG = f"""{_BASE},
+counts AS (SELECT count(*) AS n FROM daily),
+steps AS (
+  SELECT 'bronze' AS layer, 'guard' AS step, TIMESTAMP '2024-01-01 15:00:00' AS ts, 'skipped' AS status,
+         CAST(NULL AS BIGINT) AS rows_out, 'not a business moment, nothing done' AS message
+  UNION ALL
+  SELECT l.layer, s.step, TIMESTAMP '2024-01-02 15:00:00', 'ok',
+         CASE WHEN s.step = 'write' THEN l.factor * c.n END, replace(s.message, '?', l.layer)
+  FROM counts c
+  CROSS JOIN (VALUES ('bronze', 6), ('silver', 1), ('gold', 1)) l(layer, factor)
+  CROSS JOIN (VALUES ('watermark', 'most recent bar: None'), ('transform', '? transformation planned'),
+              ('write', 'table saved')) s(step, message)
+)"""
+
 _DAILY_NAMES = (
     "Date", "Adj_Close", "Close", "High", "Low", "Open", "Volume", "Ticker", "Dia2",
     "Adj_Close_ant", "Marketcap", "Volatility", "Volatility_perc", "Volatility_label", "Date2",
@@ -175,7 +238,7 @@ WHERE p_type = 'PROMO' AND length(p_brand) <= 7""",
 SELECT {_WIDE} FROM daily d
 WHERE EXISTS (
   SELECT 1 FROM customer JOIN nation ON c_nationkey = n_nationkey
-  WHERE n_name = 'NATION_7' AND length('U' || c_custkey) <= 5 AND 'U' || c_custkey = d."Ticker"
+  WHERE n_name = 'NATION_7' AND 'U' || c_custkey = d."Ticker"
 )""",
     "landing_increment_daily": _landing("daily", f'"Date" >= {_DAY} + INTERVAL 1 DAY'),
     "landing_increment_hourly": _landing("hourly", f'"Date" >= {_HOUR} + INTERVAL 1 HOUR'),
@@ -192,6 +255,21 @@ SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS "Date", 'U' || user_id AS "Ti
         for k in _KINDS
     )
     + "FROM priced GROUP BY 1, 2",
+    "silver_pivot_latest": f"""{_BASE},
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY CAST("Date" AS DATE), "Ticker" ORDER BY hour("Date") < 12 DESC, "Date" DESC) AS rn
+  FROM hourly
+)
+SELECT CAST(date_trunc('day', "Date") AS TIMESTAMP) AS "Date", "Ticker", "Adj_Close", "Close", "High",
+       "Low", "Open", "Volume"
+FROM ranked WHERE rn = 1""",
+    "silver_pivot_extra_labels": f"""{_BASE}, {_PREV_DAILY}, {_GOLD_DAILY}
+SELECT *, "Volume" / 2 AS "Dividends" FROM gold_daily""",
+    "labels_left_out": f"""{_BASE}, {_KIND_BARS},
+cells AS (SELECT count(DISTINCT "Date") * count(DISTINCT "Ticker") AS n FROM kinds)
+SELECT 'bronze' AS layer, 'table saved' AS message
+UNION ALL SELECT 'silver', 'table saved, ' || n || ' rows of label Dividends' FROM cells""",
     "dedupe_latest": f"""WITH {_EVENTS},
 ranked AS (
   SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS "Date", event_type AS "Price",
@@ -205,8 +283,13 @@ SELECT "Date", "Price", "Ticker", value FROM ranked WHERE rn = 1""",
     "mask_round_trip_gcm": f"{_BASE} SELECT {_WIDE} FROM daily",
     "mask_round_trip_fernet": f"{_BASE} SELECT {_WIDE} FROM daily",
     "mask_hides_plaintext": f"""{_BASE}
-SELECT "Ticker" AS clear, CAST(0 AS BIGINT) AS equal_to_plain, count(*) AS tokens
-FROM daily GROUP BY 1""",
+SELECT "Ticker" AS clear, form, CAST(0 AS BIGINT) AS shown, CAST(0 AS BIGINT) AS short,
+       count(*) AS tokens, count(*) AS opened
+FROM daily CROSS JOIN (VALUES ('fernet'), ('gcm')) f(form) GROUP BY ALL""",
+    "mask_damaged_tokens": f"""{_BASE}
+SELECT "Ticker" AS clear, form, count(*) FILTER ("Volume" % 3 = 0) AS lost,
+       count(*) FILTER ("Volume" % 3 <> 0) AS opened
+FROM daily CROSS JOIN (VALUES ('fernet'), ('gcm')) f(form) GROUP BY ALL""",
     "business_days": f"{_BASE} SELECT {_WIDE} FROM closes",
     "trading_hours": f"""{_BASE}
 SELECT {_WIDE} FROM hourly WHERE hour("Date") BETWEEN 12 AND 21""",
@@ -233,16 +316,28 @@ SELECT * FROM result""",
 {_PREV_HOURLY_ALL}, {_GOLD_HOURLY}
 SELECT h.*, {", ".join(f'd."{c}" AS "{c}_daily"' for c in _DAILY_NAMES)}
 FROM gold_hourly h LEFT JOIN gold_daily d ON d."key" = h."key" """,
+    "gold_daily_edges": _gold_of("coarse", _coarse("coarse", "daily")),
+    "gold_hourly_edges": ",".join([
+        _BASE, _coarse("coarse", "daily"), _coarse("coarse_hourly", "hourly"),
+        _previous("previous", "coarse_hourly", "coarse", _asof("hourly", "daily")),
+        _gold("result", "previous", hourly=True),
+    ]) + " SELECT * FROM result",
+    "medallion_landing_wide": _gold_of("kinds", _KIND_BARS),
+    "medallion_landing_symbols": _gold_of("listed", _LISTED),
+    "medallion_correction": _gold_of("early", f"""
+early AS (SELECT * FROM daily WHERE "Date" < {_DAY})"""),
+    "medallion_compat": _gold_of("twice", _TWICE, null_label="'Decreasing'"),
+    "medallion_append": _DAILY_RESULT,
+    "medallion_guarded": _DAILY_RESULT,
     "medallion_daily": _DAILY_RESULT,
     "medallion_increments": _DAILY_RESULT,
     "medallion_hourly": _HOURLY_RESULT,
-    "run_log": f"""{_BASE},
-counts AS (SELECT count(*) AS n FROM daily),
-steps AS (
-  SELECT l.layer, s.step, CASE WHEN s.step = 'write' THEN l.factor * c.n END AS rows_out
-  FROM counts c
-  CROSS JOIN (VALUES ('bronze', 6), ('silver', 1), ('gold', 1)) l(layer, factor)
-  CROSS JOIN (VALUES ('watermark'), ('transform'), ('write')) s(step)
-)
-SELECT layer, 'daily' AS granularity, step, 'ok' AS status, rows_out FROM steps""",
+    "run_log": f"""{_LOG}
+SELECT layer, 'daily' AS granularity, step, ts, status, rows_out, message FROM steps""",
+    "text_log": f"""{_LOG}
+SELECT layer, message || ', ' || strftime(ts, '%Y-%m-%d %H:%M:%S') AS "Log" FROM steps""",
+    "run_log_failure": """
+SELECT 'bronze' AS layer, step, status, message, CAST(0 AS INTEGER) AS stored
+FROM (VALUES ('watermark', 'ok', 'most recent bar: None'),
+             ('failed', 'failed', 'ValueError: a landing table needs a Date column')) v(step, status, message)""",
 }

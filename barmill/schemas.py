@@ -6,6 +6,8 @@ zone, so no session setting can shift them.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import types as T
 
 # Price labels as they stand in the long form, in column order.
@@ -43,24 +45,34 @@ _TS = T.TimestampNTZType()
 _STR = T.StringType()
 _DBL = T.DoubleType()
 
-LANDING = T.StructType(_fields(_TS, "Date") + _fields(_STR, "Ticker") + _fields(_DBL, *LABELS))
-
 BRONZE = T.StructType(
     _fields(_TS, "Date") + _fields(_STR, "Price", "Ticker") + _fields(_DBL, "value")
 )
 BRONZE_STORED = T.StructType(BRONZE.fields + _fields(_TS, INGESTED))
 
-SILVER = T.StructType(_fields(_TS, "Date") + _fields(_STR, "Ticker") + _fields(_DBL, *MEASURES))
 
-_GOLD = (
-    _fields(_TS, "Date")
-    + _fields(_DBL, *MEASURES)
-    + _fields(_STR, "Ticker", "Dia2")
-    + _fields(_DBL, "Adj_Close_ant", "Marketcap", "Volatility", "Volatility_perc")
-    + _fields(_STR, "Volatility_label")
-)
-GOLD_DAILY = T.StructType(_GOLD + _fields(_STR, "Date2", "key"))
-GOLD_HOURLY = T.StructType(_GOLD + _fields(_TS, "Date2") + _fields(_STR, "Date_label", "key"))
+def wide_names(labels: Iterable[str]) -> list[str]:
+    return [WIDE_NAMES.get(label, label) for label in labels]
+
+
+def landing(labels: Iterable[str] = LABELS) -> T.StructType:
+    return T.StructType(_fields(_TS, "Date") + _fields(_STR, "Ticker") + _fields(_DBL, *labels))
+
+
+def silver(labels: Iterable[str] = LABELS) -> T.StructType:
+    return T.StructType(_fields(_TS, "Date") + _fields(_STR, "Ticker") + _fields(_DBL, *wide_names(labels)))
+
+
+def gold(labels: Iterable[str] = LABELS, hourly: bool = False) -> T.StructType:
+    """Gold columns; labels beyond the usual ones follow them."""
+    derived = _fields(_DBL, "Adj_Close_ant", "Marketcap", "Volatility", "Volatility_perc")
+    shown = _fields(_TS, "Date2") + _fields(_STR, "Date_label", "key") if hourly else _fields(_STR, "Date2", "key")
+    measures = _fields(_TS, "Date") + _fields(_DBL, *wide_names(labels))
+    return T.StructType(measures + _fields(_STR, "Ticker", "Dia2") + derived + _fields(_STR, "Volatility_label") + shown)
+
+
+LANDING, SILVER = landing(), silver()
+GOLD_DAILY, GOLD_HOURLY = gold(), gold(hourly=True)
 
 SYMBOLS = T.StructType(_fields(_STR, "symbol", "country"))
 HOLIDAYS = T.StructType(_fields(T.DateType(), "holiday") + _fields(_STR, "name"))

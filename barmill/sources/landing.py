@@ -2,27 +2,90 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from barmill.operators.reshape import quoted
+from barmill.schemas import LABELS, LANDING_SEPARATOR
 
-def new_bars(landing: DataFrame, last: datetime | None, step: timedelta) -> DataFrame:
-    """Bars from one step after the last loaded one; all when none is loaded."""
-    if last is None:
-        return landing
-    return landing.filter(F.col("Date") >= F.lit(last).cast("timestamp_ntz") + F.lit(step))
+
+def is_tidy(landing: DataFrame, labels: Sequence[str] = LABELS) -> bool:
+    """Whether a landing table is tidy (Date, Ticker, labels) or wide (Date, label|ticker).
+
+    Any other table is refused, before anything of it is stored.
+    """
+    names = set(landing.columns)
+    if "Date" not in names:
+        raise ValueError(f"a landing table needs a Date column, got {landing.columns[:10]}")
+    if "Ticker" in names:
+        missing = [label for label in labels if label not in names]
+        if missing:
+            raise ValueError(f"a tidy landing table needs the columns {missing}")
+        return True
+    series = [c for c in landing.columns if LANDING_SEPARATOR in c]
+    if not series:
+        raise ValueError(f"no Ticker column and no label{LANDING_SEPARATOR}ticker column in {landing.columns[:10]}")
+    return False
+
+
+def open_landing(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A stored landing table with the columns of all its files."""
+    return spark.read.format(fmt).option("mergeSchema", "true").load(path)
+
+
+def typed(landing: DataFrame, labels: Sequence[str], tidy: bool, sequence: str | None = None) -> DataFrame:
+    """The columns a load needs, in the types of the stored tables."""
+    names = list(labels) if tidy else [c for c in landing.columns if LANDING_SEPARATOR in c]
+    extra = [F.col(quoted(sequence))] if sequence else []
+    return landing.select(
+        F.col("Date").cast(T.TimestampNTZType()).alias("Date"),
+        *([F.col("Ticker").cast("string").alias("Ticker")] if tidy else []),
+        *(F.col(quoted(c)).cast("double").alias(c) for c in names),
+        *extra,
+    )
+
+
+def new_bars(
+    landing: DataFrame, last: datetime | None, step: timedelta, start: datetime | None = None
+) -> DataFrame:
+    """Bars from one step after the last loaded one; before any load, from ``start``.
+
+    A bar without a date belongs to no day and is never loaded.
+    """
+    if last is not None:
+        return landing.filter(F.col("Date") >= F.lit(last).cast("timestamp_ntz") + F.lit(step))
+    if start is not None:
+        return landing.filter(F.col("Date") >= F.lit(start).cast("timestamp_ntz"))
+    return landing.filter(F.col("Date").isNotNull())
+
+
+def one_copy(bars: DataFrame, keys: Sequence[str], sequence: str | None = None) -> DataFrame:
+    """One whole row for each key: the last by ``sequence``, then the greatest.
+
+    Taking the row whole keeps a bar's prices together.
+    """
+    values = [c for c in bars.columns if c not in keys and c != sequence]
+    first = [F.col(quoted(sequence)).alias("_order")] if sequence else []
+    chosen = F.max(F.struct(*first, *(F.col(quoted(c)) for c in values))).alias("_row")
+    rows = bars.groupBy(*keys).agg(chosen)
+    return rows.select(*(F.col(c) if c in keys else F.col(f"_row.{quoted(c)}") for c in bars.columns if c != sequence))
 
 
 def symbol_universe(
-    listed: DataFrame, country: str, longest: int = 5, suffix: str = ".SA"
+    listed: DataFrame, country: str, longest: int | None = 5, suffix: str = ".SA"
 ) -> DataFrame:
     """Tickers of one country's ``(symbol, country)`` listing.
 
-    Longer symbols name other instruments and are left out.
+    Symbols longer than ``longest`` name other instruments and are left out;
+    ``None`` keeps all.
     """
-    kept = listed.filter((F.col("country") == country) & (F.length("symbol") <= longest))
+    kept = listed.filter(F.col("country") == country)
+    if longest is not None:
+        kept = kept.filter(F.length("symbol") <= longest)
     return kept.select(F.concat("symbol", F.lit(suffix)).alias("Ticker"))
 
 

@@ -38,7 +38,7 @@ def priced_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The bar days, from the time column alone."""
+    """The bar days: those of events that can make a price."""
     return priced_events(spark, sf_dir).select(day_start(F.col("ts")).alias("Date"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -79,23 +80,52 @@ def by_day(df: DataFrame) -> DataFrame:
     return sort_days(spread_days(df))
 
 
-def write_days(df: DataFrame, path: str, mode: str, fmt: str = "parquet") -> None:
+def write_days(
+    df: DataFrame, path: str, mode: str, fmt: str = "parquet", first: date | None = None
+) -> None:
     """Write a frame laid out by ``by_day`` or ``sort_days``.
 
-    ``append`` adds files. ``overwrite`` replaces exactly the days present in
-    the frame, which must therefore hold those days whole.
+    ``append`` adds files. ``overwrite`` replaces the days from ``first`` on,
+    all of them without it, by those of the frame, which must hold them whole.
+    Formats that can replace a range do so; elsewhere Spark replaces the days
+    present in the frame, and ``drop_days`` takes away those that became empty.
     """
     writer = df.write.format(fmt).partitionBy(PARTITION)
-    if mode == "overwrite":
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
+    if mode != "overwrite":
         writer = writer.mode("append")
+    elif fmt in SELF_DESCRIBING:
+        writer = writer.mode("overwrite")
+        if first is not None:
+            writer = writer.option("replaceWhere", f"{PARTITION} >= DATE '{first}'")
+    else:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.save(path)
 
 
-def append_lines(lines: DataFrame, path: str) -> None:
-    """Append a one-column string frame to a text log."""
-    lines.coalesce(1).write.mode("append").text(path)
+def stored_days(table: DataFrame | None, first: date | None) -> set[date]:
+    """Days of a stored table from ``first`` on; at most one value for each calendar day."""
+    if table is None:
+        return set()
+    days = table.select(PARTITION) if first is None else table.filter(F.col(PARTITION) >= F.lit(first)).select(PARTITION)
+    return {row[0] for row in days.distinct().collect()}
+
+
+def drop_days(spark: SparkSession, path: str, days: Iterable[date]) -> None:
+    """Remove whole day partitions of a table whose format has no range replacement.
+
+    Goes through the file system of the table's path, so it works wherever
+    Spark's writers do.
+    """
+    jvm = spark.sparkContext._jvm
+    for day in sorted(days):
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{PARTITION}={day.isoformat()}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def append_lines(lines: DataFrame, path: str, by: str | None = None) -> None:
+    """Append a string frame to a text log, in a folder for each value of ``by``."""
+    writer = lines.coalesce(1).write.mode("append")
+    (writer.partitionBy(by) if by else writer).text(path)
 
 
 def from_rows(spark: SparkSession, rows: Iterable[Any], schema: T.StructType) -> DataFrame:
@@ -113,10 +143,11 @@ def from_pandas(spark: SparkSession, pdf: Any, schema: T.StructType) -> DataFram
 def serving_table(spark: SparkSession, *roots: str, fmt: str = "parquet") -> DataFrame:
     """All partitions of one or more tables stacked into one frame.
 
-    Only data files count: log folders and other files are left out.
+    Only data files count: log folders and other files are left out. The
+    columns are those of all files, so one that later loads add is kept.
     """
     reader = spark.read.format(fmt)
     if fmt not in SELF_DESCRIBING:
-        reader = reader.option("pathGlobFilter", f"*.{fmt}")
+        reader = reader.option("pathGlobFilter", f"*.{fmt}").option("mergeSchema", "true")
     parts = [reader.load(root) for root in roots]
     return data_columns(stack(*parts))

@@ -10,7 +10,7 @@ from barmill.config import DAY, HOUR, MaskKey, RunConfig
 from barmill.operators import masking, reshape
 from barmill.operators.previous_close import with_previous_close
 from barmill.plans import medallion
-from barmill.plans.runlog import read_run_log
+from barmill.plans.runlog import RunLog, read_run_log, read_text_log
 from barmill.sources import tables
 from helpers import EXAMPLE, EXAMPLE_BARS, KEY, OTHER_KEY, as_set, at, landing_rows
 
@@ -181,9 +181,100 @@ def test_failure_is_logged_raised_and_ends_the_chain(spark, tmp_path):
     log = read_run_log(spark, cfg)
     assert as_set(log.filter("status = 'failed'"), "layer", "step") == [("bronze", "failed")]
     assert as_set(log.select("layer").distinct(), "layer") == [("bronze",)]
+    assert tables.find_table(spark, cfg.table("bronze"), schemas.BRONZE_STORED) is None
     assert tables.find_table(spark, cfg.table("silver"), schemas.SILVER) is None
 
 
+def test_a_log_that_fails_does_not_hide_the_failure(spark, tmp_path, monkeypatch):
+    def fail(*_):
+        raise OSError("disk full")
+
+    monkeypatch.setattr(RunLog, "save", fail)
+    with pytest.raises(ValueError, match="landing table") as caught:
+        medallion.run_chain(spark, config(tmp_path), landing_rows(spark, EXAMPLE_BARS).drop("Close"))
+    assert "disk full" in caught.value.__notes__[0]
+    with pytest.raises(OSError, match="disk full"):
+        medallion.run_stage(spark, config(tmp_path), "bronze", landing_rows(spark, EXAMPLE_BARS))
+
+
+def test_wide_landing_on_a_path_is_recognised_and_a_wrong_one_refused(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    wide = spark.createDataFrame([(at("2024-01-02"), 10.0, 5.0)], "Date timestamp_ntz, `Adj Close|A` double, `Volume|A` double")
+    wide.write.parquet(path)
+    later = wide.withColumns({"Date": F.col("Date") + F.expr("interval 1 day"), "Adj Close|B": F.lit(7.0)})
+    later.write.mode("append").parquet(path)
+    cfg = config(tmp_path, landing=path)
+    medallion.run_chain(spark, cfg)
+    gold = medallion.read_layer(spark, cfg, "gold")
+    assert as_set(gold, "Ticker", "Adj_Close", "Volume") == [("A", 10.0, 5.0), ("A", 10.0, 5.0), ("B", 7.0, None)]
+    for wrong in (wide.drop("Date"), wide.select("Date"), landing_rows(spark, EXAMPLE_BARS).drop("Volume")):
+        other = config(tmp_path / "wrong")
+        with pytest.raises(ValueError, match="landing table|no Ticker"):
+            medallion.run_chain(spark, other, wrong)
+        assert tables.find_table(spark, other.table("bronze"), schemas.BRONZE_STORED) is None
+
+
+def test_listing_of_symbols(spark, tmp_path):
+    listing = [("AAAA3", "brazil"), ("BBBB4", "chile"), ("CCCC3", "brazil"), ("LONGER3", "brazil")]
+    spark.createDataFrame(listing, schemas.SYMBOLS).write.parquet(str(tmp_path / "symbols"))
+    gold = load(spark, config(tmp_path, symbols=str(tmp_path / "symbols")), EXAMPLE_BARS)
+    assert as_set(gold.select("Ticker").distinct(), "Ticker") == [("AAAA3.SA",), ("CCCC3.SA",)]
+
+
+def test_extra_labels_are_carried_and_others_counted(spark, tmp_path):
+    bars = landing_rows(spark, EXAMPLE_BARS).withColumns({"Dividends": F.lit(0.5), "Splits": F.lit(2.0)})
+    cfg = config(tmp_path, labels=(*schemas.LABELS, "Dividends"))
+    medallion.run_chain(spark, cfg, bars)
+    gold = medallion.read_layer(spark, cfg, "gold")
+    assert as_set(gold.select("Dividends").distinct(), "Dividends") == [(0.5,)]
+    assert as_set(gold, *COMPARED) == expected()
+    fewer = RunConfig(root=cfg.root, granularity=DAY, key=KEY, guard=False)
+    medallion.run_stage(spark, fewer, "silver")
+    messages = [r["message"] for r in read_run_log(spark, cfg).filter("step = 'write' and layer = 'silver'").collect()]
+    assert sorted(messages) == ["table saved", "table saved, 2 rows of label Dividends"]
+    with pytest.raises(ValueError, match="labels must start"):
+        config(tmp_path, labels=("Close",))
+
+
+def test_bars_without_a_date_are_counted_by_every_run(spark, tmp_path):
+    cfg = config(tmp_path)
+    bars = landing_rows(spark, EXAMPLE_BARS)
+    undated = bars.limit(2).withColumn("Date", F.lit(None).cast("timestamp_ntz"))
+    for part in (undated.unionByName(bars.filter("Date < '2024-01-04'")), undated.unionByName(bars)):
+        medallion.run_chain(spark, cfg, part)
+    assert as_set(medallion.read_layer(spark, cfg, "gold"), *COMPARED) == expected()
+    saved = read_run_log(spark, cfg).filter("layer = 'bronze' and step = 'write'").select("message").distinct()
+    assert as_set(saved, "message") == [("table saved, 2 rows without a date",)]
+
+
+def test_a_day_that_became_empty_goes(spark, tmp_path):
+    cfg = config(tmp_path)
+    load(spark, cfg, EXAMPLE_BARS)
+    gone = [(at("2024-01-05"), "Adj Close", t, None, at("2030-01-01")) for t in ("AAAA3.SA", "BBBB4.SA")]
+    tables.write_days(tables.by_day(spark.createDataFrame(gone, schemas.BRONZE_STORED)), cfg.table("bronze"), "append")
+    for layer in ("silver", "gold"):
+        medallion.run_stage(spark, cfg, layer)
+        days = as_set(medallion.open_layer(spark, cfg, layer).select("p_date").distinct(), "p_date")
+        assert days == [(date(2024, 1, d),) for d in (2, 3, 4)]
+
+
+def test_since_is_a_start_and_no_mark(spark, tmp_path):
+    cfg = config(tmp_path, since=at("2024-01-04"))
+    medallion.run_stage(spark, config(tmp_path), "bronze", landing_rows(spark, EXAMPLE_BARS))
+    for layer in ("silver", "gold"):
+        medallion.run_stage(spark, cfg, layer)
+        assert medallion.read_layer(spark, cfg, layer).agg(F.min("Date")).first()[0] == at("2024-01-04")
+
+
+def test_late_columns_are_served(spark, tmp_path):
+    load(spark, config(tmp_path), [r for r in EXAMPLE_BARS if r[0] < "2024-01-04"])
+    more = config(tmp_path, labels=(*schemas.LABELS, "Dividends"))
+    medallion.run_chain(spark, more, landing_rows(spark, EXAMPLE_BARS).withColumn("Dividends", F.lit(1.0)))
+    served = tables.serving_table(spark, more.table("gold"))
+    assert as_set(served.filter("Dividends is not null").select(F.to_date("Date").alias("d")).distinct(), "d") == [(date(2024, 1, 4),), (date(2024, 1, 5),)]
+    assert served.count() == len(EXAMPLE)
+
+
 def test_logs(spark, tmp_path):
     moment = at("2024-01-05T19:00:01")
     cfg = config(tmp_path, clock=lambda: moment)
@@ -192,7 +283,7 @@ def test_logs(spark, tmp_path):
     assert log.columns == schemas.RUN_LOG.fieldNames()
     written = as_set(log.filter("step = 'write'"), "layer", "rows_out", "status")
     assert written == [("bronze", 54, "ok"), ("gold", 9, "ok"), ("silver", 9, "ok")]
-    lines = [r[0] for r in spark.read.text(cfg.text_log("bronze")).collect()]
+    lines = [r["Log"] for r in read_text_log(spark, cfg).filter("layer = 'bronze'").collect()]
     assert sorted(lines) == [
         "bronze transformation planned, 2024-01-05 19:00:01",
         "most recent bar: None, 2024-01-05 19:00:01",
@@ -272,7 +363,7 @@ def test_ninety_days_in_weekly_loads(spark, tmp_path):
     cfg = config(tmp_path)
     for weeks in (40, 60, 91):
         gold = load(spark, cfg, [r for r in rows if r[0] < (first + timedelta(days=weeks)).isoformat()])
-    whole = reshape.pivot_labels(reshape.melt_bars(landing_rows(spark, rows)))
+    whole = reshape.pivot_labels(reshape.melt_bars(landing_rows(spark, rows)), duplicates="max")
     again = with_previous_close(whole)
     names = ("Date", "Ticker", "Dia2", "Adj_Close_ant")
     assert as_set(gold, *names) == as_set(again, *names)

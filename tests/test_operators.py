@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from barmill import schemas
 from barmill.config import DAY, HOUR
 from barmill.functions import crypto
-from barmill.functions.times import (
+from barmill.functions.times import (easter_day, easter_sunday, is_holiday,
     easter_sunday,
     hour_start,
     is_business_moment,
@@ -63,7 +63,7 @@ def test_melt_landing_splits_two_header_levels(spark):
 
 def test_pivot_of_melt_gives_the_bars_back(spark):
     bars = landing_rows(spark, EXAMPLE_BARS)
-    back = reshape.pivot_labels(reshape.melt_bars(bars))
+    back = reshape.pivot_labels(reshape.melt_bars(bars), duplicates="max")
     assert back.columns == schemas.SILVER.fieldNames()
     renamed = bars.withColumnRenamed("Adj Close", "Adj_Close")
     assert as_set(back, *back.columns) == as_set(renamed, *back.columns)
@@ -73,23 +73,48 @@ def test_pivot_takes_the_latest_load_of_a_duplicate(spark):
     rows = [
         (at("2024-01-02"), "Close", "A", 10.0, at("2024-01-02T19:00")),
         (at("2024-01-02"), "Close", "A", 9.0, at("2024-01-03T19:00")),
-        (at("2024-01-02"), "Close", "A", 8.0, at("2024-01-03T19:00")),
+        (at("2024-01-02"), "Open", "A", 8.0, at("2024-01-02T19:00")),
+        (at("2024-01-02"), "Open", "A", None, at("2024-01-03T19:00")),
     ]
     df = spark.createDataFrame(rows, schemas.BRONZE_STORED)
-    assert as_set(reshape.pivot_labels(df), "Close") == [(9.0,)]
-    assert as_set(reshape.pivot_labels(df, duplicates="sum"), "Close") == [(27.0,)]
+    assert as_set(reshape.pivot_labels(df), "Close", "Open") == [(9.0, None)]
+    assert as_set(reshape.pivot_labels(df, duplicates="sum"), "Close") == [(19.0,)]
+    with pytest.raises(ValueError, match="needs an order"):
+        reshape.pivot_labels(df.drop(schemas.INGESTED))
+
+
+def test_labels_left_out_are_counted(spark):
+    df = long_rows(spark, [("2024-01-02", p, "A", 1.0) for p in (None, "Bid", "Bid", "Close")])
+    assert as_set(reshape.left_out(df, schemas.LABELS), "label", "rows") == [("Bid", 2), (None, 1)]
+    with pytest.raises(ValueError, match="more than 1"):
+        reshape.discover_labels(df, most=1)
+
+
+def test_copies_of_a_load_are_taken_whole(spark):
+    rows = [(at("2024-01-02"), "A", 1.0, 9.0, 1), (at("2024-01-02"), "A", 2.0, 3.0, 2), (at("2024-01-02"), "B", 2.0, 1.0, 1), (at("2024-01-02"), "B", 1.0, 7.0, 1)]
+    df = spark.createDataFrame(rows, "Date timestamp_ntz, Ticker string, Low double, High double, seq int")
+    assert as_set(landing.one_copy(df, ("Date", "Ticker"), "seq"), "Ticker", "Low", "High") == [("A", 2.0, 3.0), ("B", 2.0, 1.0)]
+    assert as_set(landing.one_copy(df.drop("seq"), ("Date", "Ticker")), "Ticker", "Low", "High") == [("A", 2.0, 3.0), ("B", 2.0, 1.0)]
+
+
+def test_bars_without_a_date_are_never_new(spark):
+    bars = landing_rows(spark, EXAMPLE_BARS).withColumn("Date", F.when(F.col("Ticker") != "CCCC3.SA", F.col("Date")))
+    whole = landing.new_bars(bars, None, DAY.step)
+    late = landing.new_bars(bars, at("2023-01-01"), DAY.step)
+    since = landing.new_bars(bars, None, DAY.step, at("2023-01-02"))
+    assert whole.count() == late.count() == since.count() == bars.filter("Date is not null").count()
 
 
 def test_pivot_ignores_null_and_unknown_labels(spark):
     df = long_rows(spark, [("2024-01-02", None, "A", 1.0), ("2024-01-02", "Bid", "A", 2.0)])
-    wide = reshape.pivot_labels(df)
+    wide = reshape.pivot_labels(df, duplicates="max")
     assert wide.columns == schemas.SILVER.fieldNames()
     assert as_set(wide, "Close", "Volume") == [(None, None)]
     assert reshape.discover_labels(df) == ["Bid"]
 
 
 def test_pivot_of_nothing_has_the_full_schema(spark):
-    empty = reshape.complete_bars(reshape.pivot_labels(long_rows(spark, [])))
+    empty = reshape.complete_bars(reshape.pivot_labels(long_rows(spark, []), duplicates="max"))
     assert empty.columns == schemas.SILVER.fieldNames()
     assert empty.count() == 0
 
@@ -103,7 +128,7 @@ def test_complete_bars_need_an_adjusted_close_only(spark):
             ("2024-01-02", "Adj Close", "C", None),
         ],
     )
-    wide = reshape.complete_bars(reshape.pivot_labels(df))
+    wide = reshape.complete_bars(reshape.pivot_labels(df, duplicates="max"))
     assert as_set(wide, "Ticker", "Volume") == [("A", None)]
 
 
@@ -124,6 +149,8 @@ def test_symbol_universe_filters_country_and_length(spark):
         [("ABCD3", "brazil"), ("ABCD11", "brazil"), ("XYZ", "chile")], schemas.SYMBOLS
     )
     assert as_set(landing.symbol_universe(listed, "brazil"), "Ticker") == [("ABCD3.SA",)]
+    every = landing.symbol_universe(listed, "brazil", longest=None)
+    assert as_set(every, "Ticker") == [("ABCD11.SA",), ("ABCD3.SA",)]
 
 
 def test_bars_for_symbols_keeps_each_bar_once(spark):
@@ -223,7 +250,7 @@ def test_business_days(spark):
         spark,
         [(d, "A", 1.0, 1.0) for d in ("2024-01-01", "2024-01-06", "2024-01-02", "2024-01-03T15:00")],
     )
-    kept = calendar.business_days(days, calendar.holiday_table(spark))
+    kept = calendar.business_days(days)
     assert as_set(kept, "Date") == [(at("2024-01-02"),), (at("2024-01-03T15:00"),)]
     own = spark.createDataFrame([(date(2024, 1, 2), "strike")], schemas.HOLIDAYS)
     assert as_set(calendar.business_days(days, own), "Date") == [
@@ -232,6 +259,16 @@ def test_business_days(spark):
     ]
 
 
+def test_holidays_of_any_year(spark):
+    years = [1, 1583, 1969, 1979, 1980, 2000, 2023, 2024, 2038, 2101, 4099]
+    days = spark.sql("select explode(sequence(date'1960-01-01', date'2110-12-31')) as d")
+    found = {r[0] for r in days.filter(is_holiday(F.col("d"))).collect()}
+    assert found == {d for d, _ in national_holidays(range(1960, 2111))}
+    assert {date(1969, 12, 25), date(2101, 4, 15)} <= found
+    easter = spark.createDataFrame([(y,) for y in years], "y int").select("y", easter_day(F.col("y")).alias("e"))
+    assert {r.y: r.e for r in easter.collect()} == {y: easter_sunday(y) for y in years}
+
+
 def test_trading_hours(spark):
     bars = wide_rows(spark, [(f"2024-01-02T{h}:00", "A", 1.0, 1.0) for h in (11, 12, 21, 22)])
     assert [r[0].hour for r in as_set(calendar.trading_hours(bars), "Date")] == [12, 21]
@@ -422,6 +459,7 @@ def test_relate_keeps_every_hourly_row(spark):
     bars = wide_rows(spark, [("2024-01-03T13:00", "AAAA3.SA", 9.0, 1.0), ("2024-01-03T14:00", "Z", 9.0, 1.0)])
     hourly = derive(with_daily_close(bars, wide_rows(spark, EXAMPLE_BARS)), HOUR)
     both = serving.relate(hourly, daily)
+    assert both.columns == [*hourly.columns, *(c + "_daily" for c in daily.columns if c != "key")]
     assert as_set(both, "Ticker", "Adj_Close_daily") == [("AAAA3.SA", 11.0), ("Z", None)]
 
 

@@ -5,14 +5,14 @@ import math
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from barmill.plans import catalog, oracle
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"
 ).split()
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = catalog.QUERIES
+ORACLES = oracle.ORACLES
 
 
 @pytest.fixture(scope="module")

@@ -38,7 +38,8 @@ def lake(spark, tmp_path_factory):
     return cfg
 
 
-LAZY = [n for n in catalog.QUERIES if not n.startswith(("medallion", "run_log", "stack"))]
+RUNS = ("medallion", "run_log", "stack", "text_log", "labels", "serving", "silver_pivot_latest", "silver_pivot_extra")
+LAZY = [n for n in catalog.QUERIES if not n.startswith(RUNS)]
 
 
 @pytest.mark.parametrize("name", LAZY)
@@ -49,9 +50,43 @@ def test_no_query_needs_python_workers_or_pairs(spark, sf_dir, name):
 
 
 def test_pivot_is_one_shuffle(spark):
-    text = plan(reshape.pivot_labels(long_rows(spark, [])))
-    assert text.count("Exchange hashpartitioning") == 1
-    assert text.count("HashAggregate") == 2
+    stored = spark.createDataFrame([], schemas.BRONZE_STORED)
+    for wide in (reshape.pivot_labels(stored), reshape.pivot_labels(stored, duplicates="sum")):
+        text = plan(wide)
+        assert text.count("Exchange hashpartitioning") == 1
+        assert text.count("HashAggregate") == 2
+        assert "SortAggregate" not in text
+
+
+def test_scans_are_not_repeated(spark, sf_dir):
+    assert plan(catalog.gold_hourly(spark, sf_dir)).count("FileScan") <= 3
+    assert plan(catalog.serving_hourly_daily(spark, sf_dir)).count("FileScan") == 2
+
+
+def test_edge_queries_meet_every_branch(spark, sf_dir):
+    for query in (catalog.gold_daily_edges, catalog.gold_hourly_edges):
+        kinds = query(spark, sf_dir).agg(
+            F.collect_set("Volatility_label").alias("labels"),
+            F.count_if(F.col("Volatility_perc").isNull() & (F.col("Adj_Close_ant") == 0)).alias("zero"),
+            F.count_if(F.col("High").isNull()).alias("nan"),
+        ).first()
+        assert set(kinds.labels) == {"Increasing", "Stable", "Decreasing"} and kinds.zero and kinds.nan
+
+
+def test_symbols_of_any_length_are_kept(spark, sf_dir):
+    listed = catalog.listed_customers(spark, sf_dir).filter("length(symbol) > 5")
+    symbols = landing.symbol_universe(listed.union(listed.sparkSession.createDataFrame([("U10000", "NATION_7")], listed.schema)), "NATION_7", longest=None, suffix="")
+    assert "U10000" in {r[0] for r in symbols.collect()}
+
+
+@pytest.mark.parametrize("token", ["fernet", "gcm"])
+def test_tokens_hang_on_the_row_and_not_on_its_place(spark, token):
+    bars = wide_rows(spark, EXAMPLE_BARS).withColumn("clear", F.col("Ticker"))
+    both = bars.repartition(3, "Close").unionByName(bars.orderBy(F.desc("Date")))
+    masked = masking.mask(both, KEY, token=token, unique=("Date", "clear"))
+    seen = masked.groupBy("Date", "clear").agg(F.count("*").alias("n"), F.count_distinct("Ticker").alias("t"))
+    assert as_set(seen.select("n", "t").distinct(), "n", "t") == [(2, 1)]
+    assert masked.select("Ticker").distinct().count() == len(EXAMPLE_BARS)
 
 
 def test_previous_close_shuffles_the_bars_once_and_joins_days_by_broadcast(spark):
@@ -79,7 +114,7 @@ def test_watermark_reads_one_day(spark, lake):
 
 def test_gold_reads_from_the_previous_market_day(spark, lake):
     table = medallion.open_layer(spark, lake, "silver")
-    last = at("2024-01-05")
+    last = incremental.Mark(at("2024-01-05"))
     first = medallion.first_close_day(table, last)
     assert str(first) == "2024-01-04"
     rows = layers.gold(table, lake, last, first)
@@ -89,7 +124,7 @@ def test_gold_reads_from_the_previous_market_day(spark, lake):
 
 def test_days_of_gold_are_found_without_decrypting(spark, lake):
     table = medallion.open_layer(spark, lake, "silver")
-    text = plan(layers.gold(table, lake, None, None))
+    text = plan(layers.gold(table, lake, incremental.Mark(), None))
     assert text.count("aesDecrypt") == 1
 
 
