@@ -4,13 +4,19 @@ Documents with the same shingle set are one node. Similar nodes are put into gro
 group's members have together, and a query opens a group only if enough of its tokens are in that union: a member with
 Jaccard t or more holds at least t of the query's tokens.
 
-1. Index. Under any one order of tokens, two sets with Jaccard t or more share one of their first n - ceil(t * n) + 1
-   tokens each. Cells of the matrix are only looked for by those. Hot tokens come last in the order; which ones count as
-   hot changes the work and not the result.
-2. Grouping. Each node is compared with the node that most of its index tokens point to; components of these
-   links, cut into parts of at most PART nodes, are the groups, single nodes included.
+1. Index. Of a set of n tokens at most n - ceil(t * n) are missing in a set that is similar to it. So under any one
+   order of tokens, the first l tokens that two similar sets have in common are among the first n - ceil(t * n) + l of
+   each: the cells of the matrix are filled for these index tokens only, and similar sets share l of them. Nodes that
+   share fewer with all others together are out. Hot tokens come last in the order; which ones count as hot changes
+   the work and not the result.
+2. Grouping. Of the nodes of a token the most central one is its pivot, the one whose tokens most nodes have: of
+   copies of a text that is the text itself. Each node is compared with the pivot that most of its index tokens name,
+   in GROUPING rounds, the later ones between components. Components, cut into parts of at most PART nodes, are the groups, single
+   nodes included.
 3. Search. A token whose nodes are still in different components makes a query of each node against the groups of
-   the others. Bounds are taken on whole token sets, and pairs of opened groups compared on whole sets.
+   the others. A query may leave out its l - 1 most frequent index tokens here, since it shares l. A group is opened
+   if it has enough of the query's index tokens, and then enough of its whole set, in its union; pairs of a query and
+   the members of opened groups that share enough index tokens are compared on whole sets.
 
 Pairs inside one component need no comparison, since the result is what is reachable; every pair of different components
 that could be linked is compared. So a group of copies costs one comparison a copy, and no group emits its pairs.
@@ -36,6 +42,12 @@ HOT_LIST = 200_000
 #: Nodes of one block of tokens, and of all, from which a token is hot.
 HOT_LOCAL, HOT_GLOBAL = 4, 32
 BLOCK = 1 << 22
+#: Bits of the map of nodes whose sets are needed; it is broadcast.
+BITMAP = 1 << 25
+#: Rounds in which nodes are compared with pivots.
+GROUPING = 2
+#: Times that nodes without enough shared index tokens are taken out.
+CLOSER = 2
 #: Index tokens that meet in one task, about.
 MEET = 1 << 20
 
@@ -44,6 +56,19 @@ def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def shared_least(n, percent: int):
+    """Index tokens that a set of n tokens shares with any similar one: as many as the shortest sufficient prefix has.
+
+    For numbers and for columns; the smallest set that can be similar decides.
+    """
+    least = _div(percent * n + 99, 100)
+    return least - _div(percent * least + 99, 100) + 1
+
+
+def _div(a, b: int):
+    return F.floor(a / b) if isinstance(a, Column) else a // b
+
+
 def _described(df: DataFrame, k: int) -> DataFrame:
     """Rows of two kinds: doc_id, n, node of a document; token and count of tokens that are frequent in a block."""
 
@@ -127,6 +152,7 @@ def _index(df: DataFrame, k: int, percent: int, hot: np.ndarray, buckets: int) -
                 if len(found) * 100 < percent * (len(found) + 1):
                     continue  # so small that only an equal set is similar, and equal sets are one node
                 p = prefix_size(len(found), percent)
+                p = min(2 * p - 1, len(found))
                 at = np.searchsorted(hot, found).clip(max=max(len(hot) - 1, 0))
                 late = hot[at] == found if len(hot) else np.zeros(len(found), bool)
                 first = np.concatenate((found[~late], found[late]))[:p] if late.any() else found[:p]
@@ -142,7 +168,7 @@ def _index(df: DataFrame, k: int, percent: int, hot: np.ndarray, buckets: int) -
 
 
 def _met(index: DataFrame) -> DataFrame:
-    """token, node, n, pivot, pivot_n of tokens that two nodes or more have; the pivot is the least node of the token."""
+    """token, node and n of the index tokens that two nodes or more have."""
 
     def run(group: pa.Table) -> pa.Table:
         def joined(name: str, kind) -> np.ndarray:
@@ -158,40 +184,60 @@ def _met(index: DataFrame) -> DataFrame:
         tokens, nodes, sizes = tokens[new], nodes[new], sizes[new]
         starts = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
         lengths = np.diff(np.concatenate((starts, [len(tokens)])))
-        run_of = np.repeat(starts, lengths)
         many = np.repeat(lengths, lengths) > 1
-        return pa.table({
-            "token": tokens[many].astype(np.int64), "node": nodes[many], "n": sizes[many].astype(np.int64),
-            "pivot": nodes[run_of[many]], "pivot_n": sizes[run_of[many]].astype(np.int64),
-        })
+        return pa.table({"token": tokens[many].astype(np.int64), "node": nodes[many], "n": sizes[many].astype(np.int64)})
+
+    return index.groupBy("bucket").applyInArrow(run, "token long, node long, n long")
 
-    return index.groupBy("bucket").applyInArrow(run, "token long, node long, n long, pivot long, pivot_n long")
 
+def _close(met: DataFrame, percent: int) -> DataFrame:
+    """met without the nodes that share too few index tokens to be similar to any node."""
+    several = met.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("token")
+    met = met.join(several, "token", "left_semi")  # a token without two nodes left is shared by none
+    shared = met.groupBy("node", "n").agg(F.count("*").alias("c"))
+    return met.join(shared.where(F.col("c") >= shared_least(F.col("n"), percent)).select("node"), "node", "left_semi")
 
-def _sets(df: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """node and tokens of the wanted (node, _key, _null) documents' sets."""
-    keyed = df.select(*_key("doc_id"), "text")
-    chosen = keyed.join(wanted.select("_key", "_null").distinct(), ["_key", "_null"], "left_semi").select("text")
+
+def _bitmap(nodes: DataFrame) -> np.ndarray:
+    """A bit for each node by a part of its hash: BITMAP bits, however many nodes there are."""
+    place = F.pmod("node", F.lit(BITMAP))
+    words = nodes.select(F.floor(place / 64).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int")).alias("b"))
+    words = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    out = np.zeros(BITMAP // 64, np.int64)
+    out[words.column("w").to_numpy()] = words.column("b").to_numpy()
+    return out
+
+
+def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """node and tokens of the wanted nodes' sets, one row each.
+
+    The bitmap lets few other sets into the shuffle, and the join takes those out.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, seen = shared.value, set()
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE):
-                sets = [shingles(t.as_py(), k) for t in batch.column(0).slice(start, SLICE)]
-                sets = [s for s in sets if len(s)]
+                nodes, sets = [], []
+                for text in batch.column(0).slice(start, SLICE):
+                    tokens = shingles(text.as_py(), k)
+                    if not len(tokens) or (node := set_id(tokens)) in seen:
+                        continue
+                    place = node % BITMAP
+                    if int(bits[place // 64]) >> (place % 64) & 1:
+                        seen.add(node)
+                        nodes.append(node)
+                        sets.append(tokens)
                 ends = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
                 flat = np.concatenate(sets).astype(np.int64) if sets else np.empty(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([set_id(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                    [pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
                     names=["node", "tokens"],
                 )
 
-    sets = arrow_map(chosen, run, "node long, tokens array<long>")
-    return sets.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
-
-
-def _key(name: str) -> list[Column]:
-    """A document's id as columns that are never null."""
-    return [F.coalesce(F.col(name).cast("string"), F.lit("")).alias("_key"), F.col(name).isNull().alias("_null")]
+    sets = arrow_map(docs.select("text"), run, "node long, tokens array<long>")
+    return sets.join(wanted, "node", "left_semi").dropDuplicates(["node"])
 
 
 def _similar(a: str, b: str, percent: int) -> Column:
@@ -259,23 +305,20 @@ def _linked(df: DataFrame, id_col: str, text_col: str, k: int, percent: int) ->
     listed = [r[0] for r in hot.orderBy(F.desc("c"), "token").limit(HOT_LIST).collect()]  # an order, at most HOT_LIST numbers
     hot_tokens = np.sort(np.array(listed, np.int64).astype(np.uint64))
 
-    index_size = size * (100 - percent) // 100 + 1
+    index_size = size * 2 * (100 - percent) // 100 + 1
     index = _index(docs.select("text"), k, percent, hot_tokens, max(int(index_size // MEET), 1))
-    met = stored(_met(index), "met")
-
-    # The sets of all nodes that share an index token with another one.
-    least_id = F.min(F.struct(F.col("doc_id").isNull(), "doc_id"))["doc_id"].alias("doc_id")
-    classes = rows.where("node is not null").groupBy("node").agg(least_id)
-    wanted = classes.join(met.select("node").distinct(), "node", "left_semi").select("node", *_key("doc_id"))
-    sets = stored(_sets(docs, stored(wanted, "wanted"), k), "sets")
-
-    # Grouping: each node with the pivot that most of its tokens name.
-    near = met.where("node <> pivot").where(_could("n", "pivot_n", percent)).groupBy("node", "pivot").count()
-    pairs = near.groupBy("node").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot"))
-    first = stored(_compared(pairs.select(F.col("node").alias("a"), F.col("pivot").alias("b")), sets, percent), "first")
-    grouped = components(first)
-
-    found = first.union(_search(met, grouped, sets, percent))
+    met = stored(_met(index), "shared")
+    for _ in range(CLOSER):
+        met = stored(_close(met, percent), "met")
+
+    sets = stored(_sets(docs, met.select("node").distinct(), k), "sets")
+    met = stored(_ranked(met), "ranked")
+    links = None
+    for _ in range(GROUPING):
+        pairs = _to_pivots(met if links is None else _apart(met, components(links)), percent)
+        found = stored(_compared(pairs, sets, percent), "grouping")
+        links = found if links is None else stored(links.union(found), "grouped")
+    found = links.union(_search(met, components(links), sets, percent))
     linked = stored(components(found), "linked")
     return rows, docs, linked
 
@@ -294,39 +337,69 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(_similar("ta", "tb", percent)).select("a", "b")
 
 
+def _ranked(met: DataFrame) -> DataFrame:
+    """met with df, the nodes of the token, and score, how central the node is: the mean df of its index tokens."""
+    dfs = met.groupBy("token").agg(F.count("*").alias("df"))
+    counted = met.join(dfs, "token")
+    scores = counted.groupBy("node").agg((F.sum("df") / F.max("n")).alias("score"))
+    return counted.join(scores, "node")
+
+
+def _apart(met: DataFrame, grouped: DataFrame) -> DataFrame:
+    """Rows of the tokens whose nodes are in different components, with the component."""
+    known = met.join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = known.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    return known.join(several.select("token"), "token", "left_semi")
+
+
+def _to_pivots(met: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a node and the pivot that most of its index tokens name, outside its component."""
+    met = met if "component" in met.columns else met.withColumn("component", F.col("node"))
+    chosen = met.groupBy("token").agg(F.max_by(F.struct("node", "n", "component"), F.struct("score", "node")).alias("p"))
+    chosen = chosen.select("token", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.component").alias("other"))
+    near = met.join(chosen, "token").where("component <> other").where(_could("n", "pivot_n", percent))
+    near = near.groupBy("node", "n", "pivot").count().where(F.col("count") >= shared_least(F.col("n"), percent))
+    return near.groupBy("node").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("b")).withColumnRenamed("node", "a")
+
+
 def _search(met: DataFrame, grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between different components of grouped, by queries against the groups of the token-group matrix."""
-    nodes = met.select("node", "n").distinct().join(grouped, "node", "left")
-    nodes = nodes.withColumn("component", F.coalesce("component", "node"))
-    sizes = nodes.groupBy("component").agg(F.count("*").alias("members"))
-    nodes = nodes.join(sizes, "component")
+    open_ = _apart(met, grouped)
+    sizes = open_.select("node", "component").distinct().groupBy("component").agg(F.count("*").alias("members"))
+    open_ = open_.join(sizes, "component")
     part = F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / PART))
-    nodes = stored(nodes.select("node", "n", "component", "members", F.xxhash64("component", part).alias("grp")), "nodes")
+    open_ = stored(open_.withColumn("grp", F.xxhash64("component", part)), "open")
+    least = shared_least(F.col("n"), percent)
 
-    open_ = met.select("token", "node").join(nodes, "node")
-    several = open_.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    open_ = stored(open_.join(several.select("token"), "token", "left_semi"), "open")
-
-    # Of two components the smaller one asks. A group is asked if one of its sizes could do.
-    asked = open_.groupBy("token", "grp", "component", "members").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    q, g = open_.alias("q"), asked.alias("g")
+    # Of two components the smaller one asks. A group is asked if one of its sizes could do, by a query's rarer tokens.
+    tokens = open_.groupBy("node", "n", "grp", "component", "members").agg(
+        F.array_sort(F.collect_list(F.struct("df", "token"))).alias("own")
+    )
+    tokens = stored(tokens.where(F.size("own") >= least), "queries")
+    rare = F.slice("own", F.lit(1), (F.size("own") - least + 1).cast("int"))
+    q = tokens.select("node", "n", "component", "members", F.explode(rare).alias("r")).withColumn("token", F.col("r.token")).alias("q")
+    asked = open_.join(tokens.select("node"), "node", "left_semi").groupBy("token", "grp", "component", "members")
+    g = asked.agg(F.min("n").alias("low"), F.max("n").alias("high")).alias("g")
     bigger = F.struct("g.members", "g.component") > F.struct("q.members", "q.component")
     fits = (F.col("g.high") * 100 >= F.col("q.n") * percent) & (F.col("g.low") * percent <= F.col("q.n") * 100)
     cells = q.join(g, (F.col("q.token") == F.col("g.token")) & bigger & fits).select("q.node", "g.grp").distinct()
     cells = stored(cells, "cells")
 
-    # The matrix: union of the tokens of each group that is asked.
-    members = nodes.join(cells.select("grp").distinct(), "grp", "left_semi").select("grp", "node")
-    matrix = members.join(sets, "node").groupBy("grp").agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"))
-    bounded = cells.join(sets.select("node", "tokens"), "node").join(matrix, "grp")
+    # The matrix: unions of a group's index tokens, and of its whole sets where those suffice.
+    members = tokens.join(cells.select("grp").distinct(), "grp", "left_semi")
+    names = F.transform("own", lambda x: x["token"])
+    index = members.groupBy("grp").agg(F.array_distinct(F.flatten(F.collect_list(names))).alias("index"))
+    asking = tokens.select("node", "n", names.alias("names"))
+    near = cells.join(asking, "node").join(index, "grp").where(F.size(F.array_intersect("names", "index")) >= least)
+    near = stored(near.select("node", "grp"), "near")
+    whole = members.join(near.select("grp").distinct(), "grp", "left_semi").select("grp", "node").join(sets, "node")
+    matrix = whole.groupBy("grp").agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"))
+    bounded = near.join(sets, "node").join(matrix, "grp")
     opened = bounded.where(F.size(F.array_intersect("tokens", "union")) * 100 >= F.size("tokens") * percent)
     opened = stored(opened.select("node", "grp"), "opened")
 
-    ns = nodes.select("node", "n")
-    pairs = (
-        opened.withColumnRenamed("node", "a").join(members.withColumnRenamed("node", "b"), "grp")
-        .join(ns.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
-        .join(ns.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
-        .where(_could("na", "nb", percent)).select("a", "b")
-    )
-    return _compared(pairs, sets, percent)
+    a = tokens.select(F.col("node").alias("a"), F.col("n").alias("na"), names.alias("ia"))
+    b = members.select("grp", F.col("node").alias("b"), F.col("n").alias("nb"), names.alias("ib"))
+    both = opened.join(a, F.col("node") == F.col("a")).join(b, "grp").where(_could("na", "nb", percent))
+    enough = shared_least(F.least("na", "nb"), percent)
+    return _compared(both.where(F.size(F.array_intersect("ia", "ib")) >= enough).select("a", "b"), sets, percent)
