@@ -6,6 +6,9 @@ adds these maxima up to a bound for each block, opens blocks from the highest bo
 stops at the first block whose bound is below the k-th score found. Term statistics are global, so the scores of all
 segments compare, and merging their k best is exact.
 
+A part of the segments is searched first; the k-th scores found there start the search of the others, which then open
+few blocks and return few rows.
+
 Queries go in waves of a bounded number of terms; a wave is broadcast to the segments, which stay where they are stored.
 """
 
@@ -25,6 +28,8 @@ K1, B = 1.2, 0.75
 K = 10
 #: Documents and words of a segment, documents of a block, and terms of all queries of a wave, at most about.
 SEGMENT, SEGMENT_WORDS, BLOCK, WAVE = 8192, 4_000_000, 32, 2_000_000
+#: One segment in so many, by a hash of its ids, is searched first.
+SEED = 8
 #: Slack for rounding when a bound is held against a score.
 SLACK = 1e-9
 
@@ -104,8 +109,8 @@ class Searcher:
         self.entry[at[wanted]], self.entries[at[wanted]] = np.cumsum(entries) - entries, entries
         self.opened = 0
 
-    def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and scores of the k best documents, by score and then id (null last)."""
+    def search(self, terms: np.ndarray, weights: np.ndarray, k: int, known: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """Places and scores of the k best documents, by score and then id (null last), none below a known k-th score."""
         entry = _ranges(self.entry[terms], self.entries[terms])
         weight = np.repeat(weights, self.entries[terms])
         place = self.place[entry]
@@ -113,7 +118,7 @@ class Searcher:
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         found, scores = np.empty(0, np.int64), np.empty(0)
-        at, step, least = 0, max(4, 2 * k // self.block + 1), 0.0
+        at, step, least = 0, max(4, 2 * k // self.block + 1), known
         chosen = np.zeros(self.n_blocks, bool)
         while at < len(order) and bound[order[at]] * (1 + SLACK) >= least:
             now = order[at : at + step]
@@ -129,7 +134,7 @@ class Searcher:
             found, scores = np.concatenate((found, new)), np.concatenate((scores, got[new]))
             best = np.lexsort((self.ids[found], -scores))[:k]
             found, scores = found[best], scores[best]
-            least = scores[-1] if len(scores) == k else 0.0
+            least = scores[-1] if len(scores) == k else known
             at, step = at + step, step * 2
         return found, scores
 
@@ -200,9 +205,20 @@ def _wave(index: DataFrame, own: pa.Table, n: int, mean: float, k: int, schema:
         for q, t, c in zip(own.column("query_id"), terms, own.column("counts"))
     ]
     wave = context.broadcast(asked)
+    none = context.broadcast({})
+    seeds = F.pmod(F.xxhash64("ids"), F.lit(SEED)) == 0
+    first = stored(_searched(index.where(seeds), shared, wave, none, mean, k, schema), "seeds")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score")))
+    scores = first.withColumn("rank", rank).where(F.col("rank") == k).select("query_id", "score").toArrow()
+    known = context.broadcast(dict(zip(*(scores.column(c).to_pylist() for c in ("query_id", "score")))))
+    return first.union(_searched(index.where(~seeds), shared, wave, known, mean, k, schema))
+
+
+def _searched(index: DataFrame, shared, wave, known, mean: float, k: int, schema: str) -> DataFrame:
+    """The k best of each segment for each query, as far as they reach the score known for the query."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, asked = shared.value, wave.value
+        vocabulary, asked, least = shared.value, wave.value, known.value
         for batch in batches:
             for row in range(batch.num_rows):
                 ids = batch.column(0)[row].values
@@ -213,7 +229,7 @@ def _wave(index: DataFrame, own: pa.Table, n: int, mean: float, k: int, schema:
                 segment = Searcher(vocabulary, mean, ids.fill_null(LAST).to_numpy(), lens, terms, dfs, docs, tfs)
                 queries, found, scores = [], [], []
                 for query, places, weights in asked:
-                    best, score = segment.search(places, weights, k)
+                    best, score = segment.search(places, weights, k, least.get(query, 0.0))
                     queries.append(np.full(len(best), query, np.int64))
                     found.append(best)
                     scores.append(score)
