@@ -74,4 +74,63 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+_JOIN = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM words
+),
+tokens AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sets
+  UNION SELECT r.doc_id, l.y FROM reached r JOIN links l ON l.x = r.other
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, r.least AS component_id
+FROM sets s JOIN (SELECT doc_id, min(other) AS least FROM reached GROUP BY doc_id) r USING (doc_id)"""
+
+
+def _plain_text() -> str:
+    text = "html"
+    for hidden in site_lines.HIDDEN:
+        text = f"regexp_replace({text}, '{hidden}', ' ', 'g')"
+    text = f"regexp_replace(regexp_replace({text}, '{site_lines.BLOCKS}', chr(10), 'g'), '<[^>]*>', '', 'g')"
+    return f"trim(regexp_replace({text}, '[ \\t]*\\n[ \\t\\n]*', chr(10), 'g'), ' ')"
+
+
+_SITE = f"""
+WITH pages_ AS (
+  SELECT row_number() OVER () AS rid, page_id, nullif(lower(regexp_extract(url, '{site_lines.HOST}', 1)), '') AS host,
+         string_split({_plain_text()}, chr(10)) AS lines
+  FROM pages
+),
+each AS (SELECT rid, host, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM pages_),
+counts AS (
+  SELECT host, trim(line, ' ') AS k, count(DISTINCT rid) AS n FROM each
+  WHERE trim(line, ' ') <> '' AND host IS NOT NULL GROUP BY ALL
+),
+boilerplate AS (
+  SELECT c.host, c.k FROM counts c JOIN (SELECT host, count(*) AS total FROM pages_ GROUP BY host) t ON t.host = c.host
+  WHERE n >= {site_lines.PAGES} AND n > total * {site_lines.RATIO}
+),
+left_ AS (
+  SELECT rid, list(line ORDER BY place) AS lines, max(trim(line, ' ') <> '') AS some FROM each e
+  WHERE NOT EXISTS (SELECT 1 FROM boilerplate b WHERE b.host = e.host AND b.k = trim(e.line, ' ')) GROUP BY rid
+),
+chosen AS (
+  SELECT p.page_id, p.host, len(p.lines) AS n, CASE WHEN l.some THEN l.lines ELSE p.lines END AS kept
+  FROM pages_ p LEFT JOIN left_ l USING (rid)
+)
+SELECT page_id, host, CAST(n AS BIGINT) AS n_lines, CAST(n - len(kept) AS BIGINT) AS n_dropped,
+       sha256(array_to_string(kept, chr(10))) AS text_sha256
+FROM chosen"""
+
+ORACLES: dict[str, str] = {"op2_shingle_join": _JOIN, "op6_site_lines": _SITE}
