@@ -46,8 +46,6 @@ BLOCK = 1 << 22
 BITMAP = 1 << 25
 #: Rounds in which nodes are compared with pivots.
 GROUPING = 2
-#: Times that nodes without enough shared index tokens are taken out.
-CLOSER = 2
 #: Index tokens that meet in one task, about.
 MEET = 1 << 20
 
@@ -191,11 +189,12 @@ def _met(index: DataFrame) -> DataFrame:
 
 
 def _close(met: DataFrame, percent: int) -> DataFrame:
-    """met without the nodes that share too few index tokens to be similar to any node."""
-    several = met.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("token")
-    met = met.join(several, "token", "left_semi")  # a token without two nodes left is shared by none
-    shared = met.groupBy("node", "n").agg(F.count("*").alias("c"))
-    return met.join(shared.where(F.col("c") >= shared_least(F.col("n"), percent)).select("node"), "node", "left_semi")
+    """met without the nodes that share too few index tokens to be similar to any node.
+
+    A node has at most as many rows as its set has tokens, so the window is bounded by a document.
+    """
+    counted = met.withColumn("c", F.count("*").over(Window.partitionBy("node")))
+    return counted.where(F.col("c") >= shared_least(F.col("n"), percent)).drop("c")
 
 
 def _bitmap(nodes: DataFrame) -> np.ndarray:
@@ -307,9 +306,7 @@ def _linked(df: DataFrame, id_col: str, text_col: str, k: int, percent: int) ->
 
     index_size = size * 2 * (100 - percent) // 100 + 1
     index = _index(docs.select("text"), k, percent, hot_tokens, max(int(index_size // MEET), 1))
-    met = stored(_met(index), "shared")
-    for _ in range(CLOSER):
-        met = stored(_close(met, percent), "met")
+    met = stored(_close(_met(index), percent), "met")
 
     sets = stored(_sets(docs, met.select("node").distinct(), k), "sets")
     met = stored(_ranked(met), "ranked")
