@@ -1,13 +1,25 @@
-"""Boilerplate lines of a site: lines on more than a share of the pages of their host are dropped."""
+"""Boilerplate lines of a site: lines on more than a share of the pages of their host are dropped.
+
+A long line that unrelated texts share is a repeated passage however rare it is: it does not come about twice by chance,
+and the pages of a large host would hide it. Copies and near copies of one text are not unrelated.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barmill.llm.licenses import grams
+from barmill.llm.util import stored
+
 #: Share of a host's pages beyond which a line is boilerplate, and pages that must hold it in any case.
 RATIO = 0.1
 PAGES = 3
+#: A line of more words is long. Sketches of the rest of a text, and words in what they are drawn from.
+LONG = 50
+SKETCHES, CHUNK = 4, 3
+#: Rows up to which a table is sent to all tasks; a larger one is joined by a shuffle, with the same result.
+SENT = 200_000
 
 
 def _key(line: Column) -> Column:
@@ -65,6 +77,60 @@ def drop_boilerplate(
     )
 
 
+def _long_lines(text: Column) -> Column:
+    def is_long(line: Column) -> Column:
+        return (F.length(line) > 2 * LONG) & (F.size(F.split(F.trim(line), r"\s+")) > LONG)
+
+    return F.array_distinct(F.transform(F.filter(F.split(text, "\n"), is_long), _key))
+
+
+def _sketch(text: Column, line: Column) -> Column:
+    """Least hashes of the word chunks of a text without a line: near copies share one, unrelated texts hardly ever."""
+    rest = F.trim(F.array_join(F.filter(F.split(text, "\n"), lambda x: _key(x) != line), " "))
+    words = F.split(F.lower(rest), r"\s+")
+    chunks = F.when(F.size(words) < CHUNK, F.array(F.array_join(words, " "))).otherwise(grams(words, CHUNK))
+    return F.array(*(F.array_min(F.transform(chunks, lambda x: F.xxhash64(x, F.lit(k)))) for k in range(SKETCHES)))
+
+
+def _sent(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= SENT else df
+
+
+def passages(df: DataFrame, text_col: str = "text", pages: int = PAGES, ratio: float = RATIO) -> DataFrame:
+    """_text (64-bit hash of a text) and _long, the keys of its long lines that stand in unrelated texts.
+
+    A line's unrelated texts are those that share no sketch with another holder of the line, and one for all that do.
+    They must be at least pages, and a ratio of all different texts that hold it, since of many near copies a few
+    seem unrelated.
+    """
+    texts = df.select(F.xxhash64(text_col).alias("_text"), F.col(text_col).alias("text"))
+    pairs = texts.select("_text", F.explode(_long_lines(F.col("text"))).alias("line")).distinct()
+    often = pairs.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= pages)
+    held = stored(pairs.join(often, "line"), "passages")
+    each = texts.join(_sent(held), "_text").select("_text", "line", _sketch(F.col("text"), F.col("line")).alias("s")).distinct()
+    each = each.select("_text", "line", F.posexplode("s").alias("k", "s"))
+    single = each.groupBy("line", "k", "s").agg(F.count("*").alias("n"), F.min("_text").alias("_text")).where("n = 1")
+    alone = single.groupBy("line", "_text").count().where(F.col("count") == SKETCHES).groupBy("line").agg(F.count("*").alias("alone"))
+    found = alone.join(held.select("line", "n").distinct(), "line")
+    unrelated = F.col("alone") + (F.col("n") > F.col("alone")).cast("int")
+    found = found.where((unrelated >= pages) & (unrelated >= F.col("n") * ratio)).select("line")
+    lists = held.join(found, "line").groupBy("_text").agg(F.collect_set("line").alias("_long"))
+    return stored(lists, "passages-of-texts")
+
+
+def drop_passages(df: DataFrame, text_col: str = "text", pages: int = PAGES, ratio: float = RATIO) -> DataFrame:
+    """df with the long lines taken out of text_col that unrelated texts share, whatever their host.
+
+    A text of which nothing would be left stays as it is. Columns and rows pass through.
+    """
+    lists = passages(df, text_col, pages, ratio)
+    lines = F.split(text_col, "\n")
+    out = df.withColumn("_text", F.xxhash64(text_col)).join(_sent(lists), "_text", "left")
+    out = out.withColumn("_clean", F.filter(lines, lambda x: ~F.array_contains("_long", _key(x))))
+    text = F.when(F.col("_long").isNotNull() & ~empty_of("_clean"), F.array_join("_clean", "\n")).otherwise(F.col(text_col))
+    return out.select(*(text.alias(c) if c == text_col else F.col(c) for c in df.columns))
+
+
 def empty_of(lines: str) -> Column:
     return F.forall(lines, lambda x: F.trim(x) == "")
 
