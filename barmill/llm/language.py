@@ -19,6 +19,10 @@ RANKS = 400
 #: Bound on the texts per language that a profile is learned from, drawn by a hash of their id.
 SAMPLE = 4000
 UNKNOWN = "und"
+#: A share of the maximal distance below which no text is refused; the share of held-out texts that may lie beyond a bound.
+NEAR, REFUSED = 2 / 3, 0.001
+#: Words that held-out texts are cut to as well, so that short texts have bounds of their own.
+CUTS = (1, 2, 4, 8, 16)
 
 
 @lru_cache(maxsize=1)
@@ -55,9 +59,13 @@ class Profiles:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and score: how much nearer the best profile is than the next, 0 to 1; und without any letter."""
+        return self.measured(text)[:2]
+
+    def measured(self, text: str | None) -> tuple[str, float, float, int]:
+        """Language, score, distance of the best profile as a share of the maximal one, and n-grams compared."""
         grams, counts = counted(text or "")
         if not len(grams) or not self.langs:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, 1.0, 0
         order = np.lexsort((grams, -counts))[:RANKS]
         at = np.searchsorted(self.grams, grams[order]).clip(max=len(self.grams) - 1)
         known = self.grams[at] == grams[order]
@@ -67,7 +75,8 @@ class Profiles:
         best = int(distance.argmin())
         others = np.delete(distance, best)
         rest = others.min() if len(others) else RANKS * len(order)
-        return self.langs[best], float((rest - distance[best]) / rest) if rest else 0.0
+        score = float((rest - distance[best]) / rest) if rest else 0.0
+        return self.langs[best], score, float(distance[best] / (RANKS * len(order))), len(order)
 
 
 def learn(df: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int = SAMPLE) -> Profiles:
@@ -100,12 +109,49 @@ def learn(df: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int
     return Profiles(tuple(langs), grams, ranks)
 
 
-def identify(df: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
+def _size(n: int) -> int:
+    """Texts of about as many n-grams have one bound."""
+    return n.bit_length()
+
+
+def bounds(df: DataFrame, profiles: Profiles, sample: int = SAMPLE) -> dict[int, float]:
+    """By size of a text, the share of the maximal distance beyond which it is in none of the languages.
+
+    Set on about sample held-out documents labelled with a learned language, whole and cut to their first words: at
+    most REFUSED of a size lie beyond. A size without any has NEAR, and none has less.
+    """
+    rows = df.where(held_out("doc_id") & F.col("lang").isin(list(profiles.langs)) & F.col("text").isNotNull())
+    share = min(1.0, sample / max(rows.count(), 1))
+    drawn = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("bound")), F.lit(1 << 30)) < int(share * (1 << 30))).select("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            out = []
+            for text in batch.column(0).to_pylist():
+                words = text.split(None, max(CUTS))
+                for form in (text, *(" ".join(words[:k]) for k in CUTS if k < len(words))):
+                    *_, apart, n = profiles.measured(form)
+                    if n:
+                        out.append((_size(n), apart))
+            columns = [pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["size", "apart"])
+
+    apart = arrow_map(drawn, run, "size int, apart double").groupBy("size").agg(F.percentile("apart", F.lit(1 - REFUSED)).alias("b"))
+    return {r["size"]: max(NEAR, r["b"]) for r in apart.collect()}  # a row for each power of two up to RANKS
+
+
+def identify(df: DataFrame, profiles: Profiles, text_col: str = "text", bounds: dict[int, float] | None = None) -> DataFrame:
     """df with lang_pred and score, which replace columns of these names.
 
-    A null or empty text, or one without a letter, is und with score 0, and so is all if nothing was learned. Ties
-    go to the first language by name. Repeated rows and nulls in other columns pass through.
+    A null or empty text, or one without a letter, is und with score 0, and so is all if nothing was learned. With
+    bounds, so is a text whose distance is beyond that of its size. Ties go to the first language by name. Repeated
+    rows and nulls in other columns pass through.
     """
+
+    def said_of(text: str | None) -> tuple[str, float]:
+        lang, score, apart, n = profiles.measured(text)
+        return (UNKNOWN, 0.0) if bounds is not None and apart > bounds.get(_size(n), NEAR) else (lang, score)
+
     kept = [c for c in df.columns if c not in ("lang_pred", "score")]
     at = kept.index(text_col)
     rows = df.select(*kept)
@@ -113,7 +159,7 @@ def identify(df: DataFrame, profiles: Profiles, text_col: str = "text") -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            said = [profiles.predict(t) for t in batch.column(at).to_pylist()]
+            said = [said_of(t) for t in batch.column(at).to_pylist()]
             new = [pa.array([s[0] for s in said], pa.string()), pa.array([s[1] for s in said], pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*kept, "lang_pred", "score"])
 
