@@ -162,3 +162,31 @@ def test_licence_edges(spark, classifier):
     empty = df.where("false")
     assert licenses.by_document(empty, licenses.scan(empty, classifier)).count() == 0
     assert licenses.train(empty).threshold >= 0.5
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+
+
+def test_wrapped_licences(spark, classifier):
+    prose = "the river ran by the house\nand over the hill"
+    comment = "\n".join(f" * {x}" for x in GPL.split("\n"))
+    texts = {
+        1: (f"The MIT License (MIT)\n\nCopyright (c) 2020 A. Author\n\n{MIT}\n\n{prose}", "mit"), 2: (BSD, "bsd"), 3: (GPL, "gpl-3.0"),
+        4: (f"/*\n{comment}\n */\n{prose}", "gpl-3.0"), 5: (f"{MIT}\n\n{prose}\n\n{BSD}", "bsd,mit"), 6: (f"{prose}\n\n{prose}", ""),
+        7: (f"{prose}\nReleased under the MIT License.\n{prose}", "mit"), 8: (f"{BSD}\n\n{prose}\n\n{BSD}", "bsd"),
+    }
+    df = spark.createDataFrame([(i, t) for i, (t, _) in texts.items()] + [(2, BSD)], TEXT)
+    found = {r.doc_id: (r.families, r.n_licences) for r in licenses.by_document(df, licenses.scan(df, classifier)).collect()}
+    assert {i: f for i, (f, _) in found.items()} == {i: f for i, (_, f) in texts.items()}
+    assert {i: n for i, (_, n) in found.items()} == {1: 1, 2: 2, 3: 1, 4: 1, 5: 2, 6: 0, 7: 1, 8: 2}
