@@ -5,6 +5,9 @@ Every paragraph is hashed to a wide vector, and a document's fingerprint is the
 The vector has two parts: EQUAL lanes hashed from the whole paragraph, which decide equality, and ALIKE lanes that
 are themselves sums over the paragraph's chunks of CHUNK words, each chunk adding 0 or 1 to a lane by a bit of its hash.
 Less half the number of chunks they are a random projection of the multiset of chunks; their cosine is the likeness.
+
+All EQUAL lanes of a paragraph follow from one 64-bit hash of it, so they tell paragraphs apart no better than 64 bits do:
+about n * n / 2**65 collisions are expected among n different paragraphs.
 """
 
 from __future__ import annotations
