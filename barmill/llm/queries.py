@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barmill.llm import (
-    fingerprint, language, licenses, mixing, pii, shingle_join, site_lines, token_counts, transducer, wand,
+    fingerprint, language, licenses, mixing, pii, prefix_trie, shingle_join, site_lines, token_counts, transducer, wand,
 )
 from barmill.llm.util import documents
 
@@ -66,11 +66,16 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.round_trip(documents(spark, sf_dir), TOKENIZER)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
         op1_entropy_mix, op2_shingle_join, op3_token_counts, op4_license_scan, op5_language_id, op6_site_lines,
         op7_block_max_search, op8_pii_spans, op9_multiset_fingerprints, op10_bpe_transducer,
+        op11_prefix_trie,
     )
 }
 
@@ -133,4 +138,41 @@ SELECT page_id, host, CAST(n AS BIGINT) AS n_lines, CAST(n - len(kept) AS BIGINT
        sha256(array_to_string(kept, chr(10))) AS text_sha256
 FROM chosen"""
 
-ORACLES: dict[str, str] = {"op2_shingle_join": _JOIN, "op6_site_lines": _SITE}
+#: The unsigned CRC-32 of a decimal number, bit by bit.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, length(s) + 1),
+    lambda i: list_prepend(ascii(s[i])::BIGINT, [-1::BIGINT, -1, -1, -1, -1, -1, -1, -1])))),
+    lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END), 4294967295)"""
+
+_TRIE = f"""
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id
+    ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (SELECT c, c - c % 5 AS base, {_CRC} % 9 AS h FROM (SELECT DISTINCT c, c::VARCHAR AS s FROM turns)),
+lent AS (SELECT v.c, v.h, count(t.p) AS k FROM convs v LEFT JOIN turns t ON t.c = v.base AND t.p <= v.h GROUP BY ALL),
+built AS (
+  SELECT v.c, t.p, t.role, t.text FROM convs v JOIN turns t ON t.c = v.base AND t.p <= v.h
+  UNION ALL SELECT t.c, t.p - l.h + l.k, t.role, t.text FROM turns t JOIN lent l ON l.c = t.c WHERE t.p > l.h
+),
+paths AS (
+  SELECT c, p AS d, sha256(string_agg(length(role) || ':' || length(text) || ':' || role || text, '' ORDER BY p) OVER
+    (PARTITION BY c ORDER BY p ROWS UNBOUNDED PRECEDING)) AS k, strlen(text) AS bytes FROM built
+  UNION ALL SELECT c, 0, '', 0 FROM convs
+),
+up AS (SELECT c, d, k, bytes, lag(k) OVER (PARTITION BY c ORDER BY d) AS pk, max(d) OVER (PARTITION BY c) = d AS ends FROM paths),
+nodes AS (
+  SELECT k, d, min(c) AS m, count(*) AS n, any_value(pk) AS pk, (count(*) - 1) * any_value(bytes) AS saved,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends
+  FROM up GROUP BY k, d
+),
+kids AS (SELECT pk AS k, count(*) AS n FROM nodes WHERE pk IS NOT NULL GROUP BY pk),
+below AS (
+  SELECT p.k, sum((q.n IS NULL)::INT) AS leaves, sum(v.saved) AS saved
+  FROM nodes v JOIN paths p ON p.c = v.m AND p.d <= v.d LEFT JOIN kids q ON q.k = v.k GROUP BY p.k
+)
+SELECT v.m AS conv_id, v.d AS depth, u.m AS parent_conv_id, v.n AS n_convs, coalesce(q.n, 0) AS n_children,
+       CAST(b.leaves AS BIGINT) AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, v.ends AS ends_sha256
+FROM nodes v JOIN below b USING (k) LEFT JOIN kids q USING (k) LEFT JOIN nodes u ON u.k = v.pk"""
+
+ORACLES: dict[str, str] = {"op2_shingle_join": _JOIN, "op6_site_lines": _SITE, "op11_prefix_trie": _TRIE}

@@ -9,7 +9,7 @@ from barmill.llm import queries
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_matches_oracle(spark, sf_dir, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     df = queries.QUERIES[name](spark, sf_dir)
     columns = sorted(df.columns)
