@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barmill.llm import (
-    fingerprint, language, licenses, mixing, pii, prefix_trie, shingle_join, site_lines, token_counts, transducer, wand,
+    context_tree, fingerprint, language, licenses, mixing, pii, prefix_trie, shingle_join, site_lines, token_counts, transducer, wand,
 )
 from barmill.llm.util import documents
 
@@ -70,12 +70,16 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op12_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
         op1_entropy_mix, op2_shingle_join, op3_token_counts, op4_license_scan, op5_language_id, op6_site_lines,
         op7_block_max_search, op8_pii_spans, op9_multiset_fingerprints, op10_bpe_transducer,
-        op11_prefix_trie,
+        op11_prefix_trie, op12_context_tree,
     )
 }
 

@@ -11,8 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows that a Python task turns into objects at a time.
-SLICE = 256
+#: Rows that a Python task turns into objects at a time, and bytes, but for one row that is larger.
+SLICE, SLICE_BYTES = 256, 4 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,16 +37,30 @@ def whole(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
-
-
-def arrow_map(df: DataFrame, run, schema) -> DataFrame:
-    """df.mapInArrow for functions of this package, which Python workers find where the driver found it."""
-    env = df.sparkSession.sparkContext.environment
+            part = batch.slice(start, rows)
+            if part.nbytes <= size:
+                yield part
+                continue
+            at, n = 0, 1
+            while at < part.num_rows:
+                while at + n < part.num_rows and part.slice(at, n + 1).nbytes <= size:
+                    n += 1
+                yield part.slice(at, n)
+                at, n = at + n, 1
+
+
+def findable(spark: SparkSession) -> None:
+    """Lets Python workers find this package where the driver found it."""
+    env = spark.sparkContext.environment
     root = str(Path(__file__).resolve().parents[2])
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, (root, env.get("PYTHONPATH"))))
+
+
+def arrow_map(df: DataFrame, run, schema) -> DataFrame:
+    """df.mapInArrow for functions of this package."""
+    findable(df.sparkSession)
     return df.mapInArrow(run, schema)
