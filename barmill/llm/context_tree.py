@@ -266,7 +266,7 @@ def _scored(kind: pa.DataType):
         columns = (
             pa.array(block.rows, pa.int64()), pa.array(block.ids, kind), pa.array([x == "1" for x in block.notes]),
             pa.array(np.bincount(doc, minlength=n)), pa.array(np.bincount(doc[count > 0], minlength=n)),
-            pa.array(np.bincount(doc, np.log10(count + 1), n)), pa.array(score),
+            pa.array(np.bincount(doc, np.log10(count + 1), n).astype(np.float64)), pa.array(score),
         )
         return pa.table(list(columns), names=["row", "doc_id", "held_out", "n_words", "known", "seen", "score"])
 

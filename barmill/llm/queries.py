@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barmill.llm import (
-    context_tree, fingerprint, language, licenses, mixing, pii, prefix_trie, shingle_join, site_lines, token_counts, transducer, wand,
+    collocations, context_tree, fingerprint, language, licenses, mixing, pii, prefix_trie, shingle_join, site_lines, token_counts, transducer, wand,
 )
 from barmill.llm.util import documents
 
@@ -74,12 +74,16 @@ def op12_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.score(documents(spark, sf_dir))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
         op1_entropy_mix, op2_shingle_join, op3_token_counts, op4_license_scan, op5_language_id, op6_site_lines,
         op7_block_max_search, op8_pii_spans, op9_multiset_fingerprints, op10_bpe_transducer,
-        op11_prefix_trie, op12_context_tree,
+        op11_prefix_trie, op12_context_tree, op13_collocations,
     )
 }
 
@@ -179,4 +183,42 @@ SELECT v.m AS conv_id, v.d AS depth, u.m AS parent_conv_id, v.n AS n_convs, coal
        CAST(b.leaves AS BIGINT) AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, v.ends AS ends_sha256
 FROM nodes v JOIN below b USING (k) LEFT JOIN kids q USING (k) LEFT JOIN nodes u ON u.k = v.pk"""
 
-ORACLES: dict[str, str] = {"op2_shingle_join": _JOIN, "op6_site_lines": _SITE, "op11_prefix_trie": _TRIE}
+_MINED = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+total AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
+phrases AS (
+  SELECT lang, p, count(*) AS f FROM (
+    SELECT lang, unnest(flatten(list_transform(range(1, 6), lambda k: list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])))) AS p
+    FROM words
+  ) GROUP BY ALL HAVING f >= 100
+),
+longer AS (
+  SELECT lang, p[:-2] AS p, f FROM phrases WHERE len(p) > 1 UNION ALL SELECT lang, p[2:], f FROM phrases WHERE len(p) > 1
+),
+kept AS (
+  SELECT * FROM phrases c WHERE len(p) > 1 AND NOT EXISTS (SELECT 1 FROM longer e WHERE e.lang = c.lang AND e.p = c.p AND e.f >= c.f)
+),
+cuts AS (SELECT lang, p, f, unnest(range(1, len(p))) AS k FROM kept),
+scores AS (
+  SELECT c.lang, c.p, c.f AS a, c.k, x.f AS l, y.f AS r, t.n,
+         1000::HUGEINT * c.f * t.n // (x.f::HUGEINT * y.f) AS score
+  FROM cuts c JOIN phrases x ON x.lang = c.lang AND x.p = c.p[:c.k] JOIN phrases y ON y.lang = c.lang AND y.p = c.p[c.k + 1:]
+  JOIN total t ON t.lang = c.lang
+),
+lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+ranked AS (
+  SELECT *, array_to_string(p, ' ') AS phrase,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(p, ' '))) AS rank
+  FROM lowest
+)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000"""
+
+ORACLES: dict[str, str] = {
+    "op2_shingle_join": _JOIN, "op6_site_lines": _SITE, "op11_prefix_trie": _TRIE,
+    "op13_collocations": _MINED,
+}
