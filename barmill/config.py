@@ -68,6 +68,14 @@ class RunConfig:
     column by which copies of a bar in one load are told apart, the last one
     counting.
 
+    ``consume`` says what a bronze load takes from the landing table: bars
+    ``"dates"`` after the last loaded one, or the ``"files"`` that no load has
+    read yet, whatever their dates. ``late="recompute"`` makes silver and gold
+    compute the days that loads have changed, and the days whose previous close
+    lies on them, instead of the days from their last one on. With
+    ``label_registry`` every label that bronze has met becomes a column, after
+    those of ``labels``.
+
     ``token="gcm"`` must not mask more than 2**32 rows with one key.
 
     ``lookback`` says where previous closes may come from: ``"history"`` (all
@@ -98,6 +106,9 @@ class RunConfig:
     symbol_suffix: str = ".SA"
     labels: tuple[str, ...] = schemas.LABELS
     sequence: str | None = None
+    consume: str = "dates"
+    late: str = "leave"
+    label_registry: bool = False
     since: datetime | None = None
     clock: Callable[[], datetime] | None = None
 
@@ -107,6 +118,8 @@ class RunConfig:
             ("bad_token", ("null", "raise")),
             ("lookback", ("history", "slice")),
             ("write", ("overwrite", "append")),
+            ("consume", ("dates", "files")),
+            ("late", ("leave", "recompute")),
         ):
             if getattr(self, name) not in allowed:
                 raise ValueError(f"{name} must be one of {allowed}, got {getattr(self, name)!r}")
@@ -115,6 +128,8 @@ class RunConfig:
         if self.compat:
             object.__setattr__(self, "lookback", "slice")
             object.__setattr__(self, "write", "append")
+        if self.late == "recompute" and (self.write, self.lookback) != ("overwrite", "history"):
+            raise ValueError("late='recompute' replaces whole days from all history: it needs write='overwrite' and lookback='history'")
 
     def table(self, layer: str, granularity: Granularity | None = None) -> str:
         return f"{self.root}/{layer}/{(granularity or self.granularity).name}"
@@ -126,6 +141,10 @@ class RunConfig:
             "gold": schemas.gold(self.labels, self.granularity.gold_hourly),
         }[layer]
 
+    def ledger(self, name: str) -> str:
+        """A small table beside the layers: files read, days changed, how far layers have got, labels seen."""
+        return f"{self.root}/_{name}"
+
     def text_log(self) -> str:
         """Root of the text log, which has a folder for each layer."""
         return f"{self.root}/_log_{self.granularity.name}"

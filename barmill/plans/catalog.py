@@ -382,8 +382,8 @@ def medallion_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return medallion.read_layer(spark, hourly, "gold")
 
 
-def kind_landing(spark: SparkSession, sf_dir: str, path: str, *extra: str) -> None:
-    """A wide landing table on a path: an instrument for each event type, a column for each label of it."""
+def kind_wide(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    """A wide table: an instrument for each event type, a column for each label of it."""
     prices = event_prices(spark, sf_dir, DAY)
     cells = {}
     for kind in reshape.discover_labels(prices):
@@ -394,7 +394,100 @@ def kind_landing(spark: SparkSession, sf_dir: str, path: str, *extra: str) -> No
         cells[f"Open|{kind}"] = F.min_by(priced, order)
         cells[f"Volume|{kind}"] = F.count(priced).cast("double")
         cells |= {f"{label}|{kind}": F.count(priced) / 2 for label in extra}
-    prices.groupBy("Date").agg(*[c.alias(name) for name, c in cells.items()]).write.parquet(path)
+    return prices.groupBy("Date").agg(*[c.alias(name) for name, c in cells.items()])
+
+
+def kind_landing(spark: SparkSession, sf_dir: str, path: str, *extra: str) -> None:
+    kind_wide(spark, sf_dir, *extra).write.parquet(path)
+
+
+def landing_wide_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A chain over two files of the same dates: each holds some instruments, the second corrects cells of the first."""
+    root = scratch(spark)
+    wide = kind_wide(spark, sf_dir)
+    kinds = sorted({c.split("|")[1] for c in wide.columns if "|" in c})
+    own = {kind: [c for c in wide.columns if c.endswith(f"|{kind}")] for kind in kinds}
+    corrected = f"Adj Close|{kinds[0]}"
+    late = F.col("Date") > F.lit(LOADED_DAY).cast("timestamp_ntz")
+    first = wide.select("Date", *(c for kind in kinds[:3] for c in own[kind]))
+    second = wide.select(
+        "Date", *(c for kind in kinds[3:] for c in own[kind]), F.when(late, F.col(corrected) + 1).alias(corrected)
+    )
+    for part in (first, second):
+        part.write.mode("append").parquet(f"{root}/landing")
+    cfg = run_config(root, DAY, landing=f"{root}/landing")
+    medallion.run_chain(spark, cfg)
+    return medallion.read_layer(spark, cfg, "gold")
+
+
+def landing_tidy_extra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars with a seventh number, some without an instrument: rows of each label in bronze, and what the log says."""
+    root = scratch(spark)
+    bars = event_bars(spark, sf_dir, DAY).withColumns(
+        {"Dividends": F.col("Volume") / 2, "Ticker": F.when(F.col("Volume") % 3 != 0, F.col("Ticker"))}
+    )
+    bars.write.parquet(f"{root}/landing")
+    cfg = run_config(root, DAY, landing=f"{root}/landing")
+    for layer in ("bronze", "silver"):
+        medallion.run_stage(spark, cfg, layer)
+    labels = medallion.read_layer(spark, cfg, "bronze").groupBy(F.col("Price").alias("what")).agg(F.count("value").alias("n"))
+    log = read_run_log(spark, cfg).filter("step = 'write'").select(F.concat_ws(": ", "layer", "message").alias("what"))
+    return labels.unionByName(log.withColumn("n", F.lit(0).cast("long")))
+
+
+def landing_late_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing files consumed one by one, the later dates first; the last run finds no new file."""
+    root = scratch(spark)
+    bars = event_bars(spark, sf_dir, DAY)
+    early = F.col("Date") <= F.lit(LOADED_DAY).cast("timestamp_ntz")
+    cfg = run_config(root, DAY, landing=f"{root}/landing", consume="files", late="recompute")
+    for part in (bars.filter(~early), bars.filter(early), None):
+        if part is not None:
+            part.write.mode("append").parquet(f"{root}/landing")
+        medallion.run_chain(spark, cfg)
+    stored = medallion.read_layer(spark, cfg, "bronze").count()
+    return medallion.read_layer(spark, cfg, "gold").withColumn("bronze_rows", F.lit(stored).cast("long"))
+
+
+def late_parts(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Bars that come in time, and those that come late: one whole day and, of another, each with an even volume."""
+    day = F.dayofmonth("Date")
+    late = (day == 10) | ((day == 20) & (F.col("Volume") % 2 == 0))
+    return bars.filter(~late), bars.filter(late)
+
+
+def medallion_late_bar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day, and some bars of another, come after later days were loaded: gold is what one load would make."""
+    root = scratch(spark)
+    cfg = run_config(root, DAY, landing=f"{root}/landing", consume="files", late="recompute")
+    for part in late_parts(event_bars(spark, sf_dir, DAY)):
+        part.write.mode("append").parquet(f"{root}/landing")
+        medallion.run_chain(spark, cfg)
+    return medallion.read_layer(spark, cfg, "gold")
+
+
+def medallion_late_close(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily closes come late, and hourly gold is computed again for the hours that look back on them."""
+    root = scratch(spark)
+    daily = run_config(root, DAY, landing=f"{root}/landing", consume="files", late="recompute")
+    hourly = run_config(root, HOUR, late="recompute")
+    hours = event_bars(spark, sf_dir, HOUR)
+    for part in late_parts(event_bars(spark, sf_dir, DAY)):
+        part.write.mode("append").parquet(f"{root}/landing")
+        for layer in ("bronze", "silver"):
+            medallion.run_stage(spark, daily, layer)
+        medallion.run_chain(spark, hourly, hours)
+    return medallion.read_layer(spark, hourly, "gold")
+
+
+def silver_new_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A label that first comes with the second load is a column from then on, null before, without being configured."""
+    cfg = run_config(scratch(spark), DAY, label_registry=True)
+    bars = event_bars(spark, sf_dir, DAY)
+    early = bars.filter(F.col("Date") <= F.lit(LOADED_DAY).cast("timestamp_ntz"))
+    for part in (early, bars.withColumn("Dividends", F.col("Volume") / 2)):
+        medallion.run_chain(spark, cfg, part)
+    return medallion.read_layer(spark, cfg, "gold")
 
 
 def medallion_landing_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -521,7 +614,11 @@ QUERIES: dict[str, Query] = {
     "silver_pivot_events": silver_pivot_events,
     "silver_pivot_latest": silver_pivot_latest,
     "silver_pivot_extra_labels": silver_pivot_extra_labels,
+    "silver_new_label": silver_new_label,
     "labels_left_out": labels_left_out,
+    "landing_wide_files": landing_wide_files,
+    "landing_tidy_extra": landing_tidy_extra,
+    "landing_late_file": landing_late_file,
     "dedupe_latest": dedupe_latest,
     "mask_round_trip_gcm": mask_round_trip("gcm"),
     "mask_round_trip_fernet": mask_round_trip("fernet"),
@@ -549,6 +646,8 @@ QUERIES: dict[str, Query] = {
     "medallion_landing_wide": medallion_landing_wide,
     "medallion_landing_symbols": medallion_landing_symbols,
     "medallion_correction": medallion_correction,
+    "medallion_late_bar": medallion_late_bar,
+    "medallion_late_close": medallion_late_close,
     "medallion_compat": medallion_compat,
     "medallion_append": medallion_append,
     "medallion_guarded": medallion_guarded,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
@@ -15,7 +16,9 @@ from barmill.operators.masking import mask, unmask_last
 from barmill.operators.previous_close import with_daily_close, with_previous_close
 from barmill.operators.reshape import complete_bars, melt_bars, melt_landing, pivot_labels
 from barmill.schemas import INGESTED, PARTITION
-from barmill.sources.landing import bars_for_symbols, is_tidy, new_bars, one_copy, typed
+from barmill.sources.landing import (
+    bars_for_symbols, is_tidy, landing_order, merge_cells, new_bars, one_copy, tidy_labels, typed,
+)
 from barmill.sources.tables import by_day, data_columns, sort_days, spread_days
 
 
@@ -39,29 +42,41 @@ def bronze(
     """New landing bars in long form, stamped with the time of the load.
 
     The landing table may be tidy or wide; any other is refused. Of copies of a
-    bar in one load one is kept whole, while still wide, but where copies are
-    to be added up. Rows are shuffled to their days while still wide too:
-    melting first would repeat time and instrument for every label on the wire.
+    tidy bar in one load one is kept whole, and rows of a wide table that share
+    a time are merged cell by cell, while still wide, but where copies are to
+    be added up. A tidy bar without an instrument is nobody's and is left out.
+    Loads by file take no empty cell of a wide table, since another file may
+    hold it. Rows are shuffled to their days while still wide too: melting
+    first would repeat time and instrument for every label on the wire.
     """
     tidy = is_tidy(landing, schemas.LABELS)
-    names = set(landing.columns)
-    labels = [*schemas.LABELS, *(label for label in cfg.labels if label in names and label not in schemas.LABELS)]
+    order = landing_order(landing, cfg.sequence)
+    labels = tidy_labels(landing, [*schemas.LABELS, *(c for c in cfg.labels if c not in schemas.LABELS)], cfg.sequence)
     fresh = new_bars(landing, mark.last, cfg.granularity.step, mark.start)
-    fresh = typed(fresh, labels, tidy, cfg.sequence)
+    fresh = typed(fresh, labels, tidy, order)
     if tidy and symbols is not None:
         fresh = bars_for_symbols(fresh, symbols)
     if cfg.compat:
-        fresh = fresh.drop(cfg.sequence) if cfg.sequence else fresh
+        fresh = fresh.drop(*order)
+    elif tidy:
+        fresh = one_copy(fresh.filter(F.col("Ticker").isNotNull()), ("Date", "Ticker"), order)
     else:
-        fresh = one_copy(fresh, ("Date", "Ticker") if tidy else ("Date",), cfg.sequence)
+        fresh = merge_cells(fresh, ("Date",), order)
     spread = data_columns(spread_days(fresh))
     long = melt_bars(spread, labels) if tidy else melt_landing(spread)
+    if not tidy and cfg.consume == "files":
+        long = long.filter(F.col("value").isNotNull())
     if not tidy and symbols is not None:
         long = bars_for_symbols(long, symbols)
     stamped = long.withColumn(INGESTED, F.lit(loaded_at).cast("timestamp_ntz"))
     return sort_days(stamped, "Date", "Ticker")
 
 
+def on_days(table: DataFrame, days: Collection[date]) -> DataFrame:
+    """Whole days of a stored table, by partition pruning."""
+    return table.filter(F.col(PARTITION).isin([F.lit(d) for d in sorted(days)]))
+
+
 def silver(bronze_rows: DataFrame, cfg: RunConfig) -> DataFrame:
     """Wide complete bars with the instrument masked.
 
@@ -120,6 +135,35 @@ def gold(
     return by_day(derive(closed, cfg.granularity, cfg.compat, cfg.labels))
 
 
+def gold_days(
+    silver_bars: DataFrame,
+    cfg: RunConfig,
+    compute: Collection[date],
+    read: Collection[date],
+    days: DataFrame,
+    silver_closes: DataFrame | None = None,
+    close_days: DataFrame | None = None,
+) -> DataFrame:
+    """Gold of some days, whole, as a load of everything would make it.
+
+    ``days`` are all market days of the bars, and ``close_days`` those of the
+    daily closes that hourly bars need; both come without opening a data file.
+    ``read`` are the days that closes are read from.
+    """
+    options = {"token": cfg.token, "bad_token": cfg.bad_token}
+
+    def clear(table: DataFrame) -> DataFrame:
+        return unmask_last(data_columns(table), cfg.key, **options)
+
+    if cfg.granularity is DAY:
+        closed = with_previous_close(clear(on_days(silver_bars, read)), days=days)
+        closed = closed.filter(F.to_date("Date").isin([F.lit(d) for d in sorted(compute)]))
+    else:
+        bars, closes = clear(on_days(silver_bars, compute)), clear(on_days(silver_closes, read))
+        closed = with_daily_close(bars, closes, days=days, close_days=close_days)
+    return by_day(derive(closed, cfg.granularity, cfg.compat, cfg.labels))
+
+
 def _only_new(rows: DataFrame, cfg: RunConfig, mark: Mark) -> DataFrame:
     if mark.last is None:
         return from_mark(rows, mark, whole_days=False)

@@ -7,6 +7,7 @@ appends its log; row counts are observed during the write.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass, field, replace
 from datetime import date, datetime, timedelta, timezone
 from zoneinfo import ZoneInfo
 
@@ -18,14 +19,15 @@ from barmill.config import DAY, Granularity, RunConfig
 from barmill.functions.times import is_business_moment
 from barmill.operators.incremental import Mark, watermark
 from barmill.operators.reshape import left_out
-from barmill.plans import layers
+from barmill.plans import affected, layers, ledger
 from barmill.plans.runlog import RunLog
-from barmill.sources.landing import open_landing, symbol_universe
+from barmill.sources.landing import is_tidy, new_bars, open_landing, symbol_universe
 from barmill.sources.tables import (
     SELF_DESCRIBING,
     data_columns,
     drop_days,
     find_table,
+    listed_days,
     read_table,
     stored_days,
     write_days,
@@ -68,7 +70,30 @@ def open_layer(
 
 def read_layer(spark: SparkSession, cfg: RunConfig, layer: str) -> DataFrame:
     """A layer's rows without the partition column."""
-    return data_columns(open_layer(spark, cfg, layer))
+    return data_columns(open_layer(spark, with_known_labels(spark, cfg), layer))
+
+
+#: Columns that a label of the registry must not replace.
+_TAKEN = {
+    name.lower()
+    for schema in (schemas.SILVER, schemas.GOLD_DAILY, schemas.GOLD_HOURLY, schemas.BRONZE_STORED)
+    for name in (*schema.fieldNames(), schemas.PARTITION)
+}
+
+
+def with_known_labels(spark: SparkSession, cfg: RunConfig) -> RunConfig:
+    """The configuration with the labels that bronze has met as columns, where the registry is asked for.
+
+    A label named like a column of the layers cannot be one, whatever its case; its rows stay in bronze and are counted.
+    """
+    if not cfg.label_registry:
+        return cfg
+    own, taken = list(cfg.labels), _TAKEN | {label.lower() for label in cfg.labels}
+    for label in ledger.known_labels(spark, cfg):
+        if label.lower() not in taken:
+            own.append(label)
+            taken.add(label.lower())
+    return replace(cfg, labels=tuple(own))
 
 
 def recent_first(
@@ -115,44 +140,95 @@ def symbols_to_load(spark: SparkSession, cfg: RunConfig) -> DataFrame | None:
     return symbol_universe(table, cfg.country, cfg.longest_symbol, cfg.symbol_suffix)
 
 
-def transform(
-    spark: SparkSession,
-    cfg: RunConfig,
-    layer: str,
-    mark: Mark,
-    loaded_at: datetime,
-    landing: DataFrame | None = None,
-) -> DataFrame:
-    """The planned rows of one layer."""
-    if layer == "bronze":
-        bars = open_landing(spark, cfg.landing, cfg.fmt) if landing is None else landing
-        return layers.bronze(bars, cfg, mark, loaded_at, symbols_to_load(spark, cfg))
-    if layer == "silver":
-        return layers.silver(layers.new_rows(open_layer(spark, cfg, "bronze"), cfg, mark), cfg)
-    bars = open_layer(spark, cfg, "silver")
-    if cfg.granularity is DAY:
-        return layers.gold(bars, cfg, mark, first_close_day(bars, mark))
-    closes = open_layer(spark, cfg, "silver", DAY)
-    return layers.gold(bars, cfg, mark, first_close_day(closes, mark), closes)
+@dataclass
+class Work:
+    """What a stage computes: its rows, from the source frame they come from, and the ledger entries they are worth.
 
+    ``days`` are the days that the rows replace; without them the days from the mark on.
+    """
 
-def losses(
-    spark: SparkSession, cfg: RunConfig, layer: str, mark: Mark, landing: DataFrame | None
-) -> list[tuple[str, int]]:
-    """What a load cannot keep, with counts: bars without a date, rows of labels that have no column.
+    rows: DataFrame | None
+    mark: Mark
+    source: DataFrame | None = None
+    days: set[date] | None = None
+    files: list = field(default_factory=list)
+    through: list = field(default_factory=list)
+
+
+def bronze_work(
+    spark: SparkSession, cfg: RunConfig, mark: Mark, loaded_at: datetime, landing: DataFrame | None
+) -> Work:
+    """New bars of the landing table, which is opened once; by files only those that no load has read."""
+    files = []
+    if cfg.consume == "files" and landing is None:
+        mark = Mark(None, cfg.since)
+        files = ledger.new_files(spark, cfg)
+        if not files:
+            return Work(None, mark)
+    if landing is None:
+        landing = open_landing(spark, cfg.landing, cfg.fmt, [f[0] for f in files] or None)
+    return Work(layers.bronze(landing, cfg, mark, loaded_at, symbols_to_load(spark, cfg)), mark, landing, files=files)
+
+
+def silver_work(spark: SparkSession, cfg: RunConfig, mark: Mark) -> Work:
+    bronze = open_layer(spark, cfg, "bronze")
+    if cfg.late != "recompute":
+        rows = layers.new_rows(bronze, cfg, mark)
+        return Work(layers.silver(rows, cfg), mark, rows)
+    days, upto = ledger.pending(spark, cfg, "silver", "bronze")
+    if not days:
+        return Work(None, mark)
+    rows = layers.on_days(bronze, days)
+    return Work(layers.silver(rows, cfg), mark, rows, days, through=[("bronze", cfg.granularity, upto)])
+
+
+def gold_work(spark: SparkSession, cfg: RunConfig, mark: Mark) -> Work:
+    bars = open_layer(spark, cfg, "silver")
+    daily = cfg.granularity is DAY
+    closes = None if daily else open_layer(spark, cfg, "silver", DAY)
+    if cfg.late != "recompute":
+        first = first_close_day(bars if daily else closes, mark)
+        return Work(layers.gold(bars, cfg, mark, first, closes), mark)
+    touched, upto = ledger.pending(spark, cfg, "gold", "silver")
+    through = [("silver", cfg.granularity, upto)]
+    market = market_calendar(spark, cfg, cfg.granularity)
+    if daily:
+        compute, read = affected.daily_gold(touched, calendar_days(market))
+        close_market = None
+    else:
+        touched_closes, closes_upto = ledger.pending(spark, cfg, "gold", "silver", DAY)
+        through.append(("silver", DAY, closes_upto))
+        close_market = market_calendar(spark, cfg, DAY)
+        compute, read = affected.hourly_gold(touched, touched_closes, calendar_days(market), calendar_days(close_market))
+    if not compute:
+        return Work(None, mark, through=through)
+    rows = layers.gold_days(bars, cfg, compute, read, market, closes, close_market)
+    return Work(rows, mark, days=compute, through=through)
+
+
+def market_calendar(spark: SparkSession, cfg: RunConfig, granularity: Granularity) -> DataFrame:
+    """Days of a silver table, from its listing alone."""
+    days = listed_days(spark, cfg.table("silver", granularity), cfg.fmt)
+    return spark.createDataFrame([], f"{schemas.PARTITION} date") if days is None else days
+
+
+def calendar_days(days: DataFrame) -> set[date]:
+    """The days themselves: at most one value for each calendar day."""
+    return {r[0] for r in days.collect() if r[0] is not None}
+
+
+def losses(cfg: RunConfig, layer: str, work: Work) -> list[tuple[str, int]]:
+    """What a load cannot keep, with counts: bars without a date or instrument, rows of labels that have no column.
 
     An aggregate of its own over one column of the new rows, so that a task
     that runs twice counts once. At most LISTED labels are named, the most
     frequent ones; the rest is one number.
     """
     if layer == "bronze":
-        bars = open_landing(spark, cfg.landing, cfg.fmt) if landing is None else landing
-        undated = bars.filter(F.col("Date").isNull()).count()
-        return [("without a date", undated)] if undated else []
+        return lost_bars(cfg, work)
     if layer != "silver":
         return []
-    rows = layers.new_rows(open_layer(spark, cfg, "bronze"), cfg, mark)
-    found = left_out(rows, cfg.labels).orderBy(F.desc("rows"), "label")
+    found = left_out(work.source, cfg.labels).orderBy(F.desc("rows"), "label")
     listed = found.limit(LISTED + 1).collect()
     out = [("without a label" if r["label"] is None else f"of label {r['label']}", r["rows"]) for r in listed]
     if len(listed) > LISTED:
@@ -161,6 +237,16 @@ def losses(
     return out
 
 
+def lost_bars(cfg: RunConfig, work: Work) -> list[tuple[str, int]]:
+    undated = work.source.filter(F.col("Date").isNull()).count()
+    out = [("without a date", undated)] if undated else []
+    if is_tidy(work.source) and not cfg.compat:
+        fresh = new_bars(work.source, work.mark.last, cfg.granularity.step, work.mark.start)
+        nobody = fresh.filter(F.col("Ticker").isNull()).count()
+        out += [("without a ticker", nobody)] if nobody else []
+    return out
+
+
 def run_stage(
     spark: SparkSession,
     cfg: RunConfig,
@@ -193,26 +279,47 @@ def _stage(
     if not may_run(cfg, moment):
         log.add(layer, "guard", moment, "not a business moment, nothing done", status="skipped")
         return False
+    cfg = with_known_labels(spark, cfg)
     mark = last_loaded(spark, cfg, layer, moment)
     log.add(layer, "watermark", clock(cfg), f"most recent bar: {mark.last}")
-    rows = transform(spark, cfg, layer, mark, load_time(cfg), landing)
+    loaded_at = load_time(cfg)
+    work = {
+        "bronze": lambda: bronze_work(spark, cfg, mark, loaded_at, landing),
+        "silver": lambda: silver_work(spark, cfg, mark),
+        "gold": lambda: gold_work(spark, cfg, mark),
+    }[layer]()
+    if work.rows is None:
+        ledger.got_through(spark, cfg, layer, work.through)
+        log.add(layer, "write", clock(cfg), "nothing new", rows_out=0)
+        return True
     log.add(layer, "transform", clock(cfg), f"{layer} transformation planned")
-    lost = losses(spark, cfg, layer, mark, landing)
+    lost = losses(cfg, layer, work)
     # Bronze is a record of loads and only ever grows.
     mode = "append" if layer == "bronze" else cfg.write
     path = cfg.table(layer)
-    before = set()
+    before = work.days or set()
     if mode == "overwrite" and cfg.fmt not in SELF_DESCRIBING:
-        before = stored_days(find_table(spark, path, cfg.stored_schema(layer), cfg.fmt), mark.day)
+        before = stored_days(find_table(spark, path, cfg.stored_schema(layer), cfg.fmt), work.mark.day, work.days)
     written = Observation("written")
-    counted = rows.observe(
-        written, F.count(F.lit(1)).alias("rows"), F.collect_set(schemas.PARTITION).alias("days")
-    )
-    write_days(counted, path, mode, cfg.fmt, mark.day)
+    registered = layer == "bronze" and cfg.label_registry
+    counted = work.rows.observe(
+        written, F.count(F.lit(1)).alias("rows"), F.collect_set(schemas.PARTITION).alias("days"),
+        *([F.collect_set("Price").alias("labels")] if registered else []),
+    )
+    write_days(counted, path, mode, cfg.fmt, work.mark.day, work.days)
     seen = written.get
-    drop_days(spark, path, before - set(seen.get("days") or ()))
-    message = "".join(["table saved", *(f", {n} rows {what}" for what, n in lost)])
-    log.add(layer, "write", clock(cfg), message, rows_out=seen["rows"])
+    days = set(seen.get("days") or ())
+    if mode == "overwrite" and cfg.fmt not in SELF_DESCRIBING:
+        drop_days(spark, path, before - days)
+    said = [f", {n} rows {what}" for what, n in lost]
+    if registered:
+        new = ledger.labels_seen(spark, cfg, (label for label in seen.get("labels") or () if label not in schemas.LABELS), loaded_at)
+        said += [f", new label {label}" for label in new]
+    if cfg.late == "recompute":
+        ledger.days_changed(spark, cfg, layer, days | (work.days or set()), loaded_at)
+    ledger.got_through(spark, cfg, layer, work.through)
+    ledger.files_read(spark, cfg, work.files, loaded_at)
+    log.add(layer, "write", clock(cfg), "".join(["table saved", *said]), rows_out=seen["rows"])
     return True
 
 

@@ -266,6 +266,23 @@ SELECT CAST(date_trunc('day', "Date") AS TIMESTAMP) AS "Date", "Ticker", "Adj_Cl
 FROM ranked WHERE rn = 1""",
     "silver_pivot_extra_labels": f"""{_BASE}, {_PREV_DAILY}, {_GOLD_DAILY}
 SELECT *, "Volume" / 2 AS "Dividends" FROM gold_daily""",
+    "silver_new_label": f"""{_BASE}, {_PREV_DAILY}, {_GOLD_DAILY}
+SELECT *, CASE WHEN "Date" > {_DAY} THEN "Volume" / 2 END AS "Dividends" FROM gold_daily""",
+    "landing_wide_files": _gold_of("corrected", _KIND_BARS, f"""
+corrected AS (
+  SELECT * REPLACE (CASE WHEN "Ticker" = (SELECT min("Ticker") FROM kinds) AND "Date" > {_DAY}
+    THEN "Adj_Close" + 1 ELSE "Adj_Close" END AS "Adj_Close") FROM kinds
+)"""),
+    "landing_tidy_extra": f"""{_BASE},
+counts AS (SELECT count(*) FILTER ("Volume" % 3 <> 0) AS n, count(*) FILTER ("Volume" % 3 = 0) AS nobody FROM daily)
+SELECT what, n FROM counts CROSS JOIN
+  (VALUES ('Adj Close'), ('Close'), ('High'), ('Low'), ('Open'), ('Volume'), ('Dividends')) l(what)
+UNION ALL SELECT 'bronze: table saved, ' || nobody || ' rows without a ticker', 0 FROM counts
+UNION ALL SELECT 'silver: table saved, ' || n || ' rows of label Dividends', 0 FROM counts""",
+    "landing_late_file": f"""{_BASE}, {_PREV_DAILY}, {_GOLD_DAILY}
+SELECT *, 6 * (SELECT count(*) FROM daily) AS bronze_rows FROM gold_daily""",
+    "medallion_late_bar": _DAILY_RESULT,
+    "medallion_late_close": _HOURLY_RESULT,
     "labels_left_out": f"""{_BASE}, {_KIND_BARS},
 cells AS (SELECT count(DISTINCT "Date") * count(DISTINCT "Ticker") AS n FROM kinds)
 SELECT 'bronze' AS layer, 'table saved' AS message

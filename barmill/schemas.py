@@ -36,6 +36,9 @@ INGESTED = "ingested_at"
 PARTITION = "p_date"
 LANDING_SEPARATOR = "|"
 
+# Columns of an opened landing table: when and in which file a row came.
+LANDED_AT, LANDED_IN = "_landed_at", "_landed_in"
+
 
 def _fields(kind: T.DataType, *names: str) -> list[T.StructField]:
     return [T.StructField(name, kind) for name in names]
@@ -77,6 +80,14 @@ GOLD_DAILY, GOLD_HOURLY = gold(), gold(hourly=True)
 SYMBOLS = T.StructType(_fields(_STR, "symbol", "country"))
 HOLIDAYS = T.StructType(_fields(T.DateType(), "holiday") + _fields(_STR, "name"))
 
+# Ledgers of what loads have read, changed and seen.
+CONSUMED_FILES = T.StructType(
+    _fields(_STR, "path") + _fields(T.TimestampType(), "modified") + _fields(T.LongType(), "size") + _fields(_TS, "stamp")
+)
+CHANGED_DAYS = T.StructType(_fields(_STR, "layer", "granularity") + _fields(_TS, "stamp") + _fields(T.DateType(), "day"))
+PROGRESS = T.StructType(_fields(_STR, "layer", "granularity", "source", "source_granularity") + _fields(_TS, "upto"))
+SEEN_LABELS = T.StructType(_fields(_STR, "label") + _fields(_TS, "stamp"))
+
 LOG_LINE = T.StructType(_fields(_STR, "Log"))
 RUN_LOG = T.StructType(
     _fields(_STR, "run_id", "layer", "granularity", "step")

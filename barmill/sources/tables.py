@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Collection, Iterable
 from datetime import date
 from typing import Any
 
@@ -27,6 +27,11 @@ def _stored(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(PARTITION, T.DateType())])
 
 
+def is_missing(error: Exception) -> bool:
+    """Whether reading failed because there is no table yet."""
+    return isinstance(error, AnalysisException) and error.getCondition() in MISSING
+
+
 def find_table(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"
 ) -> DataFrame | None:
@@ -41,7 +46,7 @@ def find_table(
     try:
         return reader.load(path)
     except AnalysisException as error:
-        if error.getCondition() not in MISSING:
+        if not is_missing(error):
             raise
         return None
 
@@ -81,45 +86,75 @@ def by_day(df: DataFrame) -> DataFrame:
 
 
 def write_days(
-    df: DataFrame, path: str, mode: str, fmt: str = "parquet", first: date | None = None
+    df: DataFrame, path: str, mode: str, fmt: str = "parquet", first: date | None = None,
+    days: Collection[date] | None = None,
 ) -> None:
     """Write a frame laid out by ``by_day`` or ``sort_days``.
 
     ``append`` adds files. ``overwrite`` replaces the days from ``first`` on,
-    all of them without it, by those of the frame, which must hold them whole.
-    Formats that can replace a range do so; elsewhere Spark replaces the days
-    present in the frame, and ``drop_days`` takes away those that became empty.
+    all of them without it, or just ``days``, by those of the frame, which must
+    hold them whole. Formats that can replace a range do so; elsewhere Spark
+    replaces the days present in the frame, and ``drop_days`` empties those
+    that have no rows any more.
     """
     writer = df.write.format(fmt).partitionBy(PARTITION)
     if mode != "overwrite":
         writer = writer.mode("append")
     elif fmt in SELF_DESCRIBING:
         writer = writer.mode("overwrite")
-        if first is not None:
+        if days is not None:
+            listed = ", ".join(f"DATE '{day}'" for day in sorted(days))
+            writer = writer.option("replaceWhere", f"{PARTITION} IN ({listed})")
+        elif first is not None:
             writer = writer.option("replaceWhere", f"{PARTITION} >= DATE '{first}'")
     else:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.save(path)
 
 
-def stored_days(table: DataFrame | None, first: date | None) -> set[date]:
-    """Days of a stored table from ``first`` on; at most one value for each calendar day."""
+def stored_days(
+    table: DataFrame | None, first: date | None, among: Collection[date] | None = None
+) -> set[date]:
+    """Days of a stored table from ``first`` on, or those ``among`` some; at most one value for each calendar day."""
     if table is None:
         return set()
-    days = table.select(PARTITION) if first is None else table.filter(F.col(PARTITION) >= F.lit(first)).select(PARTITION)
-    return {row[0] for row in days.distinct().collect()}
+    rows = table.select(PARTITION)
+    if among is not None:
+        rows = rows.filter(F.col(PARTITION).isin([F.lit(d) for d in sorted(among)]))
+    elif first is not None:
+        rows = rows.filter(F.col(PARTITION) >= F.lit(first))
+    return {row[0] for row in rows.distinct().collect()}
 
 
 def drop_days(spark: SparkSession, path: str, days: Iterable[date]) -> None:
-    """Remove whole day partitions of a table whose format has no range replacement.
+    """Empty whole day partitions of a table whose format has no range replacement.
 
-    Goes through the file system of the table's path, so it works wherever
-    Spark's writers do.
+    Each is overwritten with no line of text, through Spark's own writer: what
+    stays is a file without a byte, which scans, listings and ``serving_table``
+    pass over.
     """
-    jvm = spark.sparkContext._jvm
+    nothing = spark.createDataFrame([], "value string").coalesce(1)
     for day in sorted(days):
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{PARTITION}={day.isoformat()}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        nothing.write.mode("overwrite").text(f"{path}/{PARTITION}={day.isoformat()}")
+
+
+def listed_days(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """``p_date`` of the days that have files, from the listing alone; ``None`` where there is no table.
+
+    No data file is opened, not even its footer. A format that keeps its own
+    list of files answers from its partition column.
+    """
+    reader = spark.read.format("binaryFile" if fmt not in SELF_DESCRIBING else fmt)
+    try:
+        listing = reader.load(path)
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
+        return None
+    if PARTITION not in listing.columns:
+        return spark.createDataFrame([], T.StructType([T.StructField(PARTITION, T.DateType())]))
+    files = listing if fmt in SELF_DESCRIBING else listing.where("length > 0")
+    return files.select(F.col(PARTITION).cast("date").alias(PARTITION)).distinct()
 
 
 def append_lines(lines: DataFrame, path: str, by: str | None = None) -> None:

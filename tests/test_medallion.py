@@ -231,7 +231,10 @@ def test_extra_labels_are_carried_and_others_counted(spark, tmp_path):
     fewer = RunConfig(root=cfg.root, granularity=DAY, key=KEY, guard=False)
     medallion.run_stage(spark, fewer, "silver")
     messages = [r["message"] for r in read_run_log(spark, cfg).filter("step = 'write' and layer = 'silver'").collect()]
-    assert sorted(messages) == ["table saved", "table saved, 2 rows of label Dividends"]
+    assert sorted(messages) == [
+        "table saved, 2 rows of label Dividends, 2 rows of label Splits",
+        f"table saved, {len(EXAMPLE_BARS)} rows of label Splits",
+    ]
     with pytest.raises(ValueError, match="labels must start"):
         config(tmp_path, labels=("Close",))
 
