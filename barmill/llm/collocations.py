@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barmill.llm.packed import BLANK, BLOCK, Block, emitted, merged, pack, words
+from barmill.llm.packed import BLANK, BLOCK, Block, emitted, pack, words
 from barmill.llm.shingles import BASE, mixed
 from barmill.llm.util import arrow_map, findable, stored
 
@@ -91,8 +91,11 @@ def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for number, block in _blocks(batches):
         found = Words(block)
         pairs, own = found.phrases(2)[found.next], found.own[1:][found.next]
-        keys, n = merged([found.phrases(1)[found.own], pairs], [np.ones(found.own.sum(), np.int64), own.astype(np.int64)])
+        keys, n = np.unique(np.concatenate((found.phrases(1)[found.own], pairs[own])), return_counts=True)
         yield from emitted(number, ("key", "n"), keys, n.astype(np.int32))
+        context = np.unique(pairs[~own])
+        context = context[~_inside(context, keys)]
+        yield from emitted(number, ("key", "n"), context, np.zeros(len(context), np.int32))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Block]]:

@@ -20,7 +20,7 @@ from barmill.llm.shingles import BYTES, PIECE, mixed, powers
 from barmill.llm.util import arrow_map, slices, stored
 
 #: Bytes of a block; one word that is longer stays whole.
-BLOCK = 16 << 20
+BLOCK = 8 << 20
 #: Bytes that numpy works on at a time.
 CHUNK = 1 << 20
 BLANK, END = 32, 10
