@@ -74,7 +74,8 @@ class RunConfig:
     compute the days that loads have changed, and the days whose previous close
     lies on them, instead of the days from their last one on. With
     ``label_registry`` every label that bronze has met becomes a column, after
-    those of ``labels``.
+    those of ``labels``. ``gold_layout`` says what gold's files are sorted by:
+    ``"time"``, or ``"instrument"`` for readers of single instruments.
 
     ``token="gcm"`` must not mask more than 2**32 rows with one key.
 
@@ -109,6 +110,7 @@ class RunConfig:
     consume: str = "dates"
     late: str = "leave"
     label_registry: bool = False
+    gold_layout: str = "time"
     since: datetime | None = None
     clock: Callable[[], datetime] | None = None
 
@@ -120,6 +122,7 @@ class RunConfig:
             ("write", ("overwrite", "append")),
             ("consume", ("dates", "files")),
             ("late", ("leave", "recompute")),
+            ("gold_layout", ("time", "instrument")),
         ):
             if getattr(self, name) not in allowed:
                 raise ValueError(f"{name} must be one of {allowed}, got {getattr(self, name)!r}")

@@ -14,7 +14,7 @@ from barmill.config import DAY, HOUR, Granularity, MaskKey, RunConfig
 from barmill.operators import calendar, incremental, masking, reshape, serving
 from barmill.operators.gold import derive
 from barmill.operators.previous_close import with_daily_close, with_previous_close
-from barmill.plans import layers, medallion
+from barmill.plans import compaction, layers, medallion
 from barmill.plans.runlog import read_run_log, read_text_log
 from barmill.sources import landing, tables
 from barmill.sources.market_events import (
@@ -340,6 +340,35 @@ def serving_hourly_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.relate(*stored)
 
 
+def stack_changed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads of one table, the early ones with whole volumes and without a column that the later ones have."""
+    bars = wide_bars(spark, sf_dir, DAY)
+    path = scratch(spark) + "/bars"
+    late = F.col("Date") > F.lit(LOADED_DAY).cast("timestamp_ntz")
+    whole = bars.filter(~late).withColumn("Volume", F.col("Volume").cast("int"))
+    for part in (whole, bars.filter(late).withColumn("Dividends", F.col("Volume") / 2)):
+        tables.write_days(tables.by_day(part), path, "append")
+    return tables.serving_table(spark, path)
+
+
+def serving_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both golds in buckets of day and instrument, and related without a shuffle."""
+    root = scratch(spark)
+    stored = []
+    for granularity, rows in ((HOUR, gold_hourly(spark, sf_dir)), (DAY, gold_daily(spark, sf_dir))):
+        name = f"gold_{granularity.name}_{root.rsplit('-', 1)[1]}"
+        placed = rows.withColumn(schemas.PARTITION, F.to_date("Date"))
+        tables.write_bucketed(placed, name, f"{root}/{granularity.name}", (schemas.PARTITION, "Ticker"), 8)
+        stored.append(spark.table(name))
+    return serving.relate(*stored)
+
+
+def instrument_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of one instrument, from files laid out by instrument."""
+    cfg = run_daily(spark, sf_dir, scratch(spark), gold_layout="instrument")
+    return medallion.read_layer(spark, cfg, "gold").filter(F.col("Ticker") == "U7")
+
+
 # --- whole runs ------------------------------------------------------------
 
 
@@ -368,6 +397,21 @@ def medallion_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return medallion.read_layer(spark, cfg, "gold")
 
 
+def compacted_appends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars loaded day by day in two halves each, then compacted: rows and files of bronze by day."""
+    cfg = run_config(scratch(spark), HOUR)
+    bars = event_bars(spark, sf_dir, HOUR)
+    for hour in range(0, 24, 6):
+        part = layers.bronze(bars.filter(F.floor(F.hour("Date") / 6) * 6 == hour), cfg, incremental.Mark(), WORKDAY + timedelta(hours=hour))
+        tables.write_days(part, cfg.table("bronze"), "append")
+    compaction.compact(spark, cfg, "bronze", least=4)
+    few = tables.day_files(spark, cfg.table("bronze")).select(schemas.PARTITION, (F.col("files") < 4).alias("few"))
+    rows = medallion.open_layer(spark, cfg, "bronze").groupBy(schemas.PARTITION).agg(
+        F.count("*").alias("n"), F.sum(F.when(F.col("Price") == "Volume", F.col("value"))).alias("volume")
+    )
+    return rows.join(few, schemas.PARTITION)
+
+
 def medallion_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly gold over a daily silver, the hourly load resumed in mid-day."""
     root = scratch(spark)
@@ -639,6 +683,10 @@ QUERIES: dict[str, Query] = {
     "gold_daily_compat": gold_daily_compat,
     "gold_hourly_compat": gold_hourly_compat,
     "stack_partitions": stack_partitions,
+    "stack_changed_types": stack_changed_types,
+    "compacted_appends": compacted_appends,
+    "instrument_history": instrument_history,
+    "serving_bucketed": serving_bucketed,
     "serving_hourly_daily": serving_hourly_daily,
     "medallion_daily": medallion_daily,
     "medallion_increments": medallion_increments,

@@ -19,7 +19,7 @@ from barmill.schemas import INGESTED, PARTITION
 from barmill.sources.landing import (
     bars_for_symbols, is_tidy, landing_order, merge_cells, new_bars, one_copy, tidy_labels, typed,
 )
-from barmill.sources.tables import by_day, data_columns, sort_days, spread_days
+from barmill.sources.tables import by_day, by_instrument, data_columns, sort_days, spread_days
 
 
 def new_rows(table: DataFrame, cfg: RunConfig, mark: Mark) -> DataFrame:
@@ -132,7 +132,11 @@ def gold(
         closed = with_daily_close(
             clear(bars), clear(closes), cfg.lookback, days=bars, close_days=closes
         )
-    return by_day(derive(closed, cfg.granularity, cfg.compat, cfg.labels))
+    return laid_out(derive(closed, cfg.granularity, cfg.compat, cfg.labels), cfg)
+
+
+def laid_out(rows: DataFrame, cfg: RunConfig) -> DataFrame:
+    return by_instrument(rows) if cfg.gold_layout == "instrument" else by_day(rows)
 
 
 def gold_days(
@@ -161,7 +165,7 @@ def gold_days(
     else:
         bars, closes = clear(on_days(silver_bars, compute)), clear(on_days(silver_closes, read))
         closed = with_daily_close(bars, closes, days=days, close_days=close_days)
-    return by_day(derive(closed, cfg.granularity, cfg.compat, cfg.labels))
+    return laid_out(derive(closed, cfg.granularity, cfg.compat, cfg.labels), cfg)
 
 
 def _only_new(rows: DataFrame, cfg: RunConfig, mark: Mark) -> DataFrame:

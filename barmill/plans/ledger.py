@@ -18,7 +18,7 @@ from barmill.config import Granularity, RunConfig
 from barmill.sources.landing import landing_files
 from barmill.sources.tables import SELF_DESCRIBING, from_rows, is_missing
 
-FILES, DAYS, PROGRESS, LABELS = "files", "changed_days", "progress", "labels"
+FILES, DAYS, PROGRESS, LABELS, COPIES = "files", "changed_days", "progress", "labels", "compactions"
 
 #: More labels than this cannot be columns.
 MOST_LABELS = 1000
@@ -116,3 +116,24 @@ def labels_seen(spark: SparkSession, cfg: RunConfig, labels: Iterable[str], stam
     if new:
         _append(from_rows(spark, [(label, stamp) for label in new], schemas.SEEN_LABELS), cfg, _own(LABELS, cfg))
     return new
+
+
+# --- compaction ------------------------------------------------------------
+
+
+def copy_noted(
+    spark: SparkSession, cfg: RunConfig, layer: str, folder: str, state: str, upto: datetime | None, days: Iterable[date]
+) -> None:
+    """Note a copy of some days as ``copied`` or ``replaced``."""
+    rows = [(layer, cfg.granularity.name, folder, state, upto, day) for day in sorted(days)]
+    _append(from_rows(spark, rows, schemas.COMPACTIONS), cfg, COPIES)
+
+
+def unfinished_copy(spark: SparkSession, cfg: RunConfig, layer: str) -> tuple[str, datetime, set[date]] | None:
+    """The folder, reach and days of a copy that has not replaced its days yet; there is one at most."""
+    noted = _read(spark, cfg, COPIES, schemas.COMPACTIONS).filter(
+        (F.col("layer") == layer) & (F.col("granularity") == cfg.granularity.name)
+    )
+    ready = noted.filter("state = 'replaced'").select("folder").distinct()
+    rows = noted.join(ready, "folder", "left_anti").collect()  # the days of one copy
+    return (rows[0]["folder"], rows[0]["upto"], {r["day"] for r in rows}) if rows else None

@@ -219,6 +219,11 @@ _DAILY_NAMES = (
     "Adj_Close_ant", "Marketcap", "Volatility", "Volatility_perc", "Volatility_label", "Date2",
 )
 
+_RELATED = f"""{_BASE}, {_PREV_DAILY}, {_GOLD_DAILY},
+{_PREV_HOURLY_ALL}, {_GOLD_HOURLY}
+SELECT h.*, {", ".join(f'd."{c}" AS "{c}_daily"' for c in _DAILY_NAMES)}
+FROM gold_hourly h LEFT JOIN gold_daily d ON d."key" = h."key" """
+
 ORACLES: dict[str, str] = {
     "bronze_melt_daily": _melt("daily"),
     "bronze_melt_hourly": _melt("hourly"),
@@ -329,10 +334,13 @@ SELECT * FROM prev_slice_hourly""",
 {_gold("result", "prev_slice_hourly", hourly=True, null_label="'Decreasing'")}
 SELECT * FROM result""",
     "stack_partitions": f"{_BASE} SELECT {_WIDE} FROM daily",
-    "serving_hourly_daily": f"""{_BASE}, {_PREV_DAILY}, {_GOLD_DAILY},
-{_PREV_HOURLY_ALL}, {_GOLD_HOURLY}
-SELECT h.*, {", ".join(f'd."{c}" AS "{c}_daily"' for c in _DAILY_NAMES)}
-FROM gold_hourly h LEFT JOIN gold_daily d ON d."key" = h."key" """,
+    "serving_hourly_daily": _RELATED,
+    "serving_bucketed": _RELATED,
+    "stack_changed_types": f"""{_BASE}
+SELECT {_WIDE}, CASE WHEN "Date" > {_DAY} THEN "Volume" / 2 END AS "Dividends" FROM daily""",
+    "instrument_history": f"{_DAILY_RESULT} WHERE \"Ticker\" = 'U7'",
+    "compacted_appends": f"""{_BASE}
+SELECT CAST("Date" AS DATE) AS p_date, 6 * count(*) AS n, sum("Volume") AS volume, TRUE AS few FROM hourly GROUP BY 1""",
     "gold_daily_edges": _gold_of("coarse", _coarse("coarse", "daily")),
     "gold_hourly_edges": ",".join([
         _BASE, _coarse("coarse", "daily"), _coarse("coarse_hourly", "hourly"),

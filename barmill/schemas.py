@@ -86,6 +86,9 @@ CONSUMED_FILES = T.StructType(
 )
 CHANGED_DAYS = T.StructType(_fields(_STR, "layer", "granularity") + _fields(_TS, "stamp") + _fields(T.DateType(), "day"))
 PROGRESS = T.StructType(_fields(_STR, "layer", "granularity", "source", "source_granularity") + _fields(_TS, "upto"))
+COMPACTIONS = T.StructType(
+    _fields(_STR, "layer", "granularity", "folder", "state") + _fields(_TS, "upto") + _fields(T.DateType(), "day")
+)
 SEEN_LABELS = T.StructType(_fields(_STR, "label") + _fields(_TS, "stamp"))
 
 LOG_LINE = T.StructType(_fields(_STR, "Log"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Iterable
+from collections.abc import Collection, Iterable, Sequence
 from datetime import date
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,6 +86,30 @@ def by_day(df: DataFrame) -> DataFrame:
     return sort_days(spread_days(df))
 
 
+def by_instrument(df: DataFrame) -> DataFrame:
+    """Lay rows out for ``write_days`` so that one instrument's rows lie together.
+
+    Rows are dealt by ranges of day and instrument, so a hot day is split
+    between instruments, and sorted by instrument in each task: a reader of one
+    instrument skips the row groups of the others by their statistics.
+    """
+    placed = df.withColumn(PARTITION, F.to_date("Date"))
+    return placed.repartitionByRange(PARTITION, "Ticker", "Date").sortWithinPartitions(PARTITION, "Ticker", "Date")
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int) -> None:
+    """Save a frame as a catalog table on ``path``, dealt into buckets by a hash of ``keys`` and sorted by them.
+
+    Tables with the same keys and number of buckets join on the keys without a
+    shuffle. Rows are dealt before the write, so each bucket is one file; a key
+    that dominates stays in one bucket, which suits keys such as an
+    instrument's day that are small by nature.
+    """
+    dealt = df.repartition(buckets, *keys).sortWithinPartitions(*keys)
+    writer = dealt.write.format("parquet").mode("overwrite").option("path", path)
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+
+
 def write_days(
     df: DataFrame, path: str, mode: str, fmt: str = "parquet", first: date | None = None,
     days: Collection[date] | None = None,
@@ -179,10 +204,88 @@ def serving_table(spark: SparkSession, *roots: str, fmt: str = "parquet") -> Dat
     """All partitions of one or more tables stacked into one frame.
 
     Only data files count: log folders and other files are left out. The
-    columns are those of all files, so one that later loads add is kept.
+    columns are those of all files, so one that later loads add is kept; a
+    column whose type has changed between loads has the type that holds all.
     """
-    reader = spark.read.format(fmt)
-    if fmt not in SELF_DESCRIBING:
-        reader = reader.option("pathGlobFilter", f"*.{fmt}").option("mergeSchema", "true")
-    parts = [reader.load(root) for root in roots]
-    return data_columns(stack(*parts))
+    parts = [_all_columns(spark, root, fmt) for root in roots]
+    return data_columns(stack(*widened(parts)))
+
+
+def _all_columns(spark: SparkSession, root: str, fmt: str) -> DataFrame:
+    if fmt in SELF_DESCRIBING:
+        return spark.read.format(fmt).load(root)
+    try:
+        return spark.read.format(fmt).option("pathGlobFilter", f"*.{fmt}").option("mergeSchema", "true").load(root)
+    except AnalysisException as error:
+        if is_missing(error):
+            raise
+        return reconciled(spark, root, fmt)
+    except Py4JJavaError as error:  # footers are merged in tasks as well, whose failure has no condition
+        if "merge" not in str(error):
+            raise
+        return reconciled(spark, root, fmt)
+
+
+def reconciled(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+    """A table of files whose column types differ, each column in the type that holds all of them.
+
+    Types change between loads, so files in order of time fall into a few runs
+    of one type. The runs are found by halving, read with their own types, cast
+    and stacked. File names and schemas go through the driver, as for any scan.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{fmt}").load(root).where("length > 0")
+    files = [r[0] for r in listed.orderBy("modificationTime", "path").select("path").collect()]
+
+    def opened(some: list[str]) -> DataFrame:
+        return spark.read.format(fmt).option("mergeSchema", "true").option("basePath", root).load(some)
+
+    def runs(some: list[str]) -> list[DataFrame]:
+        try:
+            return [opened(some)]
+        except (AnalysisException, Py4JJavaError):
+            if len(some) == 1:
+                raise
+            half = len(some) // 2
+            return runs(some[:half]) + runs(some[half:])
+
+    return stack(*widened(runs(files)))
+
+
+def widened(parts: Sequence[DataFrame]) -> list[DataFrame]:
+    """Frames whose columns of one name have one type: the least that holds every value of all of them."""
+    kinds: dict[str, T.DataType] = {}
+    for part in parts:
+        for f in part.schema.fields:
+            kinds[f.name] = wider(kinds[f.name], f.dataType) if f.name in kinds else f.dataType
+    return [
+        part.select(*(F.col(f"`{f.name}`").cast(kinds[f.name]).alias(f.name) for f in part.schema.fields)) for part in parts
+    ]
+
+
+# Types in order of what they hold.
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """A type that holds the values of both: the wider number, a time for dates and times, else text."""
+    if a == b:
+        return a
+    if type(a) in _WHOLE and type(b) in _WHOLE:
+        return max(a, b, key=lambda t: _WHOLE.index(type(t)))
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+        scale = max(a.scale, b.scale)
+        return T.DecimalType(min(38, max(a.precision - a.scale, b.precision - b.scale) + scale), scale)
+    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+        return T.DoubleType()
+    times = (T.DateType, T.TimestampNTZType)
+    if isinstance(a, times) and isinstance(b, times):
+        return T.TimestampNTZType()
+    return T.StringType()
+
+
+def day_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """``p_date``, ``files`` and ``bytes`` of each stored day, from the listing alone."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{fmt}").load(path).where("length > 0")
+    return listed.groupBy(F.col(PARTITION).cast("date").alias(PARTITION)).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
+    )
