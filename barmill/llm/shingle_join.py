@@ -14,8 +14,8 @@ Jaccard t or more holds at least t of the query's tokens.
    in GROUPING rounds, the later ones between components. Components, cut into parts of at most PART nodes, are the groups, single
    nodes included.
 3. Search. A token whose nodes are still in different components makes a query of each node against the groups of
-   the others. A query may leave out its l - 1 most frequent index tokens here, since it shares l. A group is opened
-   if it has enough of the query's index tokens, and then enough of its whole set, in its union; pairs of a query and
+   the others. Of the l index tokens that similar sets share, the rarest is followed by l - 1 others in the lists of
+   both, so queries and members leave out their l - 1 most frequent index tokens here. A group is opened if it has enough of the query's index tokens, and then enough of its whole set, in its union; pairs of a query and
    the members of opened groups that share enough index tokens are compared on whole sets.
 
 Pairs inside one component need no comparison, since the result is what is reachable; every pair of different components
@@ -288,8 +288,10 @@ def first_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     at, names = df.columns.index(text_col), [*df.columns, "_node"]
     named = arrow_map(df, run, df.select("*", F.lit(None).cast("long").alias("_node")).schema)
     blank = named.where("_node is null").select(*df.columns)
-    kept = named.join(heads, "_node").where(F.col(id_col).eqNullSafe(F.col("_id")))
-    once = Window.partitionBy("_node").orderBy(F.xxhash64(text_col))  # shares the join's shuffle
+    # By node and id, so that equal texts of many ids are dealt out; what is left is one id of each component.
+    here = (F.col("_node") == F.col("_head")) & F.col(id_col).eqNullSafe(F.col("_id"))
+    kept = named.join(heads.withColumnRenamed("_node", "_head"), here)
+    once = Window.partitionBy("_node").orderBy(F.xxhash64(text_col))
     kept = kept.withColumn("_n", F.row_number().over(once)).where("_n = 1").select(*df.columns)
     return kept.unionByName(blank)
 
@@ -368,15 +370,15 @@ def _search(met: DataFrame, grouped: DataFrame, sets: DataFrame, percent: int) -
     open_ = stored(open_.withColumn("grp", F.xxhash64("component", part)), "open")
     least = shared_least(F.col("n"), percent)
 
-    # Of two components the smaller one asks. A group is asked if one of its sizes could do, by a query's rarer tokens.
+    # Of two components the smaller one asks. Both sides leave out their last tokens, all but one of those they share.
     tokens = open_.groupBy("node", "n", "grp", "component", "members").agg(
         F.array_sort(F.collect_list(F.struct("df", "token"))).alias("own")
     )
     tokens = stored(tokens.where(F.size("own") >= least), "queries")
     rare = F.slice("own", F.lit(1), (F.size("own") - least + 1).cast("int"))
-    q = tokens.select("node", "n", "component", "members", F.explode(rare).alias("r")).withColumn("token", F.col("r.token")).alias("q")
-    asked = open_.join(tokens.select("node"), "node", "left_semi").groupBy("token", "grp", "component", "members")
-    g = asked.agg(F.min("n").alias("low"), F.max("n").alias("high")).alias("g")
+    rarer = tokens.select("node", "n", "grp", "component", "members", F.explode(rare).alias("r")).withColumn("token", F.col("r.token"))
+    q = rarer.alias("q")
+    g = rarer.groupBy("token", "grp", "component", "members").agg(F.min("n").alias("low"), F.max("n").alias("high")).alias("g")
     bigger = F.struct("g.members", "g.component") > F.struct("q.members", "q.component")
     fits = (F.col("g.high") * 100 >= F.col("q.n") * percent) & (F.col("g.low") * percent <= F.col("q.n") * 100)
     cells = q.join(g, (F.col("q.token") == F.col("g.token")) & bigger & fits).select("q.node", "g.grp").distinct()
