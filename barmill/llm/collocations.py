@@ -1,8 +1,9 @@
 """Collocations: phrases scored by how much oftener they occur than their parts would meet by chance.
 
-Texts are cut into pieces, and phrases lie within one piece. A first pass over blocks of texts counts words and pairs by
-their hashes. A phrase is frequent only if all pairs in it are, so a second pass reads from each block, with the frequent
-words and pairs found there, the phrases made of them alone, as strings; those are counted again exactly.
+Texts are cut into pieces, and phrases lie within one piece. A phrase is frequent only if all its parts are. So passes
+over blocks of texts count, by 64-bit hashes, first the words, then pairs and triples of frequent words; then phrases of
+four and five words all of whose triples are frequent, as strings. Of the shorter ones the first block that holds one
+gives its string.
 
 The counts of frequent phrases are then kept as a stream in prefix order (by first word, second word and so on) and one in
 suffix order (by last word backwards). In the one a phrase stands behind all its first parts and ahead of its extensions
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barmill.llm.packed import BLANK, BLOCK, Block, emitted, pack, words
+from barmill.llm.packed import BLANK, BLOCK, Block, pack, words
 from barmill.llm.shingles import BASE, mixed
 from barmill.llm.util import arrow_map, findable, stored
 
@@ -86,23 +87,38 @@ def _hash(text: str) -> int:
     return total
 
 
-def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words and pairs of each block with their counts; pairs that are context only with count 0."""
-    for number, block in _blocks(batches):
-        found = Words(block)
-        pairs, own = found.phrases(2)[found.next], found.own[1:][found.next]
-        keys, n = np.unique(np.concatenate((found.phrases(1)[found.own], pairs[own])), return_counts=True)
-        yield from emitted(number, ("key", "n"), keys, n.astype(np.int32))
-        context = np.unique(pairs[~own])
-        context = context[~_inside(context, keys)]
-        yield from emitted(number, ("key", "n"), context, np.zeros(len(context), np.int32))
+def _keyed(block: int, own: list[np.ndarray], context: list[np.ndarray]) -> pa.Table:
+    """Distinct keys of a block with their counts; those that are context only with count 0."""
+    keys, n = np.unique(np.concatenate(own), return_counts=True)
+    other = np.unique(np.concatenate(context))
+    other = other[~_inside(other, keys)]
+    every = np.concatenate((keys, other)).view(np.int64)
+    count = np.concatenate((n, np.zeros(len(other), n.dtype))).astype(np.int32)
+    return pa.table({"block": pa.array(np.full(len(every), block, np.int64)), "key": pa.array(every), "n": pa.array(count)})
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Block]]:
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(batch.num_rows):
             row = pa.Table.from_batches([batch.slice(at, 1)])
-            yield row.column("block")[0].as_py(), Block.read(row)
+            found = Words(Block.read(row))
+            keys = found.phrases(1)
+            counted_ = _keyed(row.column("block")[0].as_py(), [keys[found.own]], [keys[~found.own]])
+            yield from counted_.to_batches(max_chunksize=1 << 16)
+
+
+def _run_counts(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Pairs and triples of frequent words of one block."""
+    found = Words(Block.read(left))
+    word = _inside(found.phrases(1), np.sort(right.column("key").to_numpy().view(np.uint64)))
+    run = found.next & word[:-1] & word[1:]
+    own, context = [], []
+    for size in (2, 3):
+        keys, mine = found.phrases(size)[run], found.own[size - 1 :][run]
+        own.append(keys[mine])
+        context.append(keys[~mine])
+        run = run[:-1] & run[1:]
+    return _keyed(left.column("block")[0].as_py(), own, context)
 
 
 def _inside(keys: np.ndarray, chosen: np.ndarray) -> np.ndarray:
@@ -111,52 +127,71 @@ def _inside(keys: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     return chosen[np.searchsorted(chosen, keys).clip(max=len(chosen) - 1)] == keys
 
 
-def _read_phrases(left: pa.Table, right: pa.Table, longest: int) -> pa.Table:
-    """lang, size, phrase and n of the phrases of one block that are made of frequent pairs; size 0: all its words."""
+def _named(left: pa.Table, right: pa.Table, longest: int) -> pa.Table:
+    """lang, size, phrase and n of frequent phrases of up to three words that this block names, and of longer ones in it.
+
+    right: the block's frequent keys, their counts in all blocks, and whether this block is the first. Size 0 stands for
+    all words of the block.
+    """
     found = Words(Block.read(left))
-    chosen = np.sort(right.column("key").to_numpy().view(np.uint64))
     notes = np.array(found.block.notes, object)
+    keys = right.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    keys, total = keys[order], right.column("total").to_numpy()[order]
+    first = right.column("place").to_numpy()[order] == 1
     out = []
-    langs, back = np.unique(notes.astype(str), return_inverse=True) if len(notes) else (notes, notes)
-    total = np.bincount(back[found.doc[found.own]], minlength=len(langs)) if len(langs) else []
-    out.append(pa.table([pa.array(langs.tolist(), pa.string()), pa.array([0] * len(langs), pa.int32()), pa.nulls(len(langs), pa.string()), pa.array(total, pa.int64())], names=["lang", "size", "phrase", "n"]))
-    run = None
+
+    def put(langs, size: int, phrases, n) -> None:
+        columns = [pa.array(langs, pa.string()), pa.array([size] * len(langs), pa.int32()), phrases, pa.array(n, pa.int64())]
+        out.append(pa.table(columns, names=["lang", "size", "phrase", "n"]))
+
+    langs, back = np.unique(notes.astype(str), return_inverse=True)
+    put(langs.tolist(), 0, pa.nulls(len(langs), pa.string()), np.bincount(back[found.doc[found.own]], minlength=len(langs)))
+    run = found.next[:0]
     for size in range(1, longest + 1):
-        keys = found.phrases(size)
-        if size == 1:
-            there = _inside(keys, chosen)
-        elif size == 2:
-            there = pair = found.next & _inside(keys, chosen)
+        own = found.phrases(size)
+        if size <= 3:
+            run = np.ones(len(found.starts), bool) if size == 1 else found.next if size == 2 else found.next[:-1] & found.next[1:]
+            at = np.flatnonzero(run & _inside(own, keys[first]))
+            chosen, where = np.unique(own[at], return_index=True)
+            n = total[np.searchsorted(keys, chosen)]
+            run = run & _inside(own, keys) if size == 3 else run
         else:
-            there = run[:-1] & pair[size - 2 :]
-        run = there
-        at = np.flatnonzero(there & found.own[size - 1 :])
-        if not len(at):
-            continue
-        _, first, n = np.unique(keys[at], return_index=True, return_counts=True)
-        first = at[first]
-        table = [pa.array(notes[found.doc[first]].tolist(), pa.string()), pa.array(np.full(len(first), size, np.int32)), found.text(first, size), pa.array(n.astype(np.int64))]
-        out.append(pa.table(table, names=["lang", "size", "phrase", "n"]))
+            run = run[:-1] & run[1:]
+            at = np.flatnonzero(run & found.own[size - 1 :])
+            _, where, n = np.unique(own[at], return_index=True, return_counts=True)
+        if len(where):
+            put(notes[found.doc[at[where]]].tolist(), size, found.text(at[where], size), n.astype(np.int64))
     return pa.concat_tables(out)
 
 
+def _frequent(counts: DataFrame, least: int, what: str) -> DataFrame:
+    """block, key, total and place (1 in the first block) of the keys that occur least times or oftener in all blocks."""
+    blocks = Window.partitionBy("key").orderBy("block")
+    total = F.sum("n").over(blocks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    found = counts.select("block", "key", total.alias("total"), F.row_number().over(blocks).alias("place"))
+    return stored(found.where(F.col("total") >= least), what)
+
+
 def counted(df: DataFrame, text_col: str, lang_col: str, longest: int, least: int, size: int = BLOCK) -> DataFrame:
     """lang, size, phrase, n of all phrases of 1 to longest words that occur least times or oftener; size 0: all words."""
     if not 2 <= longest <= LONGEST:
         raise ValueError(f"phrases have 2 to {LONGEST} words, got {longest}")
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN))
     blocks = pack(df, F.lit(None).cast("long"), F.col(text_col).cast("string"), lang, normal, cut, size)
-    by_block = arrow_map(blocks, _pair_counts, "block long, key long, n int")
-    total = F.sum("n").over(Window.partitionBy("key"))
-    frequent = by_block.withColumn("total", total).where(F.col("total") >= least).select("block", "key")
     findable(df.sparkSession)
 
-    def read(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _read_phrases(left, right, longest)
+    def looked_up(keys: DataFrame, run, schema: str) -> DataFrame:
+        return blocks.groupBy("block").cogroup(keys.groupBy("block")).applyInArrow(run, schema)
+
+    def named(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _named(left, right, longest)
 
-    both = blocks.groupBy("block").cogroup(stored(frequent, "frequent").groupBy("block"))
-    read = both.applyInArrow(read, "lang string, size int, phrase string, n long")
-    found = read.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
+    kinds = "block long, key long, n int"
+    words_ = _frequent(arrow_map(blocks, _word_counts, kinds), least, "words")
+    runs = _frequent(looked_up(words_.select("block", "key"), _run_counts, kinds), least, "runs")
+    found = looked_up(words_.union(runs), named, "lang string, size int, phrase string, n long")
+    found = found.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
     return stored(found.where((F.col("size") == 0) | (F.col("n") >= least)), "phrases")
 
 
@@ -207,7 +242,8 @@ def mine(
     """The first most collocations of each language: lang, rank, phrase, a, l, r, n, score.
 
     A null lang is und, a null text is empty; repeated rows count each time; equal scores go by count, then by the
-    phrase's bytes. An empty table, or one without a frequent phrase, gives an empty result; other columns of df are
+    phrase's bytes. Phrases of up to three words are counted by 64-bit hashes: among n of them two are expected to be
+    taken for one n * n / 2**65 times. An empty table, or one without a frequent phrase, gives an empty result; other columns of df are
     not looked at.
     """
     best = scored(counted(df.select(text_col, lang_col), text_col, lang_col, longest, least, size), longest)
