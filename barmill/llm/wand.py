@@ -9,7 +9,8 @@ segments compare, and merging their k best is exact.
 A part of the segments is searched first; the k-th scores found there start the search of the others, which then open
 few blocks and return few rows.
 
-Queries go in waves of a bounded number of terms; a wave is broadcast to the segments, which stay where they are stored.
+How many documents hold a term is counted once. Queries go in waves of a bounded number of terms; a wave is broadcast to
+the segments, which stay where they are stored, and its results are stored before the next one.
 """
 
 from __future__ import annotations
@@ -167,10 +168,11 @@ def search(index: DataFrame, queries: DataFrame, k: int = K, wave: int = WAVE) -
     asked = stored(arrow_map(asked, bags, "query_id long, m long, terms binary, counts binary"), "queries")
     waves = -(-int(asked.agg(F.sum("m")).first()[0] or 0) // wave)
     found = [spark.createDataFrame([], schema)]
+    dfs = stored(document_frequencies(index), "frequencies") if waves else None
     for number in range(waves):
         own = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(waves)) == number).orderBy("query_id").toArrow()
         if own.num_rows:
-            found.append(_wave(index, own, n, mean, k, schema))
+            found.append(_wave(index, dfs, own, n, mean, k, schema))
     every = found[0]
     for more in found[1:]:
         every = every.union(more)
@@ -179,8 +181,23 @@ def search(index: DataFrame, queries: DataFrame, k: int = K, wave: int = WAVE) -
     return ranked.select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", "score")
 
 
-def _wave(index: DataFrame, own: pa.Table, n: int, mean: float, k: int, schema: str) -> DataFrame:
-    """The k best of every segment for the queries of one wave; what is broadcast is bounded by WAVE."""
+def document_frequencies(index: DataFrame) -> DataFrame:
+    """term and df, the documents that hold it, over all segments."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t, d in zip(batch.column(0), batch.column(1)):
+                t, d = np.frombuffer(t.as_py(), np.int64), np.frombuffer(d.as_py(), np.int32)
+                for low in range(0, len(t), 1 << 16):
+                    part = slice(low, low + (1 << 16))
+                    yield pa.RecordBatch.from_arrays([pa.array(t[part]), pa.array(d[part].astype(np.int64))], names=["term", "df"])
+
+    counts = arrow_map(index.select("terms", "dfs"), run, "term long, df long")
+    return counts.groupBy("term").agg(F.sum("df").alias("df"))
+
+
+def _wave(index: DataFrame, dfs: DataFrame, own: pa.Table, n: int, mean: float, k: int, schema: str) -> DataFrame:
+    """The k best of every segment for the queries of one wave; what is broadcast is bounded by WAVE, and let go after it."""
     context = index.sparkSession.sparkContext
     terms = [np.frombuffer(b.as_py(), np.uint64) for b in own.column("terms")]
     vocabulary = np.unique(np.concatenate(terms))
@@ -189,14 +206,12 @@ def _wave(index: DataFrame, own: pa.Table, n: int, mean: float, k: int, schema:
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
         for batch in batches:
-            for t, d in zip(batch.column(0), batch.column(1)):
-                t, d = np.frombuffer(t.as_py(), np.uint64), np.frombuffer(d.as_py(), np.int32)
-                at = np.searchsorted(vocabulary, t).clip(max=len(vocabulary) - 1)
-                hit = vocabulary[at] == t
-                yield pa.RecordBatch.from_arrays([pa.array(at[hit]), pa.array(d[hit].astype(np.int64))], names=["term", "df"])
+            t = batch.column(0).to_numpy().view(np.uint64)
+            at = np.searchsorted(vocabulary, t).clip(max=len(vocabulary) - 1)
+            hit = vocabulary[at] == t
+            yield pa.RecordBatch.from_arrays([pa.array(at[hit]), batch.column(1).filter(pa.array(hit))], names=["term", "df"])
 
-    counts = arrow_map(index.select("terms", "dfs"), frequencies, "term long, df long")
-    counts = counts.groupBy("term").agg(F.sum("df").alias("df")).toArrow()  # a row for each term of the wave
+    counts = arrow_map(dfs, frequencies, "term long, df long").toArrow()  # a row for each term of the wave
     df = np.zeros(len(vocabulary))
     df[counts.column("term").to_numpy()] = counts.column("df").to_numpy()
     idf = np.log1p((n - df + 0.5) / (df + 0.5))
@@ -211,7 +226,10 @@ def _wave(index: DataFrame, own: pa.Table, n: int, mean: float, k: int, schema:
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score")))
     scores = first.withColumn("rank", rank).where(F.col("rank") == k).select("query_id", "score").toArrow()
     known = context.broadcast(dict(zip(*(scores.column(c).to_pylist() for c in ("query_id", "score")))))
-    return first.union(_searched(index.where(~seeds), shared, wave, known, mean, k, schema))
+    rest = stored(_searched(index.where(~seeds), shared, wave, known, mean, k, schema), "rest")
+    for sent in (shared, wave, none, known):
+        sent.destroy()
+    return first.union(rest)
 
 
 def _searched(index: DataFrame, shared, wave, known, mean: float, k: int, schema: str) -> DataFrame:
