@@ -66,10 +66,14 @@ def easter_sunday(year: int) -> date:
 
 
 def easter_day(year: Column) -> Column:
-    """``easter_sunday`` as an expression, for any year."""
-    century = F.floor(year / 100)
-    skips = century - F.floor(century / 4)
-    moon = F.pmod(15 - F.floor((13 + 8 * century) / 25) + skips, F.lit(30))
+    """``easter_sunday`` as an expression of whole numbers, for any year."""
+
+    def div(a: Column, by: int) -> Column:
+        return F.call_function("div", a, F.lit(by))
+
+    century = div(year, 100)
+    skips = century - div(century, 4)
+    moon = F.pmod(15 - div(13 + 8 * century, 25) + skips, F.lit(30))
     full = F.pmod(19 * F.pmod(year, F.lit(19)) + moon, F.lit(30))
     sunday = F.pmod(2 * F.pmod(year, F.lit(4)) + 4 * F.pmod(year, F.lit(7)) + 6 * full + 4 + skips, F.lit(7))
     late = (full == 29) | ((full == 28) & (F.pmod(11 * moon + 11, F.lit(30)) < 19))
@@ -78,13 +82,16 @@ def easter_day(year: Column) -> Column:
 
 
 def is_holiday(ts: Column) -> Column:
-    """Whether a time falls on a public national holiday; an expression of its date, without a table of years."""
+    """Whether a time falls on a public national holiday; an expression of its date, without a table of years.
+
+    One number of month and day is looked up; Easter is worked out only for the Fridays of March and April.
+    """
     day = F.to_date(ts)
-    year = F.year(day)
-    fixed = [
-        (F.month(day) == m) & (F.dayofmonth(day) == d) & (year >= first) for m, d, first, _ in FIXED_HOLIDAYS
-    ]
-    movable = day == F.date_sub(easter_day(year), 2)
+    year, place = F.year(day), 100 * F.month(day) + F.dayofmonth(day)
+    always = [100 * m + d for m, d, first, _ in FIXED_HOLIDAYS if first == 1]
+    fixed = [place.isin(always), *((place == 100 * m + d) & (year >= first) for m, d, first, _ in FIXED_HOLIDAYS if first > 1)]
+    spring_friday = F.month(day).isin(3, 4) & (F.weekday(day) == 4)
+    movable = F.when(spring_friday, day == F.date_sub(easter_day(year), 2)).otherwise(F.isnull(day) & F.lit(None))
     return reduce(lambda a, b: a | b, fixed, movable)
 
 

@@ -39,11 +39,8 @@ WORKDAY = datetime(2024, 1, 2, 15)
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder for a lake inside the warehouse, which a cluster keeps on shared storage.
-
-    Whoever runs the queries removes the lakes.
-    """
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/barmill-{uuid.uuid4().hex}"
+    """A new folder for a lake in the shared folder. Whoever runs the queries removes the lakes."""
+    return f"{tables.shared_folder(spark)}/barmill-{uuid.uuid4().hex}"
 
 
 # --- shared inputs ---------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Collection, Iterable, Sequence
 from datetime import date
 from typing import Any
@@ -28,6 +29,18 @@ def _stored(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(PARTITION, T.DateType())])
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Where intermediate tables go: the folder that the session names for checkpoints, else one in the warehouse.
+
+    A folder on the driver's own disk is of no use to the executors of a cluster, so that is warned of.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    local = folder.startswith("file:") or "://" not in folder
+    if local and not spark.sparkContext.master.startswith("local"):
+        warnings.warn(f"{folder} is a local folder; set spark.checkpoint.dir to one that all executors share", stacklevel=2)
+    return folder.rstrip("/")
+
+
 def is_missing(error: Exception) -> bool:
     """Whether reading failed because there is no table yet."""
     return isinstance(error, AnalysisException) and error.getCondition() in MISSING
