@@ -13,7 +13,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Characters after a split's start that its choice may look at.
 REACH = 4
 #: Words kept with their tokens by one Python worker; the memory starts anew when it is full.
-WORDS = 300_000
+WORDS = 50_000
 
 
 def printable_bytes() -> dict[str, int]:

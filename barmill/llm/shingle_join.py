@@ -41,7 +41,7 @@ PART = 64
 HOT_LIST = 200_000
 #: Nodes of one block of tokens, and of all, from which a token is hot.
 HOT_LOCAL, HOT_GLOBAL = 4, 32
-BLOCK = 1 << 22
+BLOCK = 1 << 20
 #: Bits of the map of nodes whose sets are needed; it is broadcast.
 BITMAP = 1 << 25
 #: Rounds in which nodes are compared with pivots.
