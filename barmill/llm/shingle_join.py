@@ -15,7 +15,8 @@ Jaccard t or more holds at least t of the query's tokens.
    nodes included.
 3. Search. A token whose nodes are still in different components makes a query of each node against the groups of
    the others. Of the l index tokens that similar sets share, the rarest is followed by l - 1 others in the lists of
-   both, so queries and members leave out their l - 1 most frequent index tokens here. A group is opened if it has enough of the query's index tokens, and then enough of its whole set, in its union; pairs of a query and
+   both, so queries and members leave out their l - 1 most frequent index tokens here, and of tokens that the same
+   nodes have one is enough. A group is opened if it has enough of the query's index tokens, and then enough of its whole set, in its union; pairs of a query and
    the members of opened groups that share enough index tokens are compared on whole sets.
 
 Pairs inside one component need no comparison, since the result is what is reachable; every pair of different components
@@ -361,6 +362,19 @@ def _to_pivots(met: DataFrame, percent: int) -> DataFrame:
     return near.groupBy("node").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("b")).withColumnRenamed("node", "a")
 
 
+def _told_apart(rows: DataFrame) -> DataFrame:
+    """rows (node, token) with one of the tokens that the same nodes have: the others would find the same groups again.
+
+    The tokens of a passage that many documents quote have the same nodes. Sets of nodes are told apart by 128 bits.
+    """
+    mark = F.xxhash64("node")
+    held = rows.groupBy("token").agg(
+        F.count("*").alias("c"), F.bit_xor(mark).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y")
+    )
+    kept = held.groupBy("c", "x", "y").agg(F.min("token").alias("token")).select("token")
+    return rows.join(kept, "token", "left_semi")
+
+
 def _search(met: DataFrame, grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between different components of grouped, by queries against the groups of the token-group matrix."""
     open_ = _apart(met, grouped)
@@ -377,6 +391,7 @@ def _search(met: DataFrame, grouped: DataFrame, sets: DataFrame, percent: int) -
     tokens = stored(tokens.where(F.size("own") >= least), "queries")
     rare = F.slice("own", F.lit(1), (F.size("own") - least + 1).cast("int"))
     rarer = tokens.select("node", "n", "grp", "component", "members", F.explode(rare).alias("r")).withColumn("token", F.col("r.token"))
+    rarer = stored(_told_apart(rarer), "rarer")
     q = rarer.alias("q")
     g = rarer.groupBy("token", "grp", "component", "members").agg(F.min("n").alias("low"), F.max("n").alias("high")).alias("g")
     bigger = F.struct("g.members", "g.component") > F.struct("q.members", "q.component")
