@@ -43,7 +43,7 @@ def op6_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select(
         "page_id", site_lines.host_of(F.col("url")).alias("host"), site_lines.page_lines(F.col("html")).alias("text")
     )
-    clean = site_lines.drop_boilerplate(pages, F.col("host"))
+    clean = site_lines.drop_boilerplate(pages, F.col("host"), keep_whole=False)
     return clean.select("page_id", "host", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
 
 
@@ -135,11 +135,11 @@ boilerplate AS (
   WHERE n >= {site_lines.PAGES} AND n > total * {site_lines.RATIO}
 ),
 left_ AS (
-  SELECT rid, list(line ORDER BY place) AS lines, max(trim(line, ' ') <> '') AS some FROM each e
+  SELECT rid, list(line ORDER BY place) AS lines FROM each e
   WHERE NOT EXISTS (SELECT 1 FROM boilerplate b WHERE b.host = e.host AND b.k = trim(e.line, ' ')) GROUP BY rid
 ),
 chosen AS (
-  SELECT p.page_id, p.host, len(p.lines) AS n, CASE WHEN l.some THEN l.lines ELSE p.lines END AS kept
+  SELECT p.page_id, p.host, len(p.lines) AS n, CASE WHEN p.lines IS NOT NULL THEN coalesce(l.lines, []) END AS kept
   FROM pages_ p LEFT JOIN left_ l USING (rid)
 )
 SELECT page_id, host, CAST(n AS BIGINT) AS n_lines, CAST(n - len(kept) AS BIGINT) AS n_dropped,

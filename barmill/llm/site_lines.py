@@ -42,11 +42,12 @@ def boilerplate(df: DataFrame, host: Column, text: Column, ratio: float = RATIO,
 
 
 def drop_boilerplate(
-    df: DataFrame, host: Column, text_col: str = "text", ratio: float = RATIO, pages: int = PAGES
+    df: DataFrame, host: Column, text_col: str = "text", ratio: float = RATIO, pages: int = PAGES, keep_whole: bool = True
 ) -> DataFrame:
     """df with the boilerplate lines taken out of text_col, n_lines (before) and n_dropped.
 
-    A page of which nothing but blank lines would be left keeps its text: a page that many others copy is no boilerplate.
+    With keep_whole a page of which nothing but blank lines would be left keeps its text, for corpora whose copied
+    documents are told from boilerplate by a later step; without it such a page, an error page say, loses its lines.
     Null texts and pages without a host stay as they are; repeated rows count as pages. A line's place in the text
     and blank lines stay. Columns of df named n_lines or n_dropped are replaced, others pass through.
     """
@@ -69,7 +70,7 @@ def drop_boilerplate(
     lines = F.split(text_col, "\n")
     clean = F.filter(lines, lambda x: ~F.array_contains("_drop", _key(x)))
     out = left.join(right, ["_host", "_salt"], "left").withColumn("_clean", F.when(F.col("_drop").isNotNull(), clean))
-    out = out.withColumn("_clean", F.when(~empty_of("_clean"), F.col("_clean")).otherwise(lines))
+    out = out.withColumn("_clean", F.when(~empty_of("_clean") if keep_whole else F.col("_clean").isNotNull(), F.col("_clean")).otherwise(lines))
     return out.select(
         *(F.array_join("_clean", "\n").alias(c) if c == text_col else F.col(c) for c in kept),
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),

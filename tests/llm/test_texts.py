@@ -51,7 +51,7 @@ def test_language_edges(spark):
     assert language.identify(empty, language.taught(df)).count() == 0
 
 
-def plain_lines(rows, ratio, pages):
+def plain_lines(rows, ratio, pages, keep_whole=True):
     total, counts = Counter(), defaultdict(Counter)
     for _, host, text in rows:
         if host is not None:
@@ -65,7 +65,7 @@ def plain_lines(rows, ratio, pages):
         lines = text.split("\n")
         drop = {x for x, n in counts[host].items() if n >= pages and n > ratio * total[host]} if host is not None else set()
         kept = [x for x in lines if x.strip(" ") not in drop]
-        kept = kept if any(x.strip(" ") for x in kept) else lines
+        kept = kept if not keep_whole or any(x.strip(" ") for x in kept) else lines
         out.append((i, "\n".join(kept), len(lines), len(lines) - len(kept)))
     return sorted(out, key=repr)
 
@@ -76,11 +76,20 @@ def test_boilerplate(spark, ratio):
     rows = [(i, rnd.choice(["h1", "h1", "h2", "h3", None]), "\n".join(rnd.choice([f"u{i}", "menu", " menu", "rare" + str(i % 9), "", "foot"]) for _ in range(rnd.randrange(6)))) for i in range(400)]
     rows += [(500 + i, "h4", "menu\nfoot") for i in range(5)] + [(600, "h1", None), (None, "h1", "menu\nx"), (601, "h1", "menu\nx"), (601, "h1", "menu\nx")]
     df = spark.createDataFrame(rows, "id long, host string, text string").withColumn("n_lines", F.lit("mine")).withColumn("line", F.lit(1))
-    found = site_lines.drop_boilerplate(df.repartition(3), F.col("host"), ratio=ratio)
-    assert sorted((tuple(r) for r in found.select("id", "text", "n_lines", "n_dropped").collect()), key=repr) == plain_lines(rows, ratio, site_lines.PAGES)
+    for keep in (True, False):
+        found = site_lines.drop_boilerplate(df.repartition(3), F.col("host"), ratio=ratio, keep_whole=keep)
+        got = sorted((tuple(r) for r in found.select("id", "text", "n_lines", "n_dropped").collect()), key=repr)
+        assert got == plain_lines(rows, ratio, site_lines.PAGES, keep)
     assert site_lines.drop_boilerplate(df.where("false"), F.col("host")).count() == 0
 
 
+def test_error_pages_lose_their_lines(spark):
+    rows = [(i, "h", "Not found\nGo back") for i in range(20)] + [(100 + i, "h", f"own {i}\nGo back") for i in range(20)]
+    df = spark.createDataFrame(rows, "id long, host string, text string")
+    found = {r.id: (r.text, r.n_dropped) for r in site_lines.drop_boilerplate(df, F.col("host"), keep_whole=False).collect()}
+    assert found[3] == ("", 2) and found[103] == ("own 3", 1)
+
+
 def test_hot_host(spark):
     rows = [(i, "hot" if i % 2 else f"h{i % 50}", f"own {i}\nnav\nend {i % 3}") for i in range(6000)]
     df = spark.createDataFrame(rows, "id long, host string, text string")
