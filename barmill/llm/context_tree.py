@@ -21,12 +21,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from barmill.llm.packed import BLOCK, CHUNK, END, Block, emitted, merged, pack, words
+from barmill.llm.packed import CHUNK, END, Block, emitted, merged, pack, words
 from barmill.llm.util import arrow_map, findable, stored
 
 #: Bytes of the longest context, and of the contexts that are not split among tasks.
 DEPTH, TOP = 4, 2
 HALF = np.log(0.5)
+#: Bytes of a block.
+BLOCK = 16 << 20
 #: Grams that a task works out at a time, but for one context of TOP bytes.
 GRAMS = 1 << 18
 #: Bytes between words, lower-cased letters.
