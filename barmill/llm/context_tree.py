@@ -204,18 +204,21 @@ def mixed_down(zeros: np.ndarray, ones: np.ndarray, below: np.ndarray) -> tuple[
 
 def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[Tree]:
     """Trees of whole contexts of TOP bytes, of GRAMS grams at a time or so."""
-    keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+    keys, counts, size, enough = [], [], 0, GRAMS
     for batch in batches:
-        keys = np.concatenate((keys, batch.column(0).to_numpy().view(np.uint64)))
-        counts = np.concatenate((counts, batch.column(1).to_numpy()))
-        if len(keys) >= GRAMS:
-            context = keys >> np.uint64(8 * (DEPTH + 1 - TOP))
+        keys.append(batch.column(0).to_numpy().view(np.uint64))
+        counts.append(batch.column(1).to_numpy())
+        size += batch.num_rows
+        if size >= enough:
+            every, n = np.concatenate(keys), np.concatenate(counts)
+            context = every >> np.uint64(8 * (DEPTH + 1 - TOP))
             whole = int(np.searchsorted(context, context[-1]))
             if whole:
-                yield Tree(keys[:whole], counts[:whole])
-                keys, counts = keys[whole:], counts[whole:]
-    if len(keys):
-        yield Tree(keys, counts)
+                yield Tree(every[:whole], n[:whole])
+            keys, counts, size = [every[whole:]], [n[whole:]], len(every) - whole
+            enough = max(GRAMS, 2 * size)  # one large context is gathered without copying it over and over
+    if size:
+        yield Tree(np.concatenate(keys), np.concatenate(counts))
 
 
 def learned(counts: DataFrame) -> DataFrame:

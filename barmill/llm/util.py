@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 #: Rows that a Python task turns into objects at a time, and bytes, but for one row that is larger.
 SLICE, SLICE_BYTES = 256, 4 << 20
 
+#: Rows of an Arrow batch between Spark and a Python task, where the session leaves Spark's default: whole texts are large.
+BATCH, BATCH_KEY, BATCH_DEFAULT = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -63,4 +66,6 @@ def findable(spark: SparkSession) -> None:
 def arrow_map(df: DataFrame, run, schema) -> DataFrame:
     """df.mapInArrow for functions of this package."""
     findable(df.sparkSession)
+    if df.sparkSession.conf.get(BATCH_KEY) == BATCH_DEFAULT:
+        df.sparkSession.conf.set(BATCH_KEY, str(BATCH))
     return df.mapInArrow(run, schema)
