@@ -176,6 +176,11 @@ def silver_work(spark: SparkSession, cfg: RunConfig, mark: Mark) -> Work:
         rows = layers.new_rows(bronze, cfg, mark)
         return Work(layers.silver(rows, cfg), mark, rows)
     days, upto = ledger.pending(spark, cfg, "silver", "bronze")
+    if cfg.consume == "dates":
+        # Such a load is not done again, so its days count even if it broke off before it could note them.
+        stored = listed_days(spark, cfg.table("bronze"), cfg.fmt)
+        last = mark.last.date() if mark.last else None
+        days |= {d for d in (calendar_days(stored) if stored else ()) if last is None or d >= last}
     if not days:
         return Work(None, mark)
     rows = layers.on_days(bronze, days)

@@ -98,6 +98,17 @@ def test_a_load_that_breaks_off_is_done_again(spark, tmp_path, monkeypatch):
     assert gold(spark, cfg) == EXPECTED
 
 
+def test_a_load_by_dates_that_breaks_off_loses_no_day(spark, tmp_path, monkeypatch):
+    cfg = config(tmp_path, late="recompute")
+    medallion.run_chain(spark, cfg, landing_rows(spark, [r for r in EXAMPLE_BARS if r[0] < "2024-01-04"]))
+    with monkeypatch.context() as broken:
+        broken.setattr(ledger, "days_changed", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            medallion.run_stage(spark, cfg, "bronze", landing_rows(spark, EXAMPLE_BARS))
+    medallion.run_chain(spark, cfg, landing_rows(spark, EXAMPLE_BARS))
+    assert gold(spark, cfg) == EXPECTED
+
+
 def test_a_withdrawn_day_goes_and_the_next_one_looks_further_back(spark, tmp_path):
     cfg = by_file(tmp_path)
     land(landing_rows(spark, EXAMPLE_BARS), tmp_path)
