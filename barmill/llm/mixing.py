@@ -102,16 +102,17 @@ def multipliers(bins: DataFrame, aims: DataFrame, cap: float = CAP, steps: int =
 
 def mix(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-    weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP,
+    weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, row_col: str | None = None,
 ) -> DataFrame:
-    """doc_id, size, source_size, target, taken, copies and rate of every row.
+    """doc_id, size, source_size, target, taken, copies and rate of every row, and its row number if row_col names one.
 
     A null text has size 0, and texts without words are never taken. Null is a source of its own, the last one. Rows
-    with the same id, source and size may swap copies, which makes no difference to the result. An empty table gives an
-    empty result. Other columns of df are left out.
+    with the same id, source and size may swap copies, which makes no difference to the result; with row numbers their
+    texts decide first. An empty table gives an empty result. Other columns of df are left out.
     """
+    row = [F.col(row_col).alias("row"), F.xxhash64(text_col).alias("hash")] if row_col else []
     docs = stored(df.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size")
+        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), *row
     ), "sizes")
     bins = stored(docs.groupBy("source", "size").agg(F.count("*").alias("n")), "bins")
     sizes = bins.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"), F.sum("n").alias("n_docs"))
@@ -140,11 +141,13 @@ def mix(
     groups = make_up(groups, aims)
 
     ranked = null_safe(binned.drop("parts"), groups, ["source", "size", "part"])
-    place = F.row_number().over(Window.partitionBy("source", "size", "part").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    ties = ["hash", "row"] if row_col else []
+    place = F.row_number().over(Window.partitionBy("source", "size", "part").orderBy(F.xxhash64("doc_id"), "doc_id", *ties))
     each = (F.floor(F.col("k") / F.col("n")) + F.when(place <= F.col("k") % F.col("n"), 1).otherwise(0)).cast("long")
     out = null_safe(ranked.withColumn("copies", each), aims.select("source", "source_size", "target"), ["source"])
     return out.select(
-        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "rate"
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "rate",
+        *ties[1:],
     )
 
 
@@ -177,8 +180,20 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
     return left.join(named, on, how).drop(*(f"_{k}" for k in keys))
 
 
-def repeated(df: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The mix itself: every row of df as often as mixed says, for unique ids; a null id is an id too."""
-    copies = mixed.where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("copies").alias("_copies"))
-    out = df.join(copies, F.col(id_col).eqNullSafe(F.col("_id")))
-    return out.select(*df.columns, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_n")).drop("_n")
+def mixed(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP,
+) -> DataFrame:
+    """The mix itself: every row of df as often as the mix takes it, with the columns of df.
+
+    Rows are told apart by numbers of their own, stored with them, so rows that share an id, also the null one, or that are
+    equal throughout, come as often as the mix takes each of them.
+    """
+    row = "_row"
+    while row.lower() in (c.lower() for c in df.columns):
+        row += "_"
+    rows = stored(df.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    plan = mix(rows, id_col, text_col, source_col, weights, share, cap, row_col=row)
+    copies = plan.where("copies > 0").select(F.col("row").alias(row), F.col("copies").cast("int").alias(f"{row}_n"))
+    out = rows.join(copies, row)
+    return out.select(*df.columns, F.explode(F.sequence(F.lit(1), F.col(f"{row}_n"))).alias(row)).drop(row)

@@ -51,8 +51,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them, so that rows may repeat."""
-    mixed = mixing.mix(docs)
-    return mixing.repeated(docs, mixed)
+    return mixing.mixed(docs)
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

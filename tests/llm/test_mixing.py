@@ -67,7 +67,7 @@ def test_corpus(spark):
         assert got == pytest.approx(want, rel=0.01)
     again = mixing.mix(docs.repartition(5)).collect()
     assert {(r.doc_id, r.taken) for r in again} == {(r.doc_id, r.taken) for r in found}
-    copies = mixing.repeated(docs, mixing.mix(docs)).groupBy("doc_id").count().collect()
+    copies = mixing.mixed(docs).groupBy("doc_id").count().collect()
     assert {r.doc_id: r["count"] for r in copies} == {r.doc_id: r.copies for r in found if r.copies}
 
 
@@ -84,7 +84,30 @@ def test_edges(spark):
     found = mixing.mix(df).collect()
     checked(rows, found)
     assert len(found) == len(rows) and all(r.taken == 0 for r in found if r.doc_id in (2, 3, 6))
-    assert mixing.repeated(df, mixing.mix(df)).columns == df.columns
+    assert mixing.mixed(df.withColumn("_row", F.lit(1))).columns == [*df.columns, "_row"]
+    assert mixing.mixed(df.where("false")).count() == 0
     assert mixing.mix(df.where("false")).count() == 0
     twice = df.where("doc_id = 1").union(df.where("doc_id = 1"))
     assert [r.size for r in mixing.mix(twice).collect()] == [4, 4]
+
+
+def test_rows_that_share_an_id(spark):
+    rows = [(7 if i % 3 else None, f"{'w ' * (1 + i % 5)}{i // 4}", f"s{i % 3}") for i in range(120)] + [(7, "same words here", "s1")] * 30
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    plan = mixing.mix(df).groupBy("doc_id", "size", "source_size").agg(F.sum("copies").alias("copies")).collect()
+    size = F.size(F.split("text", " "))
+    got = {(r.doc_id, r.size, r.source): r.n for r in mixing.mixed(df).groupBy("doc_id", size.alias("size"), "source").agg(F.count("*").alias("n")).collect()}
+    assert sum(got.values()) == sum(r.copies for r in plan) > 0
+    by = defaultdict(int)
+    for (i, n, _), count in got.items():
+        by[i, n] += count
+    want = defaultdict(int)
+    for r in plan:
+        want[r.doc_id, r.size] += r.copies
+    assert dict(by) == {k: v for k, v in want.items() if v}
+    each = mixing.mixed(df).groupBy("doc_id", "text", "source").count().collect()
+    have = defaultdict(int)
+    for r in rows:
+        have[r] += 1
+    assert all(r["count"] <= 2 * have[r.doc_id, r.text, r.source] for r in each)
+    assert sorted(map(repr, each)) == sorted(map(repr, mixing.mixed(df).groupBy("doc_id", "text", "source").count().collect()))
