@@ -2,12 +2,11 @@
 
 Every paragraph is hashed to a wide vector, and a document's fingerprint is the sum of its paragraphs' vectors modulo
 2**32 in each lane. So the order of paragraphs does not count, and inserting or deleting one adds or subtracts its vector.
-The vector has two parts: EQUAL lanes hashed from the whole paragraph, which decide equality, and ALIKE lanes that
+The vector has two parts: EQUAL lanes, the SHA-256 digest of the whole paragraph, which decide equality, and ALIKE lanes that
 are themselves sums over the paragraph's chunks of CHUNK words, each chunk adding 0 or 1 to a lane by a bit of its hash.
 Less half the number of chunks they are a random projection of the multiset of chunks; their cosine is the likeness.
 
-All EQUAL lanes of a paragraph follow from one 64-bit hash of it, so they tell paragraphs apart no better than 64 bits do:
-about n * n / 2**65 collisions are expected among n different paragraphs.
+The EQUAL lanes are disjoint slices of 256 bits, so each is as good as an independent hash of the paragraph.
 """
 
 from __future__ import annotations
@@ -39,11 +38,16 @@ def _plus(a: Column, b: Column) -> Column:
 
 def vector(text: Column) -> Column:
     """A struct of e0.. (EQUAL lanes), a0.. (pairs of ALIKE lanes, 32 bits each) and n, the number of chunks."""
+    # A digest's 16 hexadecimal digits at a time make a long of two lanes.
+    digests = F.transform(F.transform(paragraphs(text), lambda p: F.sha2(p, 256)), lambda h: F.array(*(
+        F.conv(F.substring(h, 1 + 16 * k, 16), 16, -10).cast("long") for k in range(EQUAL // 2)
+    )))
     equal = F.aggregate(
-        paragraphs(text),
+        digests,
         F.struct(*(F.lit(0).cast("long").alias(f"e{k}") for k in range(EQUAL))),
-        lambda acc, p: F.struct(*(
-            _plus(acc[f"e{k}"], F.xxhash64(p, F.lit(k)).bitwiseAND(F.lit(MASK))).alias(f"e{k}") for k in range(EQUAL)
+        lambda acc, d: F.struct(*(
+            _plus(acc[f"e{k}"], F.shiftrightunsigned(d[k // 2], 32 * (1 - k % 2)).bitwiseAND(F.lit(MASK))).alias(f"e{k}")
+            for k in range(EQUAL)
         )),
     )
     # Chunks begin anew in each paragraph, so the vector is a sum over paragraphs.

@@ -141,6 +141,17 @@ def test_sums_of_paragraphs(spark):
     assert len(set(prints)) == len({"\n".join(sorted(t.split("\n"))) for _, t in many})
 
 
+def test_lanes_by_brute_force(spark):
+    texts = ["one two\nthree four five six seven\n\neight", "", " \n ", "ä\nä\nä", None, "x" * 5000]
+    found = [r.lanes for r in fingerprint.fingerprints(spark.createDataFrame(list(enumerate(texts)), TEXT)).orderBy("doc_id").collect()]
+    for text, lanes in zip(texts, found):
+        text = text or ""
+        parts = [p for p in text.split("\n") if p.strip(" ")] or [text]
+        digests = [hashlib.sha256(p.encode()).hexdigest() for p in parts]
+        want = [sum(int(d[8 * k : 8 * k + 8], 16) for d in digests) % 2**32 for k in range(fingerprint.EQUAL)]
+        assert lanes[1 : 1 + fingerprint.EQUAL] == want
+
+
 def test_likeness_follows_edits(spark):
     found = fingerprint.with_edits(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).toPandas()
     assert (found.near_edited > found.near_next).mean() > 0.95
