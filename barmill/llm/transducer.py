@@ -1,8 +1,8 @@
 """BPE as a streaming transducer, and its inverse.
 
 Encoding reads pieces of text. A split (word, number, run of signs or blanks) is final once the character after it is
-known; its tokens are then emitted. A split longer than LONG is not awaited: its bytes go through RunTransducer, which
-emits tokens while the run goes on. Its look-ahead comes from the merge list. Two tokens are compatible if merging
+known. Its bytes go through RunTransducer, which emits tokens while they come; a split longer than LONG is not awaited, and
+the tokens of short ones are remembered. The look-ahead comes from the merge list. Two tokens are compatible if merging
 their joint bytes gives just these two, and a sequence is the BPE encoding of its bytes if and only if all its
 neighbours are compatible. So every prefix of the bytes has one last token, a cut of an encoding is the encoding of
 the cut bytes, and the token that covers a byte read next starts within the longest token's length. Tokens common to the
@@ -19,6 +19,7 @@ from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -31,38 +32,108 @@ from barmill.llm.util import arrow_map, slices
 PIECE = 1 << 16
 #: Characters from which a split is streamed.
 LONG = 1 << 12
+#: Characters of a split whose tokens are remembered, so that memory stays bounded.
+SHORT = 1 << 8
+#: Pairs of tokens whose compatibility is remembered, and bytes after which a long split emits what is stable.
+PAIRS, STEP = 1 << 17, 1 << 10
 #: Runs that a split may consist of; a run of blanks gives its last one to the next split.
 RUNS = [regex.compile(p) for p in (r"\p{L}+", r"\p{N}+", r"[^\s\p{L}\p{N}]+", r"\s+")]
 
 
+class Rules:
+    """What the merge list says of single tokens and of pairs, remembered as it is asked; and which tokens end where."""
+
+    def __init__(self, bpe: ByteBpe):
+        self.bpe = bpe
+        self.pairs: dict[int, bool] = {}
+        self.halves: dict[int, tuple[int, int] | None] = {}
+        self.automaton = ahocorasick.Automaton()
+        for word, token in bpe.ids.items():
+            self.automaton.add_word(word.decode("latin-1"), (token, len(word)))
+        self.automaton.make_automaton()
+
+    def made_of(self, token: int) -> tuple[int, int] | None:
+        """The two tokens that a token's last merge joins; the token itself, twice, for a byte; None if no merges lead to it.
+
+        The earliest merge goes first, of equal ones the leftmost.
+        """
+        if token not in self.halves:
+            word, rank = self.bpe.bytes[token], self.bpe.ids.get
+            parts = [word[k : k + 1] for k in range(len(word))]
+            while len(parts) > 2:
+                found = [(r, k) for k, (a, b) in enumerate(zip(parts, parts[1:])) if (r := rank(a + b)) is not None]
+                if not found:
+                    break
+                at = min(found)[1]
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            pair = tuple(map(rank, parts))
+            self.halves[token] = (token, token) if len(pair) == 1 else pair if len(pair) == 2 else None
+        return self.halves[token]
+
+    def compatible(self, a: int, b: int) -> bool:
+        """Whether the joint bytes of two tokens merge into just these two.
+
+        Both are taken apart again, the latest merge first (of one kind the right one, as it was made later). Between
+        two steps the parts that meet at the border would have merged if their merge came before the one last undone.
+        """
+        if (known := self.pairs.get(a << 20 | b)) is not None:
+            return known
+        if len(self.pairs) >= PAIRS:
+            self.pairs.clear()
+        key, text, rank = a << 20 | b, self.bpe.bytes, self.bpe.ids.get
+        undone = len(text) << 1
+        while True:
+            joint = rank(text[a] + text[b])
+            if joint is not None and joint < undone:
+                self.pairs[key] = False
+                return False
+            left, right = len(text[a]) > 1, len(text[b]) > 1
+            if not left and not right:
+                self.pairs[key] = True
+                return True
+            if left and (not right or a > b):
+                undone, a = a, self.made_of(a)[1]
+            else:
+                undone, b = b + 1, self.made_of(b)[0]
+
+    def whole(self, token: int) -> bool:
+        """Whether the bytes of a token merge into it."""
+        return self.made_of(token) is not None
+
+
 class RunTransducer:
     """Tokens of one split whose bytes come bit by bit; memory is bounded by the window of undecided tokens."""
 
-    def __init__(self, bpe: ByteBpe, fits: dict[tuple[int, int], bool]):
-        self.bpe, self.fits = bpe, fits
-        self.tail = b""  # the bytes of the last window
+    def __init__(self, rules: Rules):
+        self.rules, self.ends = rules, None
         self.at = self.stable = 0
         self.last: dict[int, tuple[int, int]] = {}  # end of a prefix: its last token and where that starts
 
-    def compatible(self, a: int, b: int) -> bool:
-        if (known := self.fits.get((a, b))) is None:
-            if len(self.fits) > WORDS:
-                self.fits.clear()
-            known = self.fits[a, b] = self.bpe.merge(self.bpe.bytes[a] + self.bpe.bytes[b]) == [a, b]
-        return known
-
-    def step(self, byte: int) -> None:
-        self.tail = (self.tail + bytes((byte,)))[-self.bpe.longest :]
-        self.at += 1
-        for n in range(len(self.tail), 0, -1):
-            start = self.at - n
-            if (token := self.bpe.ids.get(self.tail[-n:])) is None or (start != 0 and start not in self.last):
-                continue
-            if start == 0 or self.compatible(self.last[start][0], token):
-                if start or n == 1 or self.bpe.merge(self.tail[-n:]) == [token]:
-                    self.last[self.at] = (token, start)
-                    return
-        raise AssertionError("every byte is a token")
+    def step(self, data: bytes) -> None:
+        """Find the last token of every prefix that ends in data: of the tokens ending there the one that fits."""
+        text = data.decode("latin-1")
+        if self.ends is None:
+            self.ends = self.rules.automaton.iter(text)
+        else:
+            self.ends.set(text)
+        last, known, at = self.last, self.rules.pairs.get, self.at
+        for end, (token, n) in self.ends:
+            if end < at:
+                continue  # that prefix has its token
+            start = end + 1 - n
+            if start:
+                if (before := last.get(start)) is None:
+                    continue
+                if (fits := known(before[0] << 20 | token)) is None:
+                    fits = self.rules.compatible(before[0], token)
+            else:
+                fits = self.rules.whole(token)
+            if fits:
+                at = end + 1
+                last[at] = (token, start)
+        self.at += len(data)
+        if at != self.at:
+            raise AssertionError("every byte is a token")
 
     def path(self, end: int) -> list[int]:
         out = []
@@ -72,15 +143,13 @@ class RunTransducer:
         return out[::-1]
 
     def feed(self, data: bytes) -> Iterator[int]:
-        for k, byte in enumerate(data):
-            self.step(byte)
-            if k % 1024 == 1023:
-                yield from self.settle()
-        yield from self.settle()
+        for k in range(0, len(data), STEP):
+            self.step(data[k : k + STEP])
+            yield from self.settle()
 
     def settle(self) -> Iterator[int]:
         """Emit what all prefixes that the next token may start after have in common."""
-        live = set(range(max(self.stable, self.at - self.bpe.longest), self.at + 1))
+        live = set(range(max(self.stable, self.at - self.rules.bpe.longest), self.at + 1))
         while len(live) > 1:
             top = max(live)
             live.remove(top)
@@ -92,6 +161,11 @@ class RunTransducer:
             self.last = {e: v for e, v in self.last.items() if e >= common}
             yield from out
 
+    def whole(self, data: bytes) -> list[int]:
+        """Tokens of a split that is known as a whole."""
+        self.step(data)
+        return self.path(self.at)
+
     def finish(self) -> list[int]:
         return self.path(self.at)
 
@@ -100,14 +174,15 @@ class Encoder:
     """Text in pieces to tokens in pieces."""
 
     def __init__(self, bpe: ByteBpe, long: int = LONG):
-        self.bpe, self.long = bpe, long
+        self.bpe, self.long, self.rules = bpe, long, Rules(bpe)
         self.known: dict[str, tuple[int, ...]] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
 
     def of_word(self, word: str) -> tuple[int, ...]:
-        if len(self.known) >= WORDS:
-            self.known.clear()
-        self.known[word] = out = tuple(self.bpe.merge(word.encode("utf-8", "surrogatepass")))
+        out = tuple(RunTransducer(self.rules).whole(word.encode("utf-8", "surrogatepass")))
+        if len(word) <= SHORT:
+            if len(self.known) >= WORDS:
+                self.known.clear()
+            self.known[word] = out
         return out
 
     def words(self, words: list[str]) -> list[int]:
@@ -124,13 +199,8 @@ class Encoder:
         yield from self.plain(text[at:])
 
     def plain(self, text: str) -> Iterator[list[int]]:
-        """Tokens of a stretch without special tokens; longer ones go through the stream of pieces."""
-        if len(text) <= PIECE:
-            words = self.bpe.pattern.findall(text)
-            if len(text) <= self.long or max(map(len, words), default=0) <= self.long:
-                yield self.words(words)
-                return
-        yield from self.open([text[k : k + PIECE] for k in range(0, len(text), PIECE)])
+        """Tokens of a stretch without special tokens."""
+        yield from self.open(text[k : k + PIECE] for k in range(0, len(text), PIECE))
 
     def open(self, pieces: Iterable[str]) -> Iterator[list[int]]:
         """The transducer: pieces without special tokens to tokens, as soon as they are stable."""
@@ -143,23 +213,16 @@ class Encoder:
                 if not ended:
                     continue
                 run = None
-            words, at = [], 0
-            for m in self.bpe.pattern.finditer(buffer):
-                if m.end() >= len(buffer) or m.start() + REACH > len(buffer):
-                    break
-                words.append(m[0])
-                at = m.end()
-                if len(m[0]) > self.long:  # complete, yet too long to merge at once
-                    yield self.words(words[:-1])
-                    run = RunTransducer(self.bpe, self.fits)
-                    yield [*run.feed(words[-1].encode("utf-8", "surrogatepass")), *run.finish()]
-                    words, run = [], None
+            # Splits follow one another without gaps; the last ones may still change.
+            words, at = self.bpe.pattern.findall(buffer), len(buffer)
+            while words and (at == len(buffer) or at - len(words[-1]) + REACH > len(buffer)):
+                at -= len(words.pop())
             yield self.words(words)
             buffer = buffer[at:]
             if len(buffer) > self.long + 2:
                 skip = 1 if buffer[0] == " " and not buffer[1].isspace() else 0
                 kind = next(k for k in RUNS if k.match(buffer, skip))
-                run = RunTransducer(self.bpe, self.fits)
+                run = RunTransducer(self.rules)
                 head, buffer = buffer[:skip], buffer[skip:]
                 first = [*run.feed(head.encode())]
                 buffer, ended, ids = self.on(run, kind, buffer, final=False)
@@ -169,12 +232,7 @@ class Encoder:
         if run is not None:
             buffer, _, ids = self.on(run, kind, buffer, final=True)
             yield ids
-        for word in self.bpe.pattern.findall(buffer):
-            if len(word) > self.long:
-                run = RunTransducer(self.bpe, self.fits)
-                yield [*run.feed(word.encode("utf-8", "surrogatepass")), *run.finish()]
-            else:
-                yield self.words([word])
+        yield self.words(self.bpe.pattern.findall(buffer))
 
     def on(self, run: RunTransducer, kind, buffer: str, final: bool) -> tuple[str, bool, list[int]]:
         """Go on with a split under way: the text left, whether the split has ended, and stable tokens."""

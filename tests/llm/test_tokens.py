@@ -42,7 +42,7 @@ def test_encoder(library, long, monkeypatch):
 def test_run_in_bounded_memory(library):
     text = "".join(random.Random(3).choice("abcdeiou") for _ in range(30_000))
     bpe = load(PATH)
-    run = transducer.RunTransducer(bpe, {})
+    run = transducer.RunTransducer(transducer.Rules(bpe))
     ids = []
     for k in range(0, len(text), 500):
         ids += run.feed(text[k : k + 500].encode())
@@ -111,3 +111,29 @@ def test_edges(spark):
     empty = df.where("false")
     for out in (count_tokens(empty, PATH), transducer.round_trip(empty, PATH), transducer.encode(empty, PATH), transducer.tokenised(empty, PATH)):
         assert out.count() == 0
+
+
+def test_every_split_goes_through_the_transducer(spark, library, monkeypatch):
+    text = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").first()[0] + "\n" + "xq7" * 200
+    bpe, seen, step = load(PATH), bytearray(), transducer.RunTransducer.step
+    monkeypatch.setattr(ByteBpe, "merge", lambda *_: pytest.fail("the library's merges are for counting only"))
+    monkeypatch.setattr(transducer.RunTransducer, "step", lambda run, data: (seen.extend(data), step(run, data))[1])
+    encoder = transducer.Encoder(bpe)
+    want = library.encode(text, add_special_tokens=False).ids
+    assert list(chain.from_iterable(encoder.closed(text))) == want
+    assert len(seen) == sum(len(w.encode()) for w in set(bpe.pattern.findall(text)) if len(w) <= transducer.SHORT) + sum(
+        len(w.encode()) for w in bpe.pattern.findall(text) if len(w) > transducer.SHORT
+    )
+    assert all(len(w) <= transducer.SHORT for w in encoder.known)
+
+
+def test_pairs_by_merging(library):
+    """Compatibility by taking tokens apart against the merges of the joint bytes."""
+    bpe, rnd = load(PATH), random.Random(8)
+    rules, ids = transducer.Rules(bpe), sorted(bpe.ids.values())
+    text = "the rain in spain, 12345 aaaaaaaaaa eeeee  banana=====xx__ abcdefghij" * 3
+    common = [i for w in bpe.pattern.findall(text) for k in range(len(w)) for n in range(1, 9) if (i := bpe.ids.get(w[k : k + n].encode())) is not None]
+    for _ in range(20_000):
+        a, b = rnd.choice(common), rnd.choice(common if rnd.random() < 0.8 else ids)
+        if rules.whole(a) and rules.whole(b):
+            assert rules.compatible(a, b) == (bpe.merge(bpe.bytes[a] + bpe.bytes[b]) == [a, b]), (bpe.bytes[a], bpe.bytes[b])
