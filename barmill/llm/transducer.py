@@ -17,6 +17,7 @@ import codecs
 import hashlib
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import ahocorasick
@@ -48,9 +49,12 @@ class Rules:
         self.pairs: dict[int, bool] = {}
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.automaton = ahocorasick.Automaton()
+        self.sizes = {token: len(word) for word, token in bpe.ids.items()}
         for word, token in bpe.ids.items():
-            self.automaton.add_word(word.decode("latin-1"), (token, len(word)))
+            if self.made_of(token):  # its bytes merge into it
+                self.automaton.add_word(word.decode("latin-1"), (token, len(word)))
         self.automaton.make_automaton()
+        self.halves.clear()
 
     def made_of(self, token: int) -> tuple[int, int] | None:
         """The two tokens that a token's last merge joins; the token itself, twice, for a byte; None if no merges lead to it.
@@ -96,9 +100,49 @@ class Rules:
             else:
                 undone, b = b + 1, self.made_of(b)[0]
 
-    def whole(self, token: int) -> bool:
-        """Whether the bytes of a token merge into it."""
-        return self.made_of(token) is not None
+    def split(self, data: bytes) -> tuple[int, ...]:
+        """Tokens of a split known as a whole: the longest at each place if they are compatible, as then they are its encoding.
+
+        Else the last token of every prefix in turn, then back from the end.
+        """
+        known, sizes, text = self.pairs.get, self.sizes, data.decode("latin-1")
+        longest = {end - n: token for end, (token, n) in self.automaton.iter(text)}
+        out, at = [before := longest[-1]], sizes[before] - 1
+        while at < len(data) - 1:
+            token = longest[at]
+            if (fits := known(before << 20 | token)) is None:
+                fits = self.compatible(before, token)
+            if not fits:
+                break
+            out.append(before := token)
+            at += sizes[token]
+        else:
+            return tuple(out)
+        lasts, at = [0], 0
+        for end, (token, n) in self.automaton.iter(text):
+            if end < at:
+                continue  # that prefix has its token
+            start = end + 1 - n
+            if start:
+                before = lasts[start]
+                if (fits := known(before << 20 | token)) is None:
+                    fits = self.compatible(before, token)
+                if not fits:
+                    continue
+            lasts.append(token)
+            at += 1
+        if at != len(data):
+            raise AssertionError("every byte is a token")
+        out = []
+        while at:
+            out.append(lasts[at])
+            at -= sizes[lasts[at]]
+        return tuple(out[::-1])
+
+
+@lru_cache(maxsize=4)
+def rules_of(bpe: ByteBpe) -> Rules:
+    return Rules(bpe)
 
 
 class RunTransducer:
@@ -126,9 +170,7 @@ class RunTransducer:
                     continue
                 if (fits := known(before[0] << 20 | token)) is None:
                     fits = self.rules.compatible(before[0], token)
-            else:
-                fits = self.rules.whole(token)
-            if fits:
+            if not start or fits:
                 at = end + 1
                 last[at] = (token, start)
         self.at += len(data)
@@ -161,11 +203,6 @@ class RunTransducer:
             self.last = {e: v for e, v in self.last.items() if e >= common}
             yield from out
 
-    def whole(self, data: bytes) -> list[int]:
-        """Tokens of a split that is known as a whole."""
-        self.step(data)
-        return self.path(self.at)
-
     def finish(self) -> list[int]:
         return self.path(self.at)
 
@@ -174,13 +211,16 @@ class Encoder:
     """Text in pieces to tokens in pieces."""
 
     def __init__(self, bpe: ByteBpe, long: int = LONG):
-        self.bpe, self.long, self.rules = bpe, long, Rules(bpe)
+        self.bpe, self.long, self.rules = bpe, long, rules_of(bpe)
+        #: Tokens of short splits, and those of the memory before, from which words in use come over.
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def of_word(self, word: str) -> tuple[int, ...]:
-        out = tuple(RunTransducer(self.rules).whole(word.encode("utf-8", "surrogatepass")))
+        out = self.older.get(word) or self.rules.split(word.encode("utf-8", "surrogatepass"))
         if len(word) <= SHORT:
-            if len(self.known) >= WORDS:
+            if len(self.known) >= WORDS // 2:
+                self.older = dict(self.known)
                 self.known.clear()
             self.known[word] = out
         return out

@@ -115,9 +115,9 @@ def test_edges(spark):
 
 def test_every_split_goes_through_the_transducer(spark, library, monkeypatch):
     text = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").first()[0] + "\n" + "xq7" * 200
-    bpe, seen, step = load(PATH), bytearray(), transducer.RunTransducer.step
+    bpe, seen, split = load(PATH), bytearray(), transducer.Rules.split
     monkeypatch.setattr(ByteBpe, "merge", lambda *_: pytest.fail("the library's merges are for counting only"))
-    monkeypatch.setattr(transducer.RunTransducer, "step", lambda run, data: (seen.extend(data), step(run, data))[1])
+    monkeypatch.setattr(transducer.Rules, "split", lambda rules, data: (seen.extend(data), split(rules, data))[1])
     encoder = transducer.Encoder(bpe)
     want = library.encode(text, add_special_tokens=False).ids
     assert list(chain.from_iterable(encoder.closed(text))) == want
@@ -135,5 +135,5 @@ def test_pairs_by_merging(library):
     common = [i for w in bpe.pattern.findall(text) for k in range(len(w)) for n in range(1, 9) if (i := bpe.ids.get(w[k : k + n].encode())) is not None]
     for _ in range(20_000):
         a, b = rnd.choice(common), rnd.choice(common if rnd.random() < 0.8 else ids)
-        if rules.whole(a) and rules.whole(b):
+        if rules.made_of(a) and rules.made_of(b):
             assert rules.compatible(a, b) == (bpe.merge(bpe.bytes[a] + bpe.bytes[b]) == [a, b]), (bpe.bytes[a], bpe.bytes[b])
