@@ -1,9 +1,10 @@
 """Licence statements by a trained classifier of paragraphs, confirmed by comparison with templates.
 
-A multinomial logistic regression over hashed word n-grams tells licence families and ordinary prose apart. It is
-fitted on variants of the templates, with words left out by a hash, and on a bounded sample of the corpus's own paragraphs as
-prose. A paragraph whose likeliest family falls short of a threshold, calibrated on held-out prose, is of no known
-family. A prediction counts as confirmed if enough of a template's n-grams stand in the paragraph.
+A multinomial logistic regression over the words and pairs of words that templates hold tells licence families and
+ordinary prose apart. It is fitted on variants of the templates, with words left out by a hash, and on all paragraphs of
+the corpus as prose: paragraphs that hold the same of them are one row with a weight. A paragraph whose likeliest family
+falls short of a threshold, calibrated on held-out prose, is of no known family. A prediction counts as confirmed if
+enough of a template's n-grams stand in the paragraph.
 
 A paragraph is a line, or a run of lines without a blank one between them, since licence texts are mostly wrapped. Runs
 start at every line and reach well over the longest template; of those that say the same the likest stays.
@@ -11,10 +12,11 @@ start at every line and reach well over the longest template; of those that say
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,12 +58,13 @@ TEMPLATES = {
 }
 PROSE = "none"
 FAMILIES = [PROSE, *sorted(TEMPLATES)]
-BITS = 1 << 16
 VARIANTS = 40
-#: Bound on the paragraphs of the corpus that stand for prose, drawn by a hash (about).
-SAMPLE = 6000
+#: What all prose of a corpus weighs in the fit, however much there is; a variant of a template weighs 1.
+PROSE_WEIGHT = 6000.0
 #: Share of held-out prose that may pass for a licence, and of a template's n-grams that confirms one.
 FALSE_ALARMS, CONFIRMED = 0.001, 0.6
+#: Steps between 0 and 1 in which probabilities of held-out prose are counted.
+STEPS = 10_000
 #: Words that a run of lines reaches: half as many again as the longest template.
 REACH = 3 * max(len(t.split()) for texts in TEMPLATES.values() for t in texts) // 2
 
@@ -81,10 +84,30 @@ def grams(w: Column, n: int) -> Column:
     return out
 
 
+def _bigrams(text: str) -> list[str]:
+    found = re.findall(r"[^\W_]+(?:[.-][^\W_]+)*", text.lower())
+    return [" ".join(p) for p in zip(found, found[1:])] or found
+
+
+#: Pairs of words, and words, of any template.
+PAIRS = sorted({p for texts in TEMPLATES.values() for t in texts for p in _bigrams(t)})
+WORDS = sorted({w for p in PAIRS for w in p.split(" ")})
+
+
+def known(w: Column) -> Column:
+    """Words with null for those of no template."""
+    return F.transform(w, lambda x: F.when(x.isin(WORDS), x))
+
+
+def shared(k: Column) -> Column:
+    """The words and pairs of words that a paragraph, as of known, has in common with any template."""
+    pairs = F.zip_with(k, F.slice(k, 2, F.greatest(F.size(k), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.array_distinct(F.concat(F.filter(k, lambda x: x.isNotNull()), F.filter(pairs, lambda p: p.isin(PAIRS))))
+
+
 def featured(df: DataFrame) -> DataFrame:
-    """df (with words) and sparse features of its word 1-grams and 2-grams."""
-    named = df.withColumn("grams", F.concat(F.col("words"), F.transform(grams(F.col("words"), 2), lambda g: F.concat(F.lit("2 "), g))))
-    return HashingTF(inputCol="grams", outputCol="features", numFeatures=BITS, binary=True).transform(named).drop("grams")
+    """df (with parts, as of shared) and their sparse features."""
+    return CountVectorizerModel.from_vocabulary([*WORDS, *PAIRS], inputCol="parts", outputCol="features", binary=True).transform(df)
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -96,16 +119,26 @@ def variants(spark: SparkSession) -> DataFrame:
     """Templates with about a tenth of their words left out, each time others; variant 0 is whole."""
     every = templates(spark).withColumn("v", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))))
     left = F.filter("words", lambda w, i: (F.col("v") == 0) | (F.pmod(F.xxhash64(w, i, "v", "k"), F.lit(10)) > 0))
-    return every.withColumn("words", left).select("family", "words", F.pmod(F.xxhash64("family", "k", "v"), F.lit(5)).alias("fold"))
+    fold = F.pmod(F.xxhash64("family", "k", "v"), F.lit(5))
+    return every.select("family", shared(known(left)).alias("parts"), fold.alias("fold"), F.lit(1.0).alias("weight"))
+
 
+def prose(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """parts, fold and n of all lines of df that have words: how many lines have these parts, a fold for equal lines.
 
-def paragraphs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, place and words of the paragraphs that have words."""
-    lines = df.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(F.col(text_col), "\n")).alias("place", "line"))
-    return lines.select("doc_id", "place", words(F.col("line")).alias("words")).where(F.size("words") > 0)
+    A line with half of any template's 2-grams is no prose and is left out.
+    """
+    lines = F.filter(F.transform(F.split(F.col(text_col), "\n"), lambda x: words(x)), lambda w: F.size(w) > 0)
+    each = df.select(F.explode(lines).alias("words"))
+    each = each.select(known(F.col("words")).alias("known"), F.pmod(F.xxhash64("words"), F.lit(5)).alias("fold"))
+    each = each.select(F.array_sort(shared(F.col("known"))).alias("parts"), "fold")
+    counted = stored(each.groupBy("parts", "fold").agg(F.count("*").alias("n")), "prose")  # so that each is compared once
+    every = F.array(*(F.array(*map(F.lit, _bigrams(t))) for texts in TEMPLATES.values() for t in texts))
+    like = F.exists(every, lambda t: F.size(F.array_intersect(t, F.col("parts"))) * 2 >= F.size(t))
+    return counted.where(~like)
 
 
-def _may_confirm(w: Column) -> Column:
+def _may_confirm(parts: Column) -> Column:
     """Whether a template's n-grams can be in a run: CONFIRMED of them take so many of its 2-grams, whatever the words."""
     few, many = set(), set()
     for text in (t for texts in TEMPLATES.values() for t in texts):
@@ -113,33 +146,40 @@ def _may_confirm(w: Column) -> Column:
         single = {x for p in pairs for x in p.split(" ")}
         need = CONFIRMED * (len(pairs) + len(single)) - len(single)
         (many if need > 1 else few).update(pairs if need > 0 else single)
-    own = F.concat(w, grams(w, 2))
-    of = lambda known: F.array_intersect(F.array(*map(F.lit, sorted(known))), own)
-    return (F.size(of(few)) > 0) | (F.size(of(many)) > 1)
+    of = lambda some: F.size(F.filter(parts, lambda x: x.isin(sorted(some))))
+    return (of(few) > 0) | (of(many) > 1)
 
 
 def candidates(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, row (a number for each row of df), place, rows and words of lines, and of runs that a template may confirm."""
-    lines = F.transform(F.split(F.col(text_col), "\n"), lambda x: words(x))
+    """doc_id, row (a number for each row of df), place, rows and parts of lines, and of runs that a template may confirm.
+
+    Paragraphs without any word of a template are left out.
+    """
+    lines = F.transform(F.split(F.col(text_col), "\n"), lambda x: known(words(x)))
     rows = df.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row"), lines.alias("lines"))
-    none = F.array().cast("array<string>")
-    start = F.struct(none.alias("w"), F.lit(0).alias("n"), F.lit(True).alias("on"))
+    rows = rows.select("*", F.flatten("lines").alias("flat")).select("doc_id", "row", "lines", shared(F.col("flat")).alias("own"))
+    sizes = F.when(_may_confirm(F.col("own")), F.transform("lines", lambda x: F.size(x)))
+    rows = rows.select("doc_id", "row", "lines", sizes.alias("sizes"))  # null where no run of the document can be confirmed
 
-    def run(at: Column) -> Column:
-        def more(state: Column, line: Column) -> Column:
-            on = state["on"] & (F.size(line) > 0) & (F.size(state["w"]) < REACH)
-            return F.struct(
-                F.when(on, F.concat(state["w"], line)).otherwise(state["w"]).alias("w"), (state["n"] + on.cast("int")).alias("n"), on.alias("on")
-            )
+    def reached(at: Column) -> Column:
+        """Lines of the run that starts at a line."""
+        start = F.struct(F.lit(0).alias("w"), F.lit(0).alias("n"), F.lit(True).alias("on"))
 
-        return F.aggregate(F.slice("lines", at + 1, REACH), start, more)
+        def more(state: Column, size: Column) -> Column:
+            on = state["on"] & (size > 0) & (state["w"] < REACH)
+            return F.struct((state["w"] + F.when(on, size).otherwise(0)).alias("w"), (state["n"] + on.cast("int")).alias("n"), on.alias("on"))
 
-    one = F.transform("lines", lambda x, i: F.struct(i.alias("place"), F.lit(1).alias("rows"), x.alias("words")))
-    runs = F.transform("lines", lambda x, i: F.when((F.size(x) > 0) & (F.size(x) < REACH), run(i)))
-    runs = F.transform(runs, lambda r, i: F.struct(i.alias("place"), F.coalesce(r["n"], F.lit(0)).alias("rows"), F.coalesce(r["w"], none).alias("words")))
-    every = rows.select("doc_id", "row", F.explode(F.concat(one, F.filter(runs, lambda r: r["rows"] > 1))).alias("c"))
-    every = every.select("doc_id", "row", "c.place", "c.rows", "c.words").where(F.size("words") > 0)
-    return every.where((F.col("rows") == 1) | _may_confirm(F.col("words")))
+        return F.aggregate(F.slice("sizes", at + 1, REACH), start, more, lambda state: state["n"])
+
+    one = F.transform("lines", lambda x, i: F.struct(i.alias("place"), F.lit(1).alias("rows"), shared(x).alias("parts")))
+    starts = F.transform("sizes", lambda n, i: F.struct(i.alias("place"), F.when(n < REACH, reached(i)).otherwise(1).alias("rows")))
+    runs = F.transform(F.filter(starts, lambda r: r["rows"] > 1), lambda r: F.struct(
+        r["place"].alias("place"), r["rows"].alias("rows"), F.flatten(F.slice("lines", r["place"] + 1, r["rows"])).alias("known")
+    ))
+    runs = F.transform(runs, lambda r: F.struct(r["place"].alias("place"), r["rows"].alias("rows"), shared(r["known"]).alias("parts")))
+    runs = F.coalesce(F.filter(runs, lambda r: _may_confirm(r["parts"])), F.filter(one, lambda x: F.lit(False)))
+    every = rows.select("doc_id", "row", F.explode(F.concat(F.filter(one, lambda x: F.size(x["parts"]) > 0), runs)).alias("c"))
+    return every.select("doc_id", "row", "c.place", "c.rows", "c.parts")
 
 
 def _chosen(found: DataFrame) -> DataFrame:
@@ -169,36 +209,20 @@ class Classifier:
     threshold: float
 
 
-def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Classifier:
-    """Fit on variants of the templates and about sample paragraphs of df; calibrate on a fifth that is left out.
-
-    A paragraph of the corpus with half of any template's 2-grams is no prose and is not used as such.
-    """
-    spark = df.sparkSession
-    docs = min(1.0, sample / 2 / max(df.count(), 1))
-    draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("licence")), F.lit(1 << 30)) < int(docs * (1 << 30))
-    prose = paragraphs(df.where(draw), id_col, text_col)
-    rank = F.pmod(F.xxhash64("doc_id", "place"), F.lit(1 << 30))
-    prose = prose.withColumn("rank", rank).orderBy("rank", "words").limit(sample)
-    known = F.array(*(F.array(*map(F.lit, _bigrams(t))) for texts in TEMPLATES.values() for t in texts))
-    own = grams(F.col("words"), 2)
-    like = F.exists(known, lambda t: F.size(F.array_intersect(t, own)) * 2 >= F.size(t))
-    prose = prose.where(~like).select(F.lit(PROSE).alias("family"), "words", F.pmod("rank", F.lit(5)).alias("fold"))
+def train(df: DataFrame, text_col: str = "text") -> Classifier:
+    """Fit on variants of the templates and on all lines of df as prose; calibrate on a fifth that is left out."""
+    rows = prose(df, text_col)
+    total = rows.agg(F.sum("n")).first()[0] or 1
+    rows = rows.select(F.lit(PROSE).alias("family"), "parts", "fold", (F.col("n") * (PROSE_WEIGHT / total)).alias("weight"), "n")
+    rows = rows.unionByName(variants(df.sparkSession), allowMissingColumns=True)
     label = F.array_position(F.array(*map(F.lit, FAMILIES)), F.col("family")) - 1
-    rows = stored(prose.unionByName(variants(spark)).withColumn("label", label.cast("double")), "licences")
-    rows = featured(rows)
-    fit = LogisticRegression(family="multinomial", regParam=1e-3, maxIter=40, standardization=False)
-    model = fit.fit(rows.where("fold > 0").select("features", "label"))
-    held = model.transform(rows.where("fold = 0 and label = 0").select("features"))
-    alarm = F.percentile(_family_probability(), F.lit(1 - FALSE_ALARMS))
-    return Classifier(model, max(0.5, held.agg(alarm).first()[0] or 0.0))
-
-
-def _bigrams(text: str) -> list[str]:
-    import re
-
-    found = re.findall(r"[^\W_]+(?:[.-][^\W_]+)*", text.lower())
-    return [" ".join(p) for p in zip(found, found[1:])] or found
+    rows = featured(rows.withColumn("label", label.cast("double")))
+    fit = LogisticRegression(family="multinomial", regParam=1e-3, maxIter=40, standardization=False, weightCol="weight")
+    model = fit.fit(rows.where("fold > 0").select("features", "label", "weight"))
+    held = model.transform(rows.where("fold = 0 and label = 0").select("features", "n"))
+    steps = held.groupBy((F.ceil(_family_probability() * STEPS) / STEPS).alias("p")).agg(F.sum("n").alias("n"))  # at most STEPS rows
+    alarm = F.percentile("p", F.lit(1 - FALSE_ALARMS), F.col("n"))
+    return Classifier(model, max(0.5, steps.agg(alarm).first()[0] or 0.0))
 
 
 def _family_probability() -> Column:
@@ -214,24 +238,19 @@ def scan(df: DataFrame, classifier: Classifier, id_col: str = "doc_id", text_col
     """
     scored = classifier.model.transform(featured(candidates(df, id_col, text_col)))
     chances = F.slice(vector_to_array("probability"), 2, len(FAMILIES) - 1)
-    found = scored.select("doc_id", "row", "place", "rows", "words", chances.alias("p")).withColumn("score", F.array_max("p"))
+    found = scored.select("doc_id", "row", "place", "rows", "parts", chances.alias("p")).withColumn("score", F.array_max("p"))
     found = found.where(F.col("score") >= classifier.threshold)
     family = F.element_at(F.array(*map(F.lit, FAMILIES[1:])), F.array_position("p", F.col("score")).cast("int"))
-    found = found.select("doc_id", "row", "place", "rows", "words", "score", family.alias("said"))
-    parts = templates(df.sparkSession).withColumn("parts", F.array_distinct(_parts("words")))
-    kept = parts.groupBy("family").agg(F.collect_list("parts").alias("templates"))  # a row for each family
+    found = found.select("doc_id", "row", "place", "rows", "parts", "score", family.alias("said"))
+    whole = templates(df.sparkSession).withColumn("whole", shared(known(F.col("words"))))
+    kept = whole.groupBy("family").agg(F.collect_list("whole").alias("templates"))  # a row for each family
     found = found.join(F.broadcast(kept.withColumnRenamed("family", "said")), "said")
-    own = _parts("words")
-    likeness = F.array_max(F.transform("templates", lambda t: F.size(F.array_intersect(t, own)) / F.size(t)))
+    likeness = F.array_max(F.transform("templates", lambda t: F.size(F.array_intersect(t, F.col("parts"))) / F.size(t)))
     found = found.withColumn("likeness", likeness)
     family = F.when(F.col("likeness") >= CONFIRMED, F.col("said")).otherwise("unknown")
     return _chosen(found.withColumn("family", family))
 
 
-def _parts(name: str) -> Column:
-    return F.concat(F.col(name), grams(F.col(name), 2))
-
-
 def by_document(df: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """doc_id, families (ascending, joined by commas), n_licences, n_unknown of every doc_id of df."""
     known = F.when(F.col("family") != "unknown", F.col("family"))

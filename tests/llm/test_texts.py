@@ -210,3 +210,23 @@ def test_wrapped_licences(spark, classifier):
     found = {r.doc_id: (r.families, r.n_licences) for r in licenses.by_document(df, licenses.scan(df, classifier)).collect()}
     assert {i: f for i, (f, _) in found.items()} == {i: f for i, (_, f) in texts.items()}
     assert {i: n for i, (_, n) in found.items()} == {1: 1, 2: 2, 3: 1, 4: 1, 5: 2, 6: 0, 7: 1, 8: 2}
+
+
+def test_all_lines_teach_prose(spark):
+    """Every line counts, whatever the size of the corpus; lines that are half a template are left out."""
+    rnd = random.Random(4)
+    some = ["the", "license", "of", "river", "MIT", "all", "under", "house", "rights"]
+    rows = [(i, "\n".join(" ".join(rnd.choice(some) for _ in range(rnd.randrange(6))) for _ in range(2))) for i in range(9000)]
+    rows += [(3, "Released under the MIT License."), (4, None), (4, "  \n"), (None, "the river"), (None, "the river")]
+    plain = Counter()
+    for _, text in rows:
+        for line in (text or "").lower().split("\n"):
+            w = licenses.re.findall("[a-z0-9]+", line)
+            parts = {x for x in w if x in licenses.WORDS} | {p for p in map(" ".join, zip(w, w[1:])) if p in licenses.PAIRS}
+            known = [licenses._bigrams(t) for texts in licenses.TEMPLATES.values() for t in texts]
+            if w and not any(2 * len(parts & set(k)) >= len(k) for k in known):
+                plain[tuple(sorted(parts))] += 1
+    found = Counter()
+    for r in licenses.prose(spark.createDataFrame(rows, TEXT).repartition(3)).collect():
+        found[tuple(r.parts)] += r.n
+    assert found == plain and plain.total() > 14000
