@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -16,11 +18,11 @@ from barmill.llm.util import arrow_map, slices
 LONGEST = 3
 #: N-grams in a profile, and the distance of one that a profile lacks.
 RANKS = 400
-#: Bound on the texts per language that a profile is learned from, drawn by a hash of their id.
-SAMPLE = 4000
 UNKNOWN = "und"
 #: A share of the maximal distance below which no text is refused; the share of held-out texts that may lie beyond a bound.
 NEAR, REFUSED = 2 / 3, 0.001
+#: Steps between 0 and 1 in which distances of held-out texts are counted; bounds are rounded up to one.
+STEPS = 10_000
 #: Words that held-out texts are cut to as well, so that short texts have bounds of their own.
 CUTS = (1, 2, 4, 8, 16)
 
@@ -79,13 +81,10 @@ class Profiles:
         return self.langs[best], score, float(distance[best] / (RANKS * len(order))), len(order)
 
 
-def learn(df: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int = SAMPLE) -> Profiles:
-    """Profiles of all languages of df, from at most about sample texts of each; null languages teach nothing."""
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+def learn(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> Profiles:
+    """Profiles of all languages of df, from all of their texts; null languages teach nothing."""
+    rows = df.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    share = rows.groupBy("lang").count().select("lang", (F.lit(sample) / F.col("count")).alias("share"))
-    drawn = F.pmod(F.xxhash64("id", F.lit("profile")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rows = rows.join(F.broadcast(share), "lang").where(drawn < F.col("share")).select("lang", "text")  # a row a language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1024):
@@ -114,30 +113,29 @@ def _size(n: int) -> int:
     return n.bit_length()
 
 
-def bounds(df: DataFrame, profiles: Profiles, sample: int = SAMPLE) -> dict[int, float]:
+def bounds(df: DataFrame, profiles: Profiles) -> dict[int, float]:
     """By size of a text, the share of the maximal distance beyond which it is in none of the languages.
 
-    Set on about sample held-out documents labelled with a learned language, whole and cut to their first words: at
-    most REFUSED of a size lie beyond. A size without any has NEAR, and none has less.
+    Set on all held-out documents labelled with a learned language, whole and cut to their first words: at most REFUSED
+    of a size lie beyond. A size without any has NEAR, and none has less.
     """
-    rows = df.where(held_out("doc_id") & F.col("lang").isin(list(profiles.langs)) & F.col("text").isNotNull())
-    share = min(1.0, sample / max(rows.count(), 1))
-    drawn = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("bound")), F.lit(1 << 30)) < int(share * (1 << 30))).select("text")
+    rows = df.where(held_out("doc_id") & F.col("lang").isin(list(profiles.langs)) & F.col("text").isNotNull()).select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            out = []
+            out: Counter[tuple[int, int]] = Counter()
             for text in batch.column(0).to_pylist():
                 words = text.split(None, max(CUTS))
                 for form in (text, *(" ".join(words[:k]) for k in CUTS if k < len(words))):
                     *_, apart, n = profiles.measured(form)
                     if n:
-                        out.append((_size(n), apart))
-            columns = [pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["size", "apart"])
+                        out[_size(n), ceil(apart * STEPS)] += 1
+            columns = [pa.array([k[0] for k in out], pa.int32()), pa.array([k[1] for k in out], pa.int32()), pa.array(out.values(), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["size", "step", "n"])
 
-    apart = arrow_map(drawn, run, "size int, apart double").groupBy("size").agg(F.percentile("apart", F.lit(1 - REFUSED)).alias("b"))
-    return {r["size"]: max(NEAR, r["b"]) for r in apart.collect()}  # a row for each power of two up to RANKS
+    steps = arrow_map(rows, run, "size int, step int, n long").groupBy("size", "step").agg(F.sum("n").alias("n"))
+    found = steps.groupBy("size").agg(F.percentile("step", F.lit(1 - REFUSED), F.col("n")).alias("b"))  # at most STEPS rows a size
+    return {r["size"]: max(NEAR, r["b"] / STEPS) for r in found.collect()}  # a row for each power of two up to RANKS
 
 
 def identify(df: DataFrame, profiles: Profiles, text_col: str = "text", bounds: dict[int, float] | None = None) -> DataFrame:

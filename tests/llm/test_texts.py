@@ -230,3 +230,26 @@ def test_all_lines_teach_prose(spark):
     for r in licenses.prose(spark.createDataFrame(rows, TEXT).repartition(3)).collect():
         found[tuple(r.parts)] += r.n
     assert found == plain and plain.total() > 14000
+
+
+def test_all_texts_teach_languages(spark):
+    """Profiles and bounds come from every text, beyond any number of them."""
+    rnd = random.Random(5)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(1, 9))) for _ in range(2000)]
+    rare = [w.translate(str.maketrans("abcdefgh", "stuvwxyz")) for w in words]
+    rows = [(i, " ".join(rnd.choice(words if i % 100 else rare) for _ in range(rnd.randrange(1, 7))), "x" if i % 9 else "y") for i in range(21_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    is_held = {i: zlib.crc32(str(i).encode()) % 4 == 2 for i, _, _ in rows}
+    profiles = language.taught(df)
+    for k, lang in enumerate(("x", "y")):
+        grams = Counter(g for i, t, own in rows if own == lang and not is_held[i] for g in language.ngrams(t).tolist())
+        top = sorted(grams, key=lambda g: (-grams[g], g))[: language.RANKS]
+        assert [profiles.ranks[k, np.searchsorted(profiles.grams, g)] for g in top] == list(range(len(top)))
+    apart = defaultdict(list)
+    for i, text, _ in rows:
+        own = text.split()
+        for form in (text, *(" ".join(own[:k]) for k in language.CUTS if k < len(own))) if is_held[i] else ():
+            *_, far, n = profiles.measured(form)
+            apart[n.bit_length()].append(np.ceil(far * language.STEPS) / language.STEPS)
+    want = {n: max(language.NEAR, float(np.quantile(x, 1 - language.REFUSED))) for n, x in apart.items()}
+    assert language.bounds(df, profiles) == pytest.approx(want) and any(b > language.NEAR for b in want.values())
