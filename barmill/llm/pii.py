@@ -2,11 +2,11 @@
 
 Base spans follow fixed patterns and checks and always stay. Generators propose overlapping spans of looser forms: mail
 addresses in words ("a at b dot c"), addresses and numbers in other groupings, phones without a plus. Trees fitted on
-features of format and context give each a probability, and a threshold for each kind, set on rows held out from the
+features of format and context give each a probability, and a threshold for each kind, set on texts held out from the
 fit, selects those that are added; of overlapping ones the likeliest stays, and none that overlaps a base span.
 
-There are no labelled spans. Positive examples are base spans of the sample, as they stand and rewritten into the loose
-forms within their own context; negative ones are other candidates of the sample that fail the checks or stand as dates,
+There are no labelled spans. Positive examples are base spans of all texts, as they stand and rewritten into the loose
+forms within their own context; negative ones are other candidates that fail the checks or stand as dates,
 versions or amounts, and made-up amounts, dates, versions, hashes and counts put into the same contexts. Other candidates
 may be personal data in a loose form, so they teach nothing.
 """
@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,9 +46,9 @@ WIDE = {
     "card": re.compile(r"(?<![0-9])[0-9]{4}(?:[ ._/-]{0,3}[0-9]{2,6}){2,5}(?![0-9])"),
     "phone": re.compile(r"(?<![0-9A-Za-z])(?:\+|00|\()?[0-9](?:[ ().\-/]{0,2}[0-9]){6,16}(?![0-9A-Za-z])"),
 }
-#: Bounds on the fit: documents drawn by a hash of their id (about), and examples of each kind.
-SAMPLE, EXAMPLES = 20_000, 4000
 PRECISION = 0.99
+#: Steps between 0 and 1 in which probabilities of held-out examples are counted; least examples to fit and to test.
+STEPS, FITTED, TESTED = 10_000, 20, 5
 WORDS = ("mail", "contact", "write", "phone", "call", "tel", "fax", "mobile", "card", "visa", "pay", "ip", "host", "server")
 NEAR = 40
 #: Last labels of common hosts, and words of two letters that are no country's label in running text.
@@ -222,7 +224,9 @@ def refuted(text: str, start: int, place: int, end: int) -> bool:
 
 
 def examples(text: str) -> Iterator[tuple[str, list[float], bool]]:
-    """Kind, features and label of what a text of the sample teaches."""
+    """Kind, features and label of what a text teaches."""
+    if not re.search("[0-9@]|dot", text):
+        return
     base = base_spans(text)
     for start, place, end in base:
         kind, span = KINDS[place], text[start:end]
@@ -236,42 +240,54 @@ def examples(text: str) -> Iterator[tuple[str, list[float], bool]]:
             yield KINDS[s[1]], features(text, *s), False
 
 
-def train(rows: dict[str, list[tuple[list[float], bool]]]) -> Model:
-    """Trees and thresholds; a kind without enough examples adds no spans."""
-    trees, thresholds = {}, {}
-    for kind in KINDS:
-        found = rows.get(kind, [])
-        x = np.array([f for f, _ in found], float).reshape(len(found), FEATURES)
-        y = np.array([label for _, label in found], float)
-        test = np.arange(len(y)) // 16 % 4 == 3  # examples of one span mostly stay together
-        thresholds[kind] = 1.1
-        if y[~test].sum() >= 20 and y[test].sum() >= 5:
-            trees[kind] = boost.fit(x[~test], y[~test])
-            thresholds[kind] = boost.threshold(trees[kind].probability(x[test]), y[test], PRECISION)
-    return Model(trees, thresholds)
-
+def taught(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """kind, test, y, f and n: how many examples of all texts have this label and these features.
 
-def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, most: int = EXAMPLES) -> Model:
-    """A model from about sample documents, by a hash of their ids, and at most most examples of each kind."""
-    rows = df.select(F.xxhash64(F.col(id_col), F.lit("pii")).alias("h"), F.col(text_col).alias("text"))
-    share = min(1.0, sample / max(df.count(), 1))
-    drawn = rows.where(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30))).where("text is not null")
+    A text's examples are all for the test, or all for the fit, by its own hash.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            out: list[list] = [[], [], [], [], []]
-            for h, text in zip(*(c.to_pylist() for c in batch.columns)):
-                for k, example in enumerate(examples(text)):
-                    for column, value in zip(out, (h, k, *example)):
-                        column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.list_(pa.float64()), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds)], names=["h", "k", "kind", "f", "y"])
-
-    found = stored(arrow_map(drawn, run, "h long, k long, kind string, f array<double>, y boolean"), "examples")
-    order = ("h", "k", "f")
-    return train({
-        kind: [(r.f, r.y) for r in found.where(F.col("kind") == kind).orderBy(*order).limit(most).collect()] for kind in KINDS
-    })
+            out: Counter[tuple] = Counter()
+            for text in batch.column(0).to_pylist():
+                test = zlib.crc32(text.encode("utf-8", "surrogatepass")) % 4 == 3
+                out.update((kind, test, label, tuple(map(float, f))) for kind, f, label in examples(text))
+            kinds = (pa.string(), pa.bool_(), pa.bool_(), pa.list_(pa.float64()))
+            columns = [pa.array([k[i] for k in out], t) for i, t in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(out.values(), pa.int64())], names=["kind", "test", "y", "f", "n"])
+
+    texts = df.select(F.col(text_col).alias("text")).where("text is not null")
+    found = arrow_map(texts, run, "kind string, test boolean, y boolean, f array<double>, n long")
+    return found.groupBy("kind", "test", "y", "f").agg(F.sum("n").alias("n"))
+
+
+def learn(df: DataFrame, text_col: str = "text") -> Model:
+    """Trees and thresholds from the examples of all texts; a kind without enough examples adds no spans."""
+    rows = stored(taught(df, text_col), "examples")
+    n = {(r.kind, r.test): r.n for r in rows.where("y").groupBy("kind", "test").agg(F.sum("n").alias("n")).collect()}
+    able = [k for k in KINDS if n.get((k, False), 0) >= FITTED and n.get((k, True), 0) >= TESTED]
+    thresholds = dict.fromkeys(KINDS, 1.1)
+    if not able:
+        return Model({}, thresholds)
+    trees = boost.grow(rows.where(F.col("kind").isin(able) & ~F.col("test")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds, x = np.array(batch.column(0).to_pylist(), object), batch.column(1).to_pylist()
+            step = np.zeros(len(kinds), np.int64)
+            for kind in able:
+                own = np.flatnonzero(kinds == kind)
+                if len(own):
+                    step[own] = trees[kind].probability(np.array([x[k] for k in own])) * STEPS
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(step), *batch.columns[2:]], names=["kind", "step", "y", "n"])
+
+    held = rows.where(F.col("kind").isin(able) & F.col("test")).select("kind", "f", "y", "n")
+    steps = arrow_map(held, run, "kind string, step long, y boolean, n long").groupBy("kind", "step", "y").agg(F.sum("n").alias("n"))
+    found = steps.orderBy("kind", "step", "y").collect()  # at most two rows a kind and step
+    for kind in able:
+        p, y, n = (np.array(v, float) for v in zip(*((r.step / STEPS, r.y, r.n) for r in found if r.kind == kind)))
+        thresholds[kind] = boost.threshold(p, y, PRECISION, n)
+    return Model(trees, thresholds)
 
 
 def find(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -3,6 +3,8 @@
 import hashlib
 import random
 import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -144,3 +146,18 @@ def test_loose_forms_of_the_corpus(spark):
     assert not any(found[i] for i in range(0, 1500, 3))
     talk = [(i, f"{prose()} {text} {prose()}") for i, text in enumerate(PROSE)]
     assert not any(r.spans for r in pii.find(spark.createDataFrame(talk, "doc_id long, text string"), pii.learn(df)).collect())
+
+
+def test_all_texts_teach(spark):
+    """Every example of every text counts, beyond any number of them, and the sums of the fit are those over all rows."""
+    rnd = random.Random(9)
+    rows = [(i, f"write to {rnd.choice('abc')}{i % 50}@mail{i % 7}.example.com or {i % 999}.{i % 77} now") for i in range(3000)]
+    rows += [(5, None), (None, "a@b.cd"), (None, "a@b.cd"), (6, "nothing")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    plain = Counter((k, zlib.crc32(t.encode()) % 4 == 3, y, tuple(map(float, f))) for _, t in rows if t for k, f, y in pii.examples(t))
+    counted = pii.taught(df)
+    assert {(r.kind, r.test, r.y, tuple(r.f)): r.n for r in counted.collect()} == plain and plain.total() > 20_000
+    fitted = boost.grow(counted.where("not test"), trees=3)["email"]
+    x, y, n = (np.array(v, float) for v in zip(*((f, y, n) for (k, test, y, f), n in plain.items() if k == "email" and not test)))
+    whole = boost.fit(np.repeat(x, n.astype(int), axis=0), np.repeat(y, n.astype(int)), trees=3)
+    assert np.abs(fitted.probability(x) - whole.probability(x)).max() < 1e-3
