@@ -253,3 +253,24 @@ def test_all_texts_teach_languages(spark):
             apart[n.bit_length()].append(np.ceil(far * language.STEPS) / language.STEPS)
     want = {n: max(language.NEAR, float(np.quantile(x, 1 - language.REFUSED))) for n, x in apart.items()}
     assert language.bounds(df, profiles) == pytest.approx(want) and any(b > language.NEAR for b in want.values())
+
+
+def test_words_of_a_text_are_taken_once(spark):
+    """A sketch's words and chunks are each one expression, however many hashes are taken of them."""
+    rows = [(1, "One two\nthe line\n three  FOUR five", "the line"), (2, "the line\nword", "the line"), (3, "the line", "the line")]
+    held = spark.createDataFrame(rows, "_text long, text string, name string").withColumn("line", site_lines._key(F.col("name")))
+    found = site_lines._sketched(held)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(r"\s+") == 1 and plan.count("zip_with") == site_lines.CHUNK - 1
+    chunks = {1: ["one two three", "two three four", "three four five"], 2: ["word"], 3: [""]}
+    for r in found.collect():
+        want = spark.createDataFrame([(c,) for c in chunks[r["_text"]]], "c string")
+        least = want.agg(*(F.min(F.xxhash64("c", F.lit(k))) for k in range(site_lines.SKETCHES))).first()
+        assert r.s == list(least)
+
+
+def test_ngrams_of_many_texts_are_added_by_text():
+    texts = ["alpha beta", "beta", "", "42", "gamma alpha beta"] * 3
+    grams, n = language._added([language.counted(t) for t in texts])
+    want = np.unique(np.concatenate([language.ngrams(t) for t in texts]), return_counts=True)
+    assert grams.tolist() == want[0].tolist() and n.tolist() == want[1].tolist()
