@@ -16,7 +16,9 @@ Jaccard t or more holds at least t of the query's tokens.
 3. Search. A token whose nodes are still in different components makes a query of each node against the groups of
    the others. Of the l index tokens that similar sets share, the rarest is followed by l - 1 others in the lists of
    both, so queries and members leave out their l - 1 most frequent index tokens here, and of tokens that the same
-   nodes have one is enough. A group is opened if it has enough of the query's index tokens, and then enough of its whole set, in its union; pairs of a query and
+   nodes have one is enough. Each set has a bitmap in which every token turns one bit over; where a query's bits differ
+   from those that all members of a group agree on, a token is in one set only, so too many such bits (that is most
+   groups that only quote a passage of the query's) rule the group out at once. A group is opened if it has enough of the query's index tokens, and then enough of its whole set, in its union; pairs of a query and
    the members of opened groups that share enough index tokens are compared on whole sets.
 
 Pairs inside one component need no comparison, since the result is what is reachable; every pair of different components
@@ -45,6 +47,8 @@ HOT_LOCAL, HOT_GLOBAL = 4, 32
 BLOCK = 1 << 20
 #: Bits of the map of nodes whose sets are needed; it is broadcast.
 BITMAP = 1 << 25
+#: Columns of 64 bits with a set's bitmap.
+MARKS = [f"m{k}" for k in range(4)]
 #: Rounds in which nodes are compared with pivots.
 GROUPING = 2
 #: Index tokens that meet in one task, about.
@@ -208,8 +212,15 @@ def _bitmap(nodes: DataFrame) -> np.ndarray:
     return out
 
 
+def marks(tokens: np.ndarray) -> np.ndarray:
+    """The bitmap of a set, as signed numbers of 64 bits: the parity of its tokens in each of as many classes."""
+    bits = 64 * len(MARKS)
+    counts = np.bincount((tokens >> np.uint64(32)).astype(np.int64) % bits, minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """node and tokens of the wanted nodes' sets, one row each.
+    """node, tokens and bitmap of the wanted nodes' sets, one row each.
 
     The bitmap lets few other sets into the shuffle, and the join takes those out.
     """
@@ -231,12 +242,13 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                         sets.append(tokens)
                 ends = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
                 flat = np.concatenate(sets).astype(np.int64) if sets else np.empty(0, np.int64)
+                bitmaps = np.array([marks(s) for s in sets], np.int64).reshape(len(sets), len(MARKS))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                    names=["node", "tokens"],
+                    [pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), *map(pa.array, bitmaps.T.copy())],
+                    names=["node", "tokens", *MARKS],
                 )
 
-    sets = arrow_map(docs.select("text"), run, "node long, tokens array<long>")
+    sets = arrow_map(docs.select("text"), run, f"node long, tokens array<long>, {', '.join(f'{m} long' for m in MARKS)}")
     return sets.join(wanted, "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -362,6 +374,17 @@ def _to_pivots(met: DataFrame, percent: int) -> DataFrame:
     return near.groupBy("node").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("b")).withColumnRenamed("node", "a")
 
 
+def _may_be_similar(percent: int) -> Column:
+    """Whether a set (q) may be similar to any member of a group (g), by the bits in which it differs from all of them.
+
+    Two bits differ only by a token of one set that the other lacks, and sets of n and m tokens that reach the threshold
+    have at most (n + m) * (100 - percent) / (100 + percent) of those.
+    """
+    agreed = (F.bitwise_not(F.col(f"g.all_{m}").bitwiseXOR(F.col(f"g.any_{m}"))) for m in MARKS)
+    differ = [F.bit_count(F.col(f"q.{m}").bitwiseXOR(F.col(f"g.all_{m}")).bitwiseAND(a)) for m, a in zip(MARKS, agreed)]
+    return sum(differ[1:], differ[0]) * (100 + percent) <= (F.col("q.n") + F.col("g.high")) * (100 - percent)
+
+
 def _told_apart(rows: DataFrame) -> DataFrame:
     """rows (node, token) with one of the tokens that the same nodes have: the others would find the same groups again.
 
@@ -388,15 +411,16 @@ def _search(met: DataFrame, grouped: DataFrame, sets: DataFrame, percent: int) -
     tokens = open_.groupBy("node", "n", "grp", "component", "members").agg(
         F.array_sort(F.collect_list(F.struct("df", "token"))).alias("own")
     )
-    tokens = stored(tokens.where(F.size("own") >= least), "queries")
+    tokens = stored(tokens.where(F.size("own") >= least).join(sets.select("node", *MARKS), "node"), "queries")
     rare = F.slice("own", F.lit(1), (F.size("own") - least + 1).cast("int"))
-    rarer = tokens.select("node", "n", "grp", "component", "members", F.explode(rare).alias("r")).withColumn("token", F.col("r.token"))
+    rarer = tokens.select("node", "n", "grp", "component", "members", *MARKS, F.explode(rare).alias("r")).withColumn("token", F.col("r.token"))
     rarer = stored(_told_apart(rarer), "rarer")
     q = rarer.alias("q")
-    g = rarer.groupBy("token", "grp", "component", "members").agg(F.min("n").alias("low"), F.max("n").alias("high")).alias("g")
+    bits = [f(m).alias(f"{x}_{m}") for m in MARKS for f, x in ((F.bit_and, "all"), (F.bit_or, "any"))]
+    g = rarer.groupBy("token", "grp", "component", "members").agg(F.min("n").alias("low"), F.max("n").alias("high"), *bits).alias("g")
     bigger = F.struct("g.members", "g.component") > F.struct("q.members", "q.component")
     fits = (F.col("g.high") * 100 >= F.col("q.n") * percent) & (F.col("g.low") * percent <= F.col("q.n") * 100)
-    cells = q.join(g, (F.col("q.token") == F.col("g.token")) & bigger & fits).select("q.node", "g.grp").distinct()
+    cells = q.join(g, (F.col("q.token") == F.col("g.token")) & bigger & fits & _may_be_similar(percent)).select("q.node", "g.grp").distinct()
     cells = stored(cells, "cells")
 
     # The matrix: unions of a group's index tokens, and of its whole sets where those suffice.

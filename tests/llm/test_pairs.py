@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,6 +79,27 @@ def test_hot_tokens_and_small_groups_change_nothing(spark, monkeypatch):
     assert got(shingle_join.similar_documents(df, k=3, percent=90)) == brute(rows, 3, 90)
 
 
+def test_bitmaps_differ_by_tokens_of_one_set_only():
+    rnd = random.Random(11)
+    for n in (0, 1, 30, 900):
+        a = {rnd.randrange(1 << 64) for _ in range(n)}
+        b = {x for x in a if rnd.random() < 0.9} | {rnd.randrange(1 << 64) for _ in range(n // 9)}
+        x, y = (shingle_join.marks(np.array(sorted(s), np.uint64)) for s in (a, b))
+        differ = sum(int(v).bit_count() for v in (x ^ y).view(np.uint64))
+        assert len(x) == len(shingle_join.MARKS) and differ <= len(a ^ b) and (len(a ^ b) - differ) % 2 == 0
+        assert n != 30 or differ > 0
+
+
+def test_quoting_one_passage_opens_few_groups(spark, monkeypatch):
+    cells, stored = [], shingle_join.stored
+    monkeypatch.setattr(shingle_join, "stored", lambda df, what: (out := stored(df, what), cells.append(out.count()) if what == "cells" else None)[0])
+    passage = " ".join(f"common{i}" for i in range(60))
+    rows = [(i, f"{passage} " + " ".join(f"own{i}x{j}" for j in range(5))) for i in range(60)] + family(12, 20, 60, 3, 100)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert got(shingle_join.similar_documents(df, k=3, percent=90)) == brute(rows, 3, 90)
+    assert len(cells) == 1 and cells[0] < 400  # of 1,770 pairs of those that quote
+
+
 def test_corpus(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     rows = [tuple(r) for r in docs.collect()]
