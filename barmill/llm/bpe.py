@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import regex
 import tiktoken
@@ -43,7 +43,11 @@ class ByteBpe:
         self.longest = max(map(len, self.ids))
         self.pattern = regex.compile(PATTERN)
         self.special = regex.compile("|".join(map(regex.escape, self.specials))) if self.specials else None
-        self._core = tiktoken.Encoding("merges", pat_str=PATTERN, mergeable_ranks=self.ids, special_tokens={})._core_bpe
+
+    @cached_property
+    def _core(self):
+        """Only for counting: the transducer has no use for it."""
+        return tiktoken.Encoding("merges", pat_str=PATTERN, mergeable_ranks=self.ids, special_tokens={})._core_bpe
 
     def merge(self, word: bytes) -> list[int]:
         """Tokens of one split: the earliest merge first, until none applies."""

@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barmill.llm.bpe import REACH, WORDS, ByteBpe, load
+from barmill.llm.bpe import REACH, ByteBpe, load
 from barmill.llm.util import arrow_map, slices
 
 PIECE = 1 << 16
@@ -34,8 +34,10 @@ PIECE = 1 << 16
 LONG = 1 << 12
 #: Characters of a split whose tokens are remembered, so that memory stays bounded.
 SHORT = 1 << 8
+#: Splits in each of two memories: a full one becomes the older one, from which splits in use come back.
+WORDS = 200_000
 #: Pairs of tokens whose compatibility is remembered, and bytes after which a long split emits what is stable.
-PAIRS, STEP = 1 << 17, 1 << 10
+PAIRS, STEP = 1 << 18, 1 << 10
 #: Runs that a split may consist of; a run of blanks gives its last one to the next split.
 RUNS = [regex.compile(p) for p in (r"\p{L}+", r"\p{N}+", r"[^\s\p{L}\p{N}]+", r"\s+")]
 
@@ -107,7 +109,7 @@ class RunTransducer:
     def __init__(self, rules: Rules):
         self.rules, self.ends = rules, None
         self.at = self.stable = 0
-        self.last: dict[int, tuple[int, int]] = {}  # end of a prefix: its last token and where that starts
+        self.last: list[tuple[int, int]] = [(-1, 0)]  # last token, and where it starts, of the prefix that ends at stable and of each longer one
 
     def step(self, data: bytes) -> None:
         """Find the last token of every prefix that ends in data: of the tokens ending there the one that fits."""
@@ -116,21 +118,22 @@ class RunTransducer:
             self.ends = self.rules.automaton.iter(text)
         else:
             self.ends.set(text)
-        last, known, at = self.last, self.rules.pairs.get, self.at
+        last, stable, known, at = self.last, self.stable, self.rules.pairs.get, self.at
         for end, (token, n) in self.ends:
             if end < at:
                 continue  # that prefix has its token
             start = end + 1 - n
             if start:
-                if (before := last.get(start)) is None:
+                if start < stable:
                     continue
-                if (fits := known(before[0] << 20 | token)) is None:
-                    fits = self.rules.compatible(before[0], token)
+                before = last[start - stable][0]
+                if (fits := known(before << 20 | token)) is None:
+                    fits = self.rules.compatible(before, token)
             else:
                 fits = self.rules.whole(token)
             if fits:
                 at = end + 1
-                last[at] = (token, start)
+                last.append((token, start))
         self.at += len(data)
         if at != self.at:
             raise AssertionError("every byte is a token")
@@ -138,7 +141,7 @@ class RunTransducer:
     def path(self, end: int) -> list[int]:
         out = []
         while end > self.stable:
-            token, end = self.last[end]
+            token, end = self.last[end - self.stable]
             out.append(token)
         return out[::-1]
 
@@ -153,12 +156,12 @@ class RunTransducer:
         while len(live) > 1:
             top = max(live)
             live.remove(top)
-            live.add(self.last[top][1])
+            live.add(self.last[top - self.stable][1])
         common = live.pop()
         if common > self.stable:
             out = self.path(common)
+            del self.last[: common - self.stable]
             self.stable = common
-            self.last = {e: v for e, v in self.last.items() if e >= common}
             yield from out
 
     def whole(self, data: bytes) -> list[int]:
@@ -175,19 +178,22 @@ class Encoder:
 
     def __init__(self, bpe: ByteBpe, long: int = LONG):
         self.bpe, self.long, self.rules = bpe, long, Rules(bpe)
-        self.known: dict[str, tuple[int, ...]] = {}
+        # Tokens as packed numbers of 32 bits: small, and nothing that the garbage collector goes through.
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def of_word(self, word: str) -> tuple[int, ...]:
-        out = tuple(RunTransducer(self.rules).whole(word.encode("utf-8", "surrogatepass")))
+    def of_word(self, word: str) -> bytes:
+        out = self.older.get(word) or array("i", RunTransducer(self.rules).whole(word.encode("utf-8", "surrogatepass"))).tobytes()
         if len(word) <= SHORT:
             if len(self.known) >= WORDS:
-                self.known.clear()
+                self.known, self.older = {}, self.known
             self.known[word] = out
         return out
 
     def words(self, words: list[str]) -> list[int]:
-        get, own = self.known.get, self.of_word
-        return list(chain.from_iterable([get(w) or own(w) for w in words]))
+        known, own, out = self.known.get, self.of_word, array("i")
+        out.frombytes(b"".join([known(w) or own(w) for w in words]))
+        return out.tolist()
 
     def closed(self, text: str) -> Iterator[list[int]]:
         """Tokens of a text that nothing follows, in pieces."""

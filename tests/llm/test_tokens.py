@@ -127,6 +127,18 @@ def test_every_split_goes_through_the_transducer(spark, library, monkeypatch):
     assert all(len(w) <= transducer.SHORT for w in encoder.known)
 
 
+def test_splits_in_use_outlive_a_full_memory(library, monkeypatch):
+    bpe, seen, step = load(PATH), [], transducer.RunTransducer.step
+    monkeypatch.setattr(transducer, "WORDS", 40)
+    monkeypatch.setattr(transducer.RunTransducer, "step", lambda run, data: (seen.append(data), step(run, data))[1])
+    used, encoder = [f"usual{chr(97 + k)}" for k in range(10)], transducer.Encoder(bpe)
+    for k in range(50):
+        text = " ".join(["", *used, *(f"rare{chr(97 + k % 26)}{chr(97 + k // 26)}{chr(97 + j)}" for j in range(12))])
+        assert list(chain.from_iterable(encoder.closed(text))) == library.encode(text, add_special_tokens=False).ids
+        assert len(encoder.known) <= 40 and len(encoder.older) <= 40
+    assert all(seen.count(f" {w}".encode()) == 1 for w in used)
+
+
 def test_pairs_by_merging(library):
     """Compatibility by taking tokens apart against the merges of the joint bytes."""
     bpe, rnd = load(PATH), random.Random(8)
