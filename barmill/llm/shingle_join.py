@@ -18,8 +18,10 @@ Jaccard t or more holds at least t of the query's tokens.
    both, so queries and members leave out their l - 1 most frequent index tokens here, and of tokens that the same
    nodes have one is enough. Each set has a bitmap in which every token turns one bit over; where a query's bits differ
    from those that all members of a group agree on, a token is in one set only, so too many such bits (that is most
-   groups that only quote a passage of the query's) rule the group out at once. A group is opened if it has enough of the query's index tokens, and then enough of its whole set, in its union; pairs of a query and
-   the members of opened groups that share enough index tokens are compared on whole sets.
+   groups that only quote a passage of the query's) rule the group out at once. A group is opened if it has enough of the query's index tokens, and then enough of its whole set, in its union. Queries
+   and members of opened groups are described by what they change in their component's most central member: a query is
+   compared on whole sets with the member that changes least, and with those that share one of its rarest changes. So
+   many near copies that are not similar to each other do not meet in pairs.
 
 Pairs inside one component need no comparison, since the result is what is reachable; every pair of different components
 that could be linked is compared. So a group of copies costs one comparison a copy, and no group emits its pairs.
@@ -409,7 +411,7 @@ def _search(met: DataFrame, grouped: DataFrame, sets: DataFrame, percent: int) -
 
     # Of two components the smaller one asks. Both sides leave out their last tokens, all but one of those they share.
     tokens = open_.groupBy("node", "n", "grp", "component", "members").agg(
-        F.array_sort(F.collect_list(F.struct("df", "token"))).alias("own")
+        F.array_sort(F.collect_list(F.struct("df", "token"))).alias("own"), F.max("score").alias("score")
     )
     tokens = stored(tokens.where(F.size("own") >= least).join(sets.select("node", *MARKS), "node"), "queries")
     rare = F.slice("own", F.lit(1), (F.size("own") - least + 1).cast("int"))
@@ -436,8 +438,51 @@ def _search(met: DataFrame, grouped: DataFrame, sets: DataFrame, percent: int) -
     opened = bounded.where(F.size(F.array_intersect("tokens", "union")) * 100 >= F.size("tokens") * percent)
     opened = stored(opened.select("node", "grp"), "opened")
 
-    a = tokens.select(F.col("node").alias("a"), F.col("n").alias("na"), names.alias("ia"))
-    b = members.select("grp", F.col("node").alias("b"), F.col("n").alias("nb"), names.alias("ib"))
-    both = opened.join(a, F.col("node") == F.col("a")).join(b, "grp").where(_could("na", "nb", percent))
-    enough = shared_least(F.least("na", "nb"), percent)
-    return _compared(both.where(F.size(F.array_intersect("ia", "ib")) >= enough).select("a", "b"), sets, percent)
+    return _to_members(opened, members, sets, percent)
+
+
+def _to_members(opened: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of queries to members of opened groups, found by what both change in the most central member of the component.
+
+    Let D be the tokens in which a set of n tokens differs from that member's, and slack (100 + percent) * |D| -
+    (100 - percent) * n. Two sets differ in |D| + |D'| - 2 * |D and D'| tokens, so they are similar if and only if
+    2 * (100 + percent) times the changes they share are at least the sum of their slacks. If the sum of a query's slack
+    and the least one of the members is 0 or less, that member is similar, and one link is enough for a component.
+    All other similar pairs share a change: any common order has one among the first of each, and the rarest come first.
+    """
+    twice, few = 2 * (100 + percent), 100 - percent
+    held = members.join(opened.select("grp").distinct(), "grp", "left_semi").select("grp", "component", "node", "score")
+    central = held.groupBy("component").agg(F.max_by("node", F.struct("score", "node")).alias("node"))
+    base = central.join(sets, "node").select("component", F.col("tokens").alias("base"))
+    groups = held.select("grp", "component").distinct()
+    # A query asks a component once; the group it goes by deals the queries of a large component out.
+    asked = opened.join(groups, "grp").groupBy("component", "node").agg(F.min_by("grp", F.xxhash64("node", "grp")).alias("grp"))
+    both = asked.select("grp", "node", F.lit(True).alias("asks")).union(held.select("grp", "node", F.lit(False)))
+    changes = F.concat(F.array_except("tokens", "base"), F.array_except("base", "tokens"))
+    both = both.join(groups.join(base, "component"), "grp").join(sets, "node")
+    both = both.select("component", "node", "asks", F.size("tokens").cast("long").alias("n"), changes.alias("changes"))
+    m = F.size("changes").cast("long")
+    both = stored(both.withColumn("slack", (100 + percent) * m - few * F.col("n")), "changes")
+
+    low = both.where(~F.col("asks")).groupBy("component").agg(F.min(F.struct("slack", "node")).alias("low"))
+    asking = both.where("asks").join(low, "component")
+    first = asking.select(F.col("node").alias("a"), F.col("low.node").alias("b"))
+    asking = asking.where(F.col("slack") + F.col("low.slack") > 0).withColumn("other", F.col("low.slack")).drop("low")
+    other = asking.groupBy("component").agg(F.min("slack").alias("other"))
+    both = asking.unionByName(both.where(~F.col("asks")).join(other, "component"))
+    # Changes that a similar set of the other side shares: by the least slack there, and as many as sizes allow to differ.
+    least = F.greatest(F.ceil((F.col("slack") + F.col("other")) / twice), m - F.floor(few * F.col("n") / percent))
+    both = both.withColumn("least", least).where(F.col("least") <= m).select("component", "node", "asks", "n", "slack", "least", F.explode("changes").alias("token"))
+    both = stored(both, "changed")
+    shared = both.groupBy("component", "token").agg(F.count("*").alias("c"), F.min("asks").alias("x"), F.max("asks").alias("y")).where("x <> y")
+    both = both.join(shared.select("component", "token", "c"), ["component", "token"])
+    both = both.groupBy("component", "node", "asks", "n", "slack", "least").agg(F.array_sort(F.collect_list(F.struct("c", "token"))).alias("own"))
+    m = F.size("own")
+    both = both.where(m >= F.col("least")).withColumn("m", m)
+    both = both.withColumn("own", F.slice("own", F.lit(1), (m - F.col("least") + 1).cast("int")))
+    both = stored(both.select("component", "node", "asks", "n", "slack", "m", F.explode("own.token").alias("token")), "first")
+    a, b = both.where("asks").alias("a"), both.where(~F.col("asks")).alias("b")
+    same = (F.col("a.component") == F.col("b.component")) & (F.col("a.token") == F.col("b.token"))
+    enough = F.col("a.slack") + F.col("b.slack") <= twice * F.least("a.m", "b.m")
+    rest = a.join(b, same & enough & _could("a.n", "b.n", percent)).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+    return _compared(stored(first.union(rest).distinct(), "asked"), sets, percent)

@@ -100,6 +100,40 @@ def test_quoting_one_passage_opens_few_groups(spark, monkeypatch):
     assert len(cells) == 1 and cells[0] < 400  # of 1,770 pairs of those that quote
 
 
+def edited(rnd, words, times, kind):
+    new = list(words)
+    for i in rnd.sample(range(len(new)), times):
+        new[i] = f"{kind}{rnd.randrange(10**6)}"
+    return " ".join(new)
+
+
+def test_near_copies_that_do_not_link_meet_in_few_pairs(spark, monkeypatch):
+    seen, compared = [], shingle_join._compared
+    monkeypatch.setattr(shingle_join, "_compared", lambda pairs, *rest: (seen.append(pairs.count()), compared(pairs, *rest))[1])
+    rnd = random.Random(13)
+    words = [f"t{i}" for i in range(150)]
+    rows = [(i, edited(rnd, words, rnd.choice((1, 2)), "e")) for i in range(70)]  # these link to the text
+    rows += [(100 + i, edited(rnd, words, rnd.choice((4, 5)), "f")) for i in range(70)] + [(200, " ".join(words))]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert got(shingle_join.similar_documents(df, k=3, percent=90)) == brute(rows, 3, 90)
+    assert sum(seen) < 1500  # 70 * 71 pairs of those that link and those that do not
+
+
+@pytest.mark.parametrize(("k", "percent"), [(3, 90), (5, 80), (2, 50)])
+def test_the_search_finds_what_grouping_left(spark, monkeypatch, k, percent):
+    pivots = shingle_join._to_pivots
+    monkeypatch.setattr(shingle_join, "_to_pivots", lambda *x: pivots(*x).where(F.pmod(F.xxhash64("a"), F.lit(3)) == 0))
+    monkeypatch.setattr(shingle_join, "PART", 4)
+    rnd = random.Random(percent)
+    words = [f"t{i}" for i in range(80)]
+    rows = [(i, edited(rnd, words, rnd.randrange(7), "e")) for i in range(60)]
+    rows += family(21, 50, 80, 6, 100) + family(22, 40, 25, 2, 200)
+    extra = " ".join(f"x{i}" for i in range(9))  # a change that many share
+    rows += [(300 + i, f"{edited(rnd, words, rnd.randrange(3), 'g')} {extra}") for i in range(40)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert got(shingle_join.similar_documents(df, k=k, percent=percent)) == brute(rows, k, percent)
+
+
 def test_corpus(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     rows = [tuple(r) for r in docs.collect()]
