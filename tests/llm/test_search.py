@@ -95,3 +95,76 @@ def test_blocks_are_pruned():
         full[np.array(docs)[at]] += w * s.impact[at]
     best = np.lexsort((np.arange(4000), -full))[:5]
     assert found.tolist() == best.tolist() and scores == pytest.approx(full[best])
+
+
+def random_segment(rnd, n, kinds):
+    """A segment of two languages whose texts have a few words in common, and many words of their own."""
+    rows = {}
+    lens = np.zeros(n, np.int32)
+    for doc in range(n):
+        for _ in range(rnd.randrange(0, 60)):
+            word = doc % 2 * kinds + int(kinds * rnd.random() ** 3)
+            rows[word, doc] = rows.get((word, doc), 0) + rnd.choice((1, 1, 1, 7, 300))
+    for (_, doc), times in rows.items():
+        lens[doc] += times
+    terms = np.array(sorted({w for w, _ in rows}), np.uint64)
+    dfs = np.array([sum(1 for w, _ in rows if w == t) for t in terms.tolist()], np.int32)
+    keys = sorted(rows)
+    return lens, terms, dfs, np.array([d for _, d in keys], np.int32), np.array([rows[key] for key in keys], np.int32)
+
+
+@pytest.mark.parametrize("sizes", [{}, {"RATE": 10**9}, {"ROWS": 3, "ENTRIES": 600}, {"COLUMNS": 5, "RATE": 10**9}])
+def test_queries_are_searched_together(monkeypatch, sizes):
+    rnd = random.Random(5)
+    n, k = 300, 4
+    lens, terms, dfs, docs, tfs = random_segment(rnd, n, 60)
+    for name, value in sizes.items():
+        monkeypatch.setattr(wand, name, value)
+    ids = np.array([rnd.randrange(n // 2) for _ in range(n - 1)] + [wand.LAST])
+    vocabulary = np.unique(np.concatenate((terms[::2], np.arange(500, 520, dtype=np.uint64))))  # not all terms are asked for, some are nowhere
+    s = wand.Searcher(vocabulary, lens.mean(), ids, lens, terms, dfs, docs, tfs, block=8)
+    asked = [np.sort(rnd.sample(range(len(vocabulary)), rnd.choice((1, 5, 40)))) for _ in range(50)] + [np.empty(0, int)]
+    weights = [np.array([rnd.random() * 5 for _ in q]) for q in asked]
+    full = np.zeros((len(asked), n))
+    at = dict(zip(terms.tolist(), np.cumsum(dfs) - dfs))
+    for q, (own, w) in enumerate(zip(asked, weights)):
+        for t, x in zip(vocabulary[own].tolist(), w):
+            if t in at:
+                part = slice(at[t], at[t] + dfs[terms.tolist().index(t)])
+                impact = tfs[part] * (wand.K1 + 1) / (tfs[part] + wand.K1 * (1 - wand.B + wand.B * lens[docs[part]] / lens.mean()))
+                full[q, docs[part]] += x * impact
+    known = np.array([rnd.choice((0.0, np.sort(scores)[-k], np.sort(scores)[-1], scores.max() * 2)) for scores in full])
+    query, found, scores = s.search_all(np.array([len(q) for q in asked]), np.concatenate(asked), np.concatenate(weights), k, known)
+    for q in range(len(asked)):
+        order = [d for d in np.lexsort((ids, -full[q].round(9))) if full[q, d] > 0 and full[q, d] >= known[q] * (1 - 1e-12)][:k]
+        assert scores[query == q] == pytest.approx(full[q, order])
+        assert ids[found[query == q]].tolist() == ids[order].tolist()
+        alone = s.search(asked[q], weights[q], k, known[q])
+        assert alone[0].tolist() == found[query == q].tolist() and alone[1].tolist() == scores[query == q].tolist()
+
+
+def test_like_queries_come_together(monkeypatch):
+    monkeypatch.setattr(wand, "TOGETHER", 8)
+    monkeypatch.setattr(wand, "TERMS", 60)
+    rng = np.random.default_rng(1)
+    looks = np.zeros((40, 6), np.float32)
+    looks[::2, :3], looks[1::2, 3:] = rng.random((20, 3)) + 1, rng.random((20, 3)) + 1
+    sizes = np.array([5] * 39 + [1000])
+    parts = wand._alike(looks, sizes)
+    assert sorted(np.concatenate(parts).tolist()) == list(range(40))
+    assert all(len(p) == 1 or len(p) <= 8 and sizes[p].sum() <= 60 for p in parts)
+    assert sum(len(set((p % 2).tolist())) > 1 for p in parts) <= 1
+    assert sorted(np.concatenate(wand._alike(np.zeros((20, 0), np.float32), np.ones(20, int))).tolist()) == list(range(20))
+
+
+def test_levels_of_segments(spark, monkeypatch):
+    rnd = random.Random(3)
+    rows = [(d, " ".join(f"w{int(40 * rnd.random() ** 2)}" for _ in range(rnd.randrange(1, 20)))) for d in range(280)]
+    rows += [(280, "w1 " * 300), (281, "w2 " * 70_000)]
+    queries = [(d, t) for d, t in rows if d % 20 == 0]
+    met, whole = [], wand._searched
+    monkeypatch.setattr(wand, "_searched", lambda index, *rest: met.append(index.count()) or whole(index, *rest))
+    found = wand.search(wand.build_index(spark.createDataFrame(rows, SCHEMA).coalesce(2), segment=3), spark.createDataFrame(queries, "query_id long, text string"))
+    same(found, brute(rows, queries, 10))
+    assert len(met) == 3 and sum(met) in (94, 95)
+    assert met[0] <= 8 and met[0] + met[1] <= 30
